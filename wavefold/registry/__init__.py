@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "fixed_width_q",
     "panel_q",
+    "paths_q",
 ]
 
 
