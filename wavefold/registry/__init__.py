@@ -8,6 +8,7 @@ _MODULES = [
     "fixed_width_q",
     "panel_q",
     "paths_q",
+    "incremental_q",
 ]
 
 

@@ -250,7 +250,7 @@ def _sql_paths() -> str:
     )
     return f"""
         SELECT o_orderkey AS path_id, CASE {' '.join(path_cases)} END AS path, {members} AS members,
-               CAST(o_totalprice * 100 AS BIGINT) AS size
+               CAST(trunc(o_totalprice * 100) AS BIGINT) AS size
         FROM orders"""
 
 
