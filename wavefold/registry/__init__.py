@@ -9,6 +9,7 @@ _MODULES = [
     "panel_q",
     "paths_q",
     "incremental_q",
+    "dictionary_q",
 ]
 
 
