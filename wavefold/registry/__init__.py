@@ -10,6 +10,7 @@ _MODULES = [
     "paths_q",
     "incremental_q",
     "dictionary_q",
+    "catalog_q",
 ]
 
 
