@@ -11,6 +11,7 @@ _MODULES = [
     "incremental_q",
     "dictionary_q",
     "catalog_q",
+    "links_q",
 ]
 
 
