@@ -12,6 +12,7 @@ _MODULES = [
     "dictionary_q",
     "catalog_q",
     "links_q",
+    "files_q",
 ]
 
 

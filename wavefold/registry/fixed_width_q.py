@@ -59,6 +59,9 @@ def fw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("lineitem_"), (k % 16).cast("string"), F.lit(".txt")).alias("source"),
         (k * 8 + F.col("l_linenumber")).alias("line_no"),
         value.alias("value"),
+        # (order key, line number) repeats in the generated data; this
+        # content key makes the record order total.
+        F.format_string("%09d%010d%015.2f", F.col("l_partkey"), F.col("l_suppkey"), F.col("l_extendedprice")).alias("tie"),
     )
 
 
