@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 # U+001F, and space).
 ASCII_STRIP_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 
-# The same set extended to Unicode: Java's Unicode White_Space class plus the
-# information separators, which Python also strips.
-_UNICODE_EDGE_SPACE = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"
+# Every character Python's ``str.strip()`` removes (the
+# characters for which ``str.isspace()`` is true), in code point order.
+UNICODE_STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Number grammars accepted by the typed parse (ASCII digits only).
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
@@ -29,9 +33,13 @@ def is_ascii_line(value: Column) -> Column:
     return F.octet_length(value) == F.length(value)
 
 
-def slice_ascii(value: Column, start: int, width: int) -> Column:
-    """Byte-position slice (fast: no code-point walk), for ASCII-only lines."""
-    return F.substring(value.cast("binary"), start, width).cast("string")
+def slice_ascii(value: Column, start: int, width: int, as_binary: Column | None = None) -> Column:
+    """Byte-position slice (fast: no code-point walk), for ASCII-only lines.
+
+    ``as_binary`` is the line already cast to binary, when the caller stages
+    it once for all fields."""
+    binary = as_binary if as_binary is not None else value.cast("binary")
+    return F.substring(binary, start, width).cast("string")
 
 
 def slice_chars(value: Column, start: int, width: int) -> Column:
@@ -44,12 +52,13 @@ def strip_ascii(text: Column) -> Column:
 
 
 def strip_unicode(text: Column) -> Column:
-    return F.regexp_replace(text, _UNICODE_EDGE_SPACE, "")
+    """Strip exactly what ``str.strip()`` strips, without a regular expression."""
+    return F.trim(text, F.lit(UNICODE_STRIP_CHARS))
 
 
-def field_text(value: Column, start: int, width: int, ascii_flag: Column) -> Column:
+def field_text(value: Column, start: int, width: int, ascii_flag: Column, as_binary: Column | None = None) -> Column:
     """Trimmed text of one field: byte path for ASCII lines, code points otherwise."""
-    return F.when(ascii_flag, strip_ascii(slice_ascii(value, start, width))).otherwise(
+    return F.when(ascii_flag, strip_ascii(slice_ascii(value, start, width, as_binary))).otherwise(
         strip_unicode(slice_chars(value, start, width))
     )
 

@@ -53,14 +53,14 @@ def convert_lines(
     else:
         # CSV is raw trimmed text: only decoding is checked, nothing is typed.
         parsed = parse_lines(lines, layout, selected, True, keep=["source"])
-    bad = F.size(ERRORS) > 0
+    bad = F.col(ERRORS) != ""
     obs = Observation(f"convert-{uuid.uuid4().hex[:8]}")
     # Bad sources are collected as a set while the rows are written (bounded
     # by the number of source files), so the data is scanned exactly once.
     observed = parsed.observe(
         obs,
         F.collect_set(F.when(bad, F.col("source"))).alias("bad_sources"),
-        F.min(F.when(bad, F.concat_ws(": ", F.col("source"), F.array_join(ERRORS, ",")))).alias("first_error"),
+        F.min(F.when(bad, F.concat_ws(": ", F.col("source"), F.col(ERRORS)))).alias("first_error"),
     ).drop(ERRORS)
     writer = observed.write.partitionBy("source")
     if output_format == "parquet":

@@ -106,7 +106,7 @@ def _zips(spark, sf_dir, sub: str) -> DataFrame:
 def q_archive_line_scan(spark, sf_dir):
     lines = A.archive_lines(_zips(spark, sf_dir, "lineitem")).filter(F.col("error").isNull())
     parsed = parse_lines(lines, FQ.LINE_LAYOUT, keep=["member", "line_no"])
-    return parsed.withColumn("parse_errors", F.array_join(ERRORS, ",")).drop(ERRORS)
+    return parsed.withColumn("parse_errors", F.col(ERRORS)).drop(ERRORS)
 
 
 def q_archive_inventory(spark, sf_dir):

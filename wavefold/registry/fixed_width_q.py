@@ -71,15 +71,15 @@ def parsed_lines(spark: SparkSession, sf_dir: str, columns=None, all_string: boo
 
 def q_fixed_width_scan(spark, sf_dir):
     df = parsed_lines(spark, sf_dir)
-    return df.withColumn("parse_errors", F.array_join(ERRORS, ",")).drop(ERRORS)
+    return df.withColumn("parse_errors", F.col(ERRORS)).drop(ERRORS)
 
 
 def q_typed_parse(spark, sf_dir):
     df = parsed_lines(spark, sf_dir, ["quantity", "EXTENDEDPRICE"])
     return df.select(
         "line_no", "quantity", "extendedprice",
-        F.size(ERRORS).cast("int").alias("n_errors"),
-        F.array_join(ERRORS, ",").alias("parse_errors"),
+        F.when(F.col(ERRORS) == "", 0).otherwise(F.size(F.split(ERRORS, ","))).cast("int").alias("n_errors"),
+        F.col(ERRORS).alias("parse_errors"),
     )
 
 

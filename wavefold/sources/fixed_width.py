@@ -1,10 +1,11 @@
 """Fixed-width text scan: lines in, typed columns out.
 
 ``parse_lines`` turns any DataFrame with a line column into the typed columns
-of a layout with one generated projection.  Only the requested variables are
+of a layout with generated projections.  Only the requested variables are
 sliced (Catalyst prunes the rest anyway), ASCII lines are sliced by byte
 offset and only non-ASCII lines pay for code-point slicing, and each row
-carries ``_errors``: the names of selected fields whose text did not parse.
+carries ``_errors``: the names of selected fields whose text did not parse
+(comma-separated, '' when clean).
 Rows are never dropped; a caller decides per source file what to do with
 errors (see ``plans.convert``).
 """
@@ -23,21 +24,6 @@ ERRORS = "_errors"
 ASCII_FLAG = "_ascii"
 
 
-def field_columns(
-    value: Column, ascii_flag: Column, variables: Iterable[Variable], all_string: bool = False
-) -> tuple[list[Column], list[Column]]:
-    """(typed columns, error markers) for the given variables."""
-    typed, errors = [], []
-    for v in variables:
-        text = tx.missing_to_null(tx.field_text(value, v.start, v.width, ascii_flag))
-        kind = "string" if all_string else v.kind
-        parsed = tx.typed_value(text, kind)
-        typed.append(parsed.alias(v.name))
-        if kind != "string":
-            errors.append(F.when(text.isNotNull() & parsed.isNull(), F.lit(v.name)))
-    return typed, errors
-
-
 def parse_lines(
     lines: DataFrame,
     layout: Layout,
@@ -50,18 +36,48 @@ def parse_lines(
     """Slice, trim and type the fields of ``value_col`` according to ``layout``.
 
     ``keep`` lists pass-through columns (for example ``source``/``line_no``).
-    Validity of UTF-8 is checked too: an invalid line reports ``<encoding>``.
+    ``_errors`` is a comma-separated list of the selected fields whose text
+    did not parse ('' when the record is clean); an invalid UTF-8 line
+    reports ``<encoding>``.
+
+    The plan is five narrow projections kept apart on purpose: the ASCII
+    test, one trimmed text column per field, the missing-value rule, the
+    typed values, then the error list.  Each intermediate column is used more than once downstream,
+    so Catalyst keeps the projections separate instead of inlining (and
+    recomputing) them, and every step stays inside one whole-stage-generated
+    stage (no higher-order functions, which would fall back to
+    interpretation).
     """
     variables = layout.select(columns)
-    staged = lines.withColumn(ASCII_FLAG, tx.is_ascii_line(F.col(value_col)))
+    keep = list(keep)
     value = F.col(value_col)
-    typed, errors = field_columns(value, F.col(ASCII_FLAG), variables, all_string)
-    out = [F.col(c) for c in keep] + typed
+    staged = lines.select(*keep, value.alias("_line"), value.cast("binary").alias("_bin"),
+                          tx.is_ascii_line(value).alias(ASCII_FLAG))
+    raw = staged.select(
+        *keep, "_line",
+        *[tx.field_text(F.col("_line"), v.start, v.width, F.col(ASCII_FLAG), F.col("_bin")).alias(f"_r{i}")
+          for i, v in enumerate(variables)],
+    )
+    texts = raw.select(*keep, "_line", *[tx.missing_to_null(F.col(f"_r{i}")).alias(f"_t{i}")
+                                         for i in range(len(variables))])
+    kinds = ["string" if all_string else v.kind for v in variables]
+    typed = texts.select(
+        *keep, "_line", *[f"_t{i}" for i in range(len(variables))],
+        *[tx.typed_value(F.col(f"_t{i}"), kind).alias(v.name) for i, (v, kind) in enumerate(zip(variables, kinds))],
+    )
+    out = [F.col(c) for c in keep] + [F.col(v.name) for v in variables]
     if with_errors:
-        bad_utf8 = F.when(~F.is_valid_utf8(value), F.lit("<encoding>"))
-        markers = F.array(bad_utf8, *errors) if errors else F.array(bad_utf8)
-        out.append(F.filter(markers, lambda m: m.isNotNull()).alias(ERRORS))
-    return staged.select(*out)
+        markers = [
+            F.when(F.col(f"_t{i}").isNotNull() & F.col(v.name).isNull(), F.lit(v.name))
+            for i, (v, kind) in enumerate(zip(variables, kinds)) if kind != "string"
+        ]
+        bad_utf8 = F.when(~F.is_valid_utf8(F.col("_line")), F.lit("<encoding>"))
+        out.append(F.concat_ws(",", bad_utf8, *markers).alias(ERRORS))
+    return typed.select(*out)
+
+
+def has_errors(errors: Column | None = None) -> Column:
+    return (errors if errors is not None else F.col(ERRORS)) != ""
 
 
 def raw_fields(lines: DataFrame, layout: Layout, value_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
@@ -90,8 +106,9 @@ def read_fixed_width(
 
 def errors_by_source(parsed: DataFrame, source_col: str = "source") -> DataFrame:
     """Per-source row and error counts, the basis of per-file failure isolation."""
+    bad = F.col(ERRORS) != ""
     return parsed.groupBy(source_col).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.when(F.size(ERRORS) > 0, 1).otherwise(0)).alias("bad_rows"),
-        F.min(F.when(F.size(ERRORS) > 0, F.array_join(ERRORS, ","))).alias("first_error"),
+        F.sum(F.when(bad, 1).otherwise(0)).alias("bad_rows"),
+        F.min(F.when(bad, F.col(ERRORS))).alias("first_error"),
     )
