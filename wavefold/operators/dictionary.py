@@ -29,14 +29,16 @@ CELLS = [f"c{i}" for i in range(8)]
 
 
 def clean_text(cell: Column) -> Column:
-    """Quotes become spaces, whitespace runs collapse, ends are stripped."""
+    """Quotes become spaces, whitespace runs collapse, ends are stripped
+    (empty cells, the common case, skip the regular expression)."""
     text = F.coalesce(cell, F.lit(""))
-    return F.trim(F.regexp_replace(F.translate(text, '"', " "), r"(?U)\s+", " "))
+    return F.when(text == "", text).otherwise(
+        F.trim(F.regexp_replace(F.translate(text, '"', " "), r"(?U)\s+", " ")))
 
 
 def clean_number(text: Column) -> Column:
     dotted = F.translate(text, ",", ".")
-    return F.when(dotted.rlike(DECIMAL_PATTERN), dotted.try_cast("double"))
+    return F.when((text != "") & dotted.rlike(DECIMAL_PATTERN), dotted.try_cast("double"))
 
 
 def display(text: Column, num: Column) -> Column:
@@ -96,50 +98,55 @@ def _categorical_first_row() -> Column:
 
 
 def parse_grid(cells: DataFrame) -> DataFrame:
-    """Variables of every document, with categories as a map or a note."""
+    """Variables of every document, with categories as a map or a note.
+
+    One shuffle: the per-document window and both aggregations below are
+    all clustered by ``doc_id``, so Spark plans a single exchange.
+    """
     rows = classify(clean_cells(cells))
+    running = Window.partitionBy("doc_id").orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_var = F.col("kind") == "variable"
     has_cats = _truthy("c5") | _truthy("c6")
     categorical = has_cats & _categorical_first_row()
-    note_items = F.array(
-        F.when(_truthy("c5"), F.lower("c5_v")), F.when(_truthy("c6"), F.lower("c6_v"))
-    )
-    variables = rows.filter(F.col("kind") == "variable").select(
-        "doc_id", "row_no", "var_no",
+    note_items = F.array(F.when(_truthy("c5"), F.lower("c5_v")), F.when(_truthy("c6"), F.lower("c6_v")))
+    note = F.when(is_var & has_cats & ~categorical, F.concat_ws(", ", note_items))
+    attrs = F.struct(
         F.lower("c2_v").alias("name"),
         F.col("c0_n").cast("int").alias("start"),
         F.col("c1_n").cast("int").alias("width"),
         (F.col("c0_n") + F.col("c1_n") - 1).cast("int").alias("end"),
         F.col("c3_v").alias("question"),
         F.when(F.lower("c4_v") != "", F.lower("c4_v")).otherwise(F.lower("c2_v")).alias("label"),
-        "section",
+        F.col("section"),
         F.lower("c7_v").alias("period"),
-        F.when(has_cats & ~categorical, F.array_join(F.filter(note_items, lambda x: x.isNotNull()), ", "))
-        .alias("category_note"),
-        F.when(categorical, F.struct(F.col("row_no"), F.col("c5_v").alias("key"), F.lower("c6_v").alias("value")))
-        .alias("_first"),
+        note.alias("category_note"),
+        F.col("row_no").alias("row_no"),
     )
-    entries = rows.filter((F.col("kind") == "continuation") & (F.col("var_no") > 0)).select(
+    # Continuations extend only a current variable whose categories are a map.
+    rows = rows.withColumn("_map_var", F.last(F.when(is_var, note.isNull()), ignorenulls=True).over(running))
+    is_entry = (F.col("kind") == "continuation") & (F.col("var_no") > 0) & F.coalesce(F.col("_map_var"), F.lit(False))
+    items = rows.filter(is_var | is_entry).select(
         "doc_id", "var_no", "row_no",
-        F.when(F.col("c5_t") != "", F.col("c5_v")).otherwise(F.lit("vazio")).alias("key"),
+        F.when(is_var & categorical, F.col("c5_v"))
+        .when(is_entry, F.when(F.col("c5_t") != "", F.col("c5_v")).otherwise(F.lit("vazio"))).alias("key"),
         F.lower("c6_v").alias("value"),
+        F.when(is_var, attrs).alias("attrs"),
+    )
+    # Later rows win for a repeated code: one value per (variable, code).
+    per_key = items.groupBy("doc_id", "var_no", "key").agg(
+        F.max_by("value", "row_no").alias("value"), F.max("attrs").alias("attrs"))
+    per_var = per_key.groupBy("doc_id", "var_no").agg(
+        F.max("attrs").alias("a"),
+        F.map_from_entries(F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "value"))))
+        .alias("categories"),
+    )
+    return per_var.select(
+        "doc_id", "var_no", F.col("a.row_no").alias("row_no"), "a.name", "a.start", "a.width", "a.end",
+        "a.question", "a.label", "a.section", "a.period", "a.category_note",
+        F.when(F.col("a.category_note").isNull(),
+               F.coalesce(F.col("categories"), F.create_map().cast("map<string,string>"))).alias("categories"),
+        storage_type_col(F.col("a.width")).alias("storage_type"),
     )
-    # Continuations extend only variables whose categories are a map.
-    map_vars = variables.filter(F.col("category_note").isNull()).select("doc_id", "var_no")
-    entries = entries.join(map_vars, ["doc_id", "var_no"], "left_semi")
-    firsts = variables.filter(F.col("_first").isNotNull()).select(
-        "doc_id", "var_no", "_first.row_no", "_first.key", "_first.value")
-    all_entries = entries.unionByName(firsts)
-    # Later rows win for a repeated code; one value per (variable, code).
-    last_per_key = all_entries.groupBy("doc_id", "var_no", "key").agg(
-        F.max_by("value", "row_no").alias("value"))
-    maps = last_per_key.groupBy("doc_id", "var_no").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("categories"))
-    out = variables.drop("_first").join(maps, ["doc_id", "var_no"], "left")
-    return out.withColumn(
-        "categories",
-        F.when(F.col("category_note").isNull(),
-               F.coalesce(F.col("categories"), F.create_map().cast("map<string,string>"))),
-    ).withColumn("storage_type", storage_type_col(F.col("width")))
 
 
 def categories_text(categories: Column) -> Column:

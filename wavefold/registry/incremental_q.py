@@ -25,6 +25,7 @@ from ..operators import unpack as U
 from ..operators import verify as V
 from .common import table
 from .fixed_width_q import LINE_LAYOUT, fw_lines
+from .paths_q import fmt
 
 SURVEYS = ("trimestral", "anual")
 
@@ -35,7 +36,7 @@ def _orders_keys(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     ok = F.col("o_orderkey")
     survey = F.when(ok % 2 == 0, F.lit("trimestral")).otherwise(F.lit("anual"))
-    path = F.format_string("%d/PNADC_%06d.zip", (F.year("o_orderdate") + 17).cast("int"), ok)
+    path = fmt("%d/PNADC_%06d.zip", (F.year("o_orderdate") + 17).cast("int"), ok)
     size = (F.col("o_totalprice") * 100).cast("long")
     return o.select("*", survey.alias("_survey"), path.alias("_path"), size.alias("_size"))
 
