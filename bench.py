@@ -66,6 +66,16 @@ def main() -> None:
     for key in HEADLINE:
         queries[key] = timed(lambda k=key: run_noop(registered[k](spark, sf_dir)), repeat)
 
+    # Conversion plan where every output is current (recorded == expected).
+    from wavefold.operators import conversion as CV
+    from wavefold.registry import incremental_q as IQ
+
+    def current_plan():
+        exp = CV.expected_fingerprint(IQ.conversion_sources(spark, sf_dir), None, False, "parquet")
+        return CV.conversion_plan(exp, exp.select("output", "fingerprint"))
+
+    queries["conversion_plan_all_current"] = timed(lambda: run_noop(current_plan()), repeat)
+
     total = sum(queries.values())
     out = {
         "metric": "headline_total_median_sec",
