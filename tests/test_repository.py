@@ -45,3 +45,16 @@ def test_archive_facade_catalog_and_convert(spark, tmpdir_path):
     report = archive.convert(uri, layout, out).collect()
     assert report[0]["status"] == "converted" and report[0]["rows"] == 2
     assert sorted(r["uf"] for r in spark.read.parquet(report[0]["output"]).collect()) == [11, 12]
+
+
+def test_incremental_convert_catalog(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    out = os.path.join(tmpdir_path, "parquet")
+    first = Archive(spark, tmpdir_path).convert_catalog(out).first()
+    assert (first["converted"], first["skipped"], first["unresolved"]) == (1, 0, 0)
+    target = os.path.join(out, "trimestral", "2024", "PNADC_012024.parquet")
+    assert sorted(r["uf"] for r in spark.read.parquet(target).collect()) == [11, 12]
+    again = Archive(spark, tmpdir_path).convert_catalog(out).first()
+    assert (again["converted"], again["skipped"], again["unresolved"]) == (0, 1, 0)
+    subset = Archive(spark, tmpdir_path).convert_catalog(out, columns=["UF"]).first()
+    assert (subset["converted"], subset["skipped"]) == (1, 0)

@@ -23,7 +23,7 @@ from ..operators import revisions as R
 from ..operators import sync as S
 from ..operators import unpack as U
 from ..operators import verify as V
-from ..operators.layout import Layout
+from ..operators.layout import Layout, Variable
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
@@ -63,7 +63,7 @@ class Archive:
             zips = files.filter(P.zip_suffix(F.col("path")))
             inv = A.archive_inventory(zips).withColumnRenamed("archive", "uri")
             loose = files.filter(~P.zip_suffix(F.col("path"))).select(
-                F.col("path").alias("uri"), "size", F.lit(True).alias("readable"),
+                F.col("path").alias("uri"), "size", "mtime", F.lit(True).alias("readable"),
                 F.array().cast("array<string>").alias("members"), F.lit(None).cast("string").alias("error"),
                 F.array().cast("array<string>").alias("text_members"))
             self._listing = inv.unionByName(loose).withColumn("path", F.regexp_extract("uri", r"(originals/.*)$", 1))
@@ -103,9 +103,12 @@ class Archive:
         layouts = layouts if layouts is not None else self.layout_catalog()
         data = self.microdata()
         text = F.concat(F.col("path"), F.lit(" "), F.array_join("text_members", " "))
-        return C.choose_layouts(
-            data.select("*", F.col("path").alias("source")).drop("year").withColumn("year", P.catalog_year(text)),
-            layouts)
+        # Matching uses the catalog's year rule; the period columns used by
+        # batch filters keep the file-name rule (see README, P13).
+        keyed = data.withColumnRenamed("year", "period_year").select(
+            "*", F.col("path").alias("source"), P.catalog_year(text).alias("year"))
+        matched = C.choose_layouts(keyed, layouts)
+        return matched.drop("year").withColumnRenamed("period_year", "year")
 
     # ---------------------------------------------------------------- sync
     def sync_plan(self, remote: DataFrame, manifest: DataFrame, local: DataFrame) -> DataFrame:
@@ -143,6 +146,127 @@ class Archive:
             F.col("archive").alias("source"), "value")
         return convert_lines(self.spark, lines, layout, output_root, output_format, columns, all_string, force)
 
+    # --------------------------------------- incremental conversion (M2)
+    def layout_variables(self, layouts: DataFrame | None = None) -> DataFrame:
+        """Variables of every cataloged dictionary, keyed by ``layout_id``
+        (workbooks read in place, ZIP members included)."""
+        layouts = layouts if layouts is not None else self.layout_catalog()
+        uris = self.listing().select(F.col("path").alias("source"), "uri")
+        books = layouts.join(uris, "source").select(
+            F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
+        return D.parse_grid(WB.workbook_cells(books).drop("error"))
+
+    def layout_digests(self, layouts: DataFrame | None = None) -> DataFrame:
+        layouts = layouts if layouts is not None else self.layout_catalog()
+        uris = self.listing().select(F.col("path").alias("source"), "uri")
+        books = layouts.join(uris, "source").select(
+            F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
+        return D.document_digest(WB.workbook_cells(books).drop("error")).withColumnRenamed("doc_id", "layout_id")
+
+    @staticmethod
+    def _provenance_dir(output_root: str) -> str:
+        return f"{output_root.rstrip('/')}/_provenance"
+
+    def recorded_provenance(self, output_root: str) -> DataFrame:
+        """Latest provenance record per output (append-only table)."""
+        from .sinks import _exists
+
+        path = self._provenance_dir(output_root)
+        if not _exists(self.spark, path):
+            return self.spark.createDataFrame([], "output string, fingerprint struct<source_name:string,"
+                                              "source_size:bigint,source_mtime_ns:bigint,layout_sha256:string,"
+                                              "columns:string,all_string:boolean,output_format:string,"
+                                              "conversion_format_version:int>")
+        records = self.spark.read.parquet(path)
+        return records.groupBy("output").agg(F.max_by("fingerprint", "written_at").alias("fingerprint"))
+
+    def plan_conversion(self, output_root: str, output_format: str = "parquet", scope: str | None = None,
+                        years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
+                        columns: Iterable[str] | None = None, all_string: bool = False,
+                        force: bool = False) -> DataFrame:
+        """Newest revision per output, then the batch filter, then the
+        currency check of each expected fingerprint against the recorded one.
+
+        status: ``convert`` / ``skipped`` / ``unresolved`` (no dictionary, or
+        several text members and none chosen)."""
+        layouts = self.layout_catalog()
+        matched = self.catalog(layouts)
+        chosen = R.latest_revision(matched, output_format, flat=self.output_layout == "flat", path_col="path",
+                                   tiebreak="uri")
+        picked = R.batch_filter(chosen, scope, years, quarters)
+        if self.output_layout == "flat":
+            target = F.concat(P.flat_name(F.col("name"), F.col("scope")), F.lit("." + output_format))
+        else:
+            target = F.concat(P.nested_output(F.col("path"), F.col("scope")), F.lit("." + output_format))
+        expected = picked.join(self.layout_digests(layouts), "layout_id", "left").select(
+            "*", target.alias("output"), F.col("name").alias("source_name"), F.col("size").alias("source_size"),
+            (F.unix_micros(F.col("mtime")) * 1000).alias("source_mtime_ns"),
+            F.col("dictionary_sha256").alias("layout_sha256"), F.size("text_members").alias("n_text"))
+        expected = CV.expected_fingerprint(expected, columns, all_string, output_format)
+        return CV.conversion_plan(expected, self.recorded_provenance(output_root), "output", force)
+
+    def convert_catalog(self, output_root: str, output_format: str = "parquet", scope: str | None = None,
+                        years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
+                        columns: Iterable[str] | None = None, all_string: bool = False,
+                        force: bool = False) -> DataFrame:
+        """Run the plan: one conversion job per dictionary, provenance appended.
+
+        Returns one row ``converted, skipped, unresolved``.  The plan and the
+        per-layout variables collected here are bounded by the number of
+        files and dictionaries, not by the data."""
+        import datetime as _dt
+
+        plan = self.plan_conversion(output_root, output_format, scope, years, quarters, columns, all_string, force)
+        rows = plan.select("uri", "member", "output", "layout_id", "status", "fingerprint", "path").collect()
+        counts = {"converted": 0, "skipped": 0, "unresolved": 0}
+        todo: dict[str, list] = {}
+        for r in rows:
+            if r["status"] == "convert":
+                todo.setdefault(r["layout_id"], []).append(r)
+            else:
+                counts[r["status"]] += 1
+        variables = self.layout_variables().filter(F.col("doc_id").isin(list(todo))).select(
+            "doc_id", "name", "start", "width").collect() if todo else []
+        provenance = []
+        for layout_id, group in todo.items():
+            layout = Layout([Variable(v["name"], v["start"], v["width"])
+                             for v in sorted(variables, key=lambda v: v["start"]) if v["doc_id"] == layout_id])
+            by_uri = {r["uri"]: r for r in group}
+            archives = self.spark.createDataFrame([(r["uri"], r["member"]) for r in group], "path string, member string")
+            lines = self._member_lines(archives)
+            report = convert_lines(self.spark, lines, layout, output_root, output_format, columns, all_string,
+                                   force=True, output_name=lambda src: by_uri[src]["output"]).collect()
+            for rep in report:
+                record = by_uri[rep["source"]]
+                if rep["status"] == "converted":
+                    counts["converted"] += 1
+                    provenance.append((record["output"], record["path"], layout_id, int(rep["rows"]),
+                                       len(layout.select(columns)), record["fingerprint"],
+                                       _dt.datetime.now(_dt.timezone.utc)))
+                else:
+                    counts["unresolved"] += 1
+        if provenance:
+            schema = self.recorded_provenance(output_root).schema["fingerprint"].dataType.simpleString()
+            self.spark.createDataFrame(
+                provenance, f"output string, source string, layout_id string, rows long, columns int, "
+                            f"fingerprint {schema}, written_at timestamp"
+            ).write.mode("append").parquet(self._provenance_dir(output_root))
+        return self.spark.createDataFrame([(counts["converted"], counts["skipped"], counts["unresolved"])],
+                                          "converted long, skipped long, unresolved long")
+
+    def _member_lines(self, archives: DataFrame) -> DataFrame:
+        from ..sources.archives import LINES_SCHEMA, _line_scan
+
+        def run(batches):
+            for pdf in batches:
+                for uri, member in zip(pdf["path"], pdf["member"]):
+                    import pandas as pd
+
+                    yield from _line_scan(member, "utf-8", A.LINE_BATCH)(iter([pd.DataFrame({"path": [uri]})]))
+
+        lines = archives.mapInPandas(run, LINES_SCHEMA)
+        return lines.filter(F.col("error").isNull()).select(F.col("archive").alias("source"), "value")
+
     # --------------------------------------------------------------- panel
     def panel(self, wave_paths: Sequence[str], panel_id: str, output: str, wide: bool = False,
               force: bool = False) -> DataFrame:

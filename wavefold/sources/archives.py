@@ -26,7 +26,7 @@ from ..functions import paths as P
 
 LINE_BATCH = 50_000
 
-INVENTORY_SCHEMA = "archive string, size long, readable boolean, members array<string>, error string"
+INVENTORY_SCHEMA = "archive string, size long, mtime timestamp, readable boolean, members array<string>, error string"
 LINES_SCHEMA = "archive string, member string, line_no long, value string, error string"
 CRC_SCHEMA = "archive string, crc_ok boolean, bad_member string"
 UNPACK_SCHEMA = "archive string, member string, output string, bytes long, error string"
@@ -110,21 +110,24 @@ def file_listing(spark: SparkSession, root: str, zips_only: bool = False) -> Dat
 def _inventory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for uri, size in zip(pdf["path"], pdf["size"]):
+        mtimes = pdf["mtime"] if "mtime" in pdf.columns else [None] * len(pdf)
+        for uri, size, mtime in zip(pdf["path"], pdf["size"], mtimes):
             try:
                 with open_random_access(uri) as handle, zipfile.ZipFile(handle) as archive:
                     names = archive.namelist()
-                out.append((uri, int(size), True, names, None))
+                out.append((uri, int(size), mtime, True, names, None))
             except (zipfile.BadZipFile, OSError) as exc:
-                out.append((uri, int(size), False, [], f"unreadable ZIP: {exc}"))
-        yield pd.DataFrame(out, columns=["archive", "size", "readable", "members", "error"])
+                out.append((uri, int(size), mtime, False, [], f"unreadable ZIP: {exc}"))
+        yield pd.DataFrame(out, columns=["archive", "size", "mtime", "readable", "members", "error"])
 
 
 def archive_inventory(listing: DataFrame) -> DataFrame:
     """Member names of every archive (central directory only) plus the text
     members; unreadable archives are kept with ``readable = false`` so the
     caller can warn and skip them."""
-    inv = listing.select("path", "size").mapInPandas(_inventory, INVENTORY_SCHEMA)
+    if "mtime" not in listing.columns:
+        listing = listing.withColumn("mtime", F.lit(None).cast("timestamp"))
+    inv = listing.select("path", "size", "mtime").mapInPandas(_inventory, INVENTORY_SCHEMA)
     return inv.withColumn("text_members", F.filter("members", P.is_text_member))
 
 

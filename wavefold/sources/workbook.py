@@ -89,21 +89,32 @@ def sheet_rows(data: bytes) -> Iterator[tuple[int, list[str]]]:
 def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["doc_id", "row_no"] + [f"c{i}" for i in range(N_CELLS)] + ["error"]
     for pdf in batches:
-        for uri in pdf["path"]:
+        members = pdf["member"] if "member" in pdf.columns else [None] * len(pdf)
+        doc_ids = pdf["doc_id"] if "doc_id" in pdf.columns else pdf["path"]
+        for uri, member, doc in zip(pdf["path"], members, doc_ids):
             rows = []
             try:
                 with open_random_access(uri) as handle:
-                    data = handle.read()
+                    if member:
+                        with zipfile.ZipFile(handle) as archive:
+                            data = archive.read(member)
+                    else:
+                        data = handle.read()
                 for number, cells in sheet_rows(data):
-                    rows.append((uri, number, *cells, None))
+                    rows.append((doc, number, *cells, None))
             except (zipfile.BadZipFile, KeyError, ET.ParseError, OSError) as exc:
-                rows.append((uri, None, *([None] * N_CELLS), f"unreadable workbook: {exc}"))
+                rows.append((doc, None, *([None] * N_CELLS), f"unreadable workbook: {exc}"))
             yield pd.DataFrame(rows, columns=columns)
 
 
 def workbook_cells(workbooks: DataFrame) -> DataFrame:
-    """Cells of every ``.xlsx`` in ``workbooks.path`` (one workbook per task)."""
-    return workbooks.select("path").mapInPandas(_read_cells, CELLS_SCHEMA)
+    """Cells of every ``.xlsx`` in ``workbooks.path`` (one workbook per task).
+
+    Optional columns: ``member`` (read that workbook out of the ZIP at
+    ``path``) and ``doc_id`` (the document key to emit; default the path).
+    """
+    cols = [c for c in ("path", "member", "doc_id") if c in workbooks.columns]
+    return workbooks.select(*cols).mapInPandas(_read_cells, CELLS_SCHEMA)
 
 
 # ------------------------------------------------------------- writing
