@@ -58,3 +58,19 @@ def test_incremental_convert_catalog(spark, tmpdir_path):
     assert (again["converted"], again["skipped"], again["unresolved"]) == (0, 1, 0)
     subset = Archive(spark, tmpdir_path).convert_catalog(out, columns=["UF"]).first()
     assert (subset["converted"], subset["skipped"]) == (1, 0)
+
+
+def test_remote_discovery_and_flat_index(spark, tmpdir_path):
+    from wavefold.plans.sinks import flat_index, write_flat_index
+
+    html = ('<a href="2024/">d</a><a href="PNADC_012024.zip">a</a><a href="PNADC_022023.zip">b</a>'
+            '<a href="Documentacao/dicionario.zip">c</a><a href="Projecoes_Anteriores/x.zip">p</a>')
+    pages = spark.createDataFrame([(1, "https://h.example/T/", html)], "page_id long, url string, html string")
+    archive = Archive(spark, tmpdir_path)
+    got = {r["path"] for r in archive.remote_files(pages, {"trimestral": "https://h.example/T/"}, years=[2024]).collect()}
+    assert got == {"PNADC_012024.zip", "Documentacao/dicionario.zip"}
+    index = flat_index(spark.createDataFrame([("b.parquet", 2), ("a.parquet", 1)], "name string, size long"))
+    target = os.path.join(tmpdir_path, "index.json")
+    write_flat_index(index, target)
+    assert open(target).read().splitlines() == ['{"name":"a.parquet","size":1,"files":[]}',
+                                                '{"name":"b.parquet","size":2,"files":[]}']

@@ -110,6 +110,38 @@ class Archive:
         matched = C.choose_layouts(keyed, layouts)
         return matched.drop("year").withColumnRenamed("period_year", "year")
 
+    # ----------------------------------------------------------- discovery
+    def remote_files(self, pages: DataFrame, roots: dict[str, str], years: Iterable[int] | None = None,
+                     quarters: Iterable[int] | None = None) -> DataFrame:
+        """Remote listing from index pages: in-scope file links of each
+        survey root, minus exclusions, then the period filter (shared
+        documents always pass; quarters bind only the quarterly survey).
+
+        ``pages``: page_id, url, html — one hop of the crawl, every page at once.
+        ``roots``: survey → root directory URL.
+        """
+        from ..functions import urls as UR
+        from ..sources import pages as PG
+
+        links = PG.page_links(pages)
+        # Each page belongs to the survey whose root prefixes it: a CASE over
+        # the (few) configured roots, so no join is needed.
+        survey, root = None, None
+        for name, url in roots.items():
+            cond = F.col("page_url").startswith(url)
+            survey = F.when(cond, F.lit(name)) if survey is None else survey.when(cond, F.lit(name))
+            root = F.when(cond, F.lit(url)) if root is None else root.when(cond, F.lit(url))
+        links = links.withColumn("survey", survey).withColumn("root", root).filter(F.col("survey").isNotNull())
+        classified = PG.classify_links(links, F.col("root"))
+        survey_of_root = None
+        for name, url in roots.items():
+            cond = F.col("root") == url
+            survey_of_root = F.when(cond, F.lit(name)) if survey_of_root is None else survey_of_root.when(cond, F.lit(name))
+        files = PG.local_files(classified).withColumn("survey", survey_of_root)
+        files = files.withColumnRenamed("local_path", "path").filter(~P.excluded(F.col("path"), list(self.exclude)))
+        return files.filter(P.period_selected(F.col("path"), F.col("survey"), years, quarters)).select(
+            "survey", "path", "url", F.concat(F.col("survey"), F.lit("/"), F.col("path")).alias("key"))
+
     # ---------------------------------------------------------------- sync
     def sync_plan(self, remote: DataFrame, manifest: DataFrame, local: DataFrame) -> DataFrame:
         return S.sync_plan(remote, manifest, local, self.surveys)

@@ -7,14 +7,11 @@ per job, and an existing target is refused unless ``force``.
 
 from __future__ import annotations
 
-import os
-import shutil
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import to_local_path
 
 # CSV dialect of Python's csv.writer defaults (header, minimal
 # quoting, doubled quotes, CRLF line ends, empty text for missing values).
@@ -125,16 +122,25 @@ def flat_index(listing: DataFrame, produced: DataFrame | None = None) -> DataFra
 def write_flat_index(index: DataFrame, target_file: str) -> str:
     """JSON lines in name order; an empty catalog gives an empty file.
 
-    The index is one line per output file (a few thousand at most), so it is
-    written through a single partition to keep the global order in one file.
+    The index has one line per output file (thousands at most), so it is
+    written through a single partition and the part file is then renamed to
+    ``target_file`` with the Hadoop file system (works on any cluster store).
     """
+    spark = index.sparkSession
     lines = index.select(F.to_json(F.struct("name", "size", "files")).alias("value"))
     staging = target_file + ".d"
     lines.coalesce(1).write.mode("overwrite").text(staging)
-    local = to_local_path(staging)
-    parts = sorted(p for p in os.listdir(local) if p.startswith("part-"))
-    with open(to_local_path(target_file), "w", encoding="utf-8") as out:
-        for p in parts:
-            with open(os.path.join(local, p), "r", encoding="utf-8") as src:
-                shutil.copyfileobj(src, out)
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(staging)
+    fs = folder.getFileSystem(conf)
+    parts = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-")]
+    target = jvm.org.apache.hadoop.fs.Path(target_file)
+    if fs.exists(target):
+        fs.delete(target, False)
+    if parts:
+        fs.rename(parts[0], target)
+    else:
+        fs.create(target).close()
+    fs.delete(folder, True)
     return target_file
