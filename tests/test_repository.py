@@ -74,3 +74,28 @@ def test_remote_discovery_and_flat_index(spark, tmpdir_path):
     write_flat_index(index, target)
     assert open(target).read().splitlines() == ['{"name":"a.parquet","size":1,"files":[]}',
                                                 '{"name":"b.parquet","size":2,"files":[]}']
+
+
+def test_facade_verify_and_panel(spark, tmpdir_path):
+    import hashlib
+
+    build_tree(tmpdir_path)
+    archive = Archive(spark, tmpdir_path)
+    rel = "originals/trimestral/2024/PNADC_012024_20250101.zip"
+    data = open(os.path.join(tmpdir_path, rel), "rb").read()
+    manifest = spark.createDataFrame(
+        [("k1", rel, len(data), hashlib.sha256(data).hexdigest()), ("k2", rel, len(data), "0" * 64),
+         ("k3", rel, len(data), None)], "key string, local string, size long, sha256 string")
+    got = {r["key"]: r["status"] for r in archive.verify(manifest).collect()}
+    assert got == {"k1": "ok", "k2": "failed", "k3": "unverifiable"}
+    deep = {r["key"]: r["status"] for r in archive.verify(manifest, deep=True).collect()}
+    assert deep["k3"] == "ok"
+    cols = "ano int, trimestre int, upa int, v1008 int, v1016 int, v2003 int, v2007 int, v2008 int, v20081 int, v20082 int"
+    paths = []
+    for w in (1, 2):
+        rows = [(2024, w, 100, 1, w, None, 1, 10, 5, 1980), (2024, w, 100, 1, w, None, 1, 10, 5, 1980)]
+        p = os.path.join(tmpdir_path, f"wave{w}.parquet")
+        spark.createDataFrame(rows, cols).coalesce(1).write.parquet(p)
+        paths.append(p)
+    summary = archive.panel(paths, "20241", os.path.join(tmpdir_path, "panel.parquet")).first()
+    assert (summary["rows"], summary["persons"]) == (4, 2)

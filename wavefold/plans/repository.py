@@ -147,9 +147,9 @@ class Archive:
         return S.sync_plan(remote, manifest, local, self.surveys)
 
     def verify(self, manifest: DataFrame, deep: bool = False) -> DataFrame:
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.originals)
-        local = files.select(F.regexp_extract("path", r"(originals/.*)$", 1).alias("local"),
-                             F.col("length").alias("file_size"), F.sha2(F.col("content"), 256).alias("digest"))
+        listing = A.file_listing(self.spark, self.originals)
+        local = A.file_digests(listing).select(F.regexp_extract("path", r"(originals/.*)$", 1).alias("local"),
+                                               "file_size", "digest")
         crc = None
         if deep:
             zips = A.file_listing(self.spark, self.originals, zips_only=True)
