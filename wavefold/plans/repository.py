@@ -171,11 +171,19 @@ class Archive:
 
     # ------------------------------------------------------------- convert
     def convert(self, sources: Sequence[str], layout: Layout, output_root: str, output_format: str = "parquet",
-                columns: Iterable[str] | None = None, all_string: bool = False, force: bool = False) -> DataFrame:
-        """Convert the text member of every listed ZIP with one layout (one job)."""
+                columns: Iterable[str] | None = None, all_string: bool = False, force: bool = False,
+                rebalance: bool = True) -> DataFrame:
+        """Convert the text member of every listed ZIP with one layout (one job).
+
+        A ZIP member is one deflate stream, so each archive is decompressed by
+        one task; ``rebalance`` spreads the decompressed lines over the
+        cluster before the (heavier) parse, so one huge archive does not
+        leave the parse in a single task."""
         archives = self.spark.createDataFrame([(s,) for s in sources], "path string")
         lines = A.archive_lines(archives).filter(F.col("error").isNull()).select(
             F.col("archive").alias("source"), "value")
+        if rebalance:
+            lines = lines.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return convert_lines(self.spark, lines, layout, output_root, output_format, columns, all_string, force)
 
     # --------------------------------------- incremental conversion (M2)
@@ -297,7 +305,9 @@ class Archive:
                     yield from _line_scan(member, "utf-8", A.LINE_BATCH)(iter([pd.DataFrame({"path": [uri]})]))
 
         lines = archives.mapInPandas(run, LINES_SCHEMA)
-        return lines.filter(F.col("error").isNull()).select(F.col("archive").alias("source"), "value")
+        lines = lines.filter(F.col("error").isNull()).select(F.col("archive").alias("source"), "value")
+        # One task per archive decompresses; the parse runs spread out.
+        return lines.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     # --------------------------------------------------------------- panel
     def panel(self, wave_paths: Sequence[str], panel_id: str, output: str, wide: bool = False,
