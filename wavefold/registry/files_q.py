@@ -25,7 +25,7 @@ from ..plans.convert import convert_lines
 from ..sources import archives as A
 from ..sources import workbook as WB
 from ..sources.fixed_width import ERRORS, parse_lines
-from ..session import staging_path
+from ..session import ship_package, staging_path
 from . import dictionary_q as DQ
 from . import fixed_width_q as FQ
 
@@ -81,6 +81,7 @@ def _odd_archives(root: str):
 
 
 def archive_root(spark: SparkSession, sf_dir: str) -> str:
+    ship_package(spark)
     key = _key(spark, sf_dir, "archives")
     if key in _CACHE:
         return _CACHE[key]
@@ -159,6 +160,7 @@ def _write_workbook(root: str):
 
 
 def workbook_root(spark: SparkSession, sf_dir: str) -> str:
+    ship_package(spark)
     key = _key(spark, sf_dir, "workbooks")
     if key in _CACHE:
         return _CACHE[key]

@@ -78,3 +78,35 @@ def to_local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(to_local_path(path), exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wavefold`` importable in Python workers (``--py-files`` style).
+
+    Functions run by ``mapInPandas``/``applyInPandas`` refer to this package;
+    the package is zipped once per application and added with ``addPyFile``,
+    so workers import it whatever their working directory.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(package)
+    fd, path = tempfile.mkstemp(prefix="wavefold-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(package):
+            if "__pycache__" in folder:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)

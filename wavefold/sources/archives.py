@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..session import ship_package
 
 LINE_BATCH = 50_000
 
@@ -125,6 +126,7 @@ def archive_inventory(listing: DataFrame) -> DataFrame:
     """Member names of every archive (central directory only) plus the text
     members; unreadable archives are kept with ``readable = false`` so the
     caller can warn and skip them."""
+    ship_package(listing.sparkSession)
     if "mtime" not in listing.columns:
         listing = listing.withColumn("mtime", F.lit(None).cast("timestamp"))
     inv = listing.select("path", "size", "mtime").mapInPandas(_inventory, INVENTORY_SCHEMA)
@@ -186,6 +188,7 @@ def archive_lines(archives: DataFrame, member: str | None = None, encoding: str
     decode error ends that archive with an ``error`` row.  ``line_no`` is the
     1-based position in the member — a stable ordinal for ties.
     """
+    ship_package(archives.sparkSession)
     return archives.select("path").mapInPandas(_line_scan(member, encoding, batch_rows), LINES_SCHEMA)
 
 
@@ -222,6 +225,7 @@ def _digests(chunk_size: int):
 def file_digests(listing: DataFrame, chunk_size: int = 1 << 20) -> DataFrame:
     """SHA-256 of every listed file, streamed in 1 MiB chunks inside tasks
     (no 2 GiB row limit, bounded memory), one file per loop iteration."""
+    ship_package(listing.sparkSession)
     return listing.select("path").mapInPandas(_digests(chunk_size), DIGEST_SCHEMA)
 
 
@@ -243,6 +247,7 @@ def _crc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def crc_check(archives: DataFrame) -> DataFrame:
     """Deep check: every member's CRC, one archive per task."""
+    ship_package(archives.sparkSession)
     return archives.select("path").mapInPandas(_crc, CRC_SCHEMA)
 
 
@@ -284,6 +289,7 @@ def unpack_archives(archives: DataFrame, target_root: str, relative_col: str = "
     """Write every member of each archive below ``target_root/<archive
     without .zip>/``; an unsafe member fails its whole archive and nothing of
     it is written.  Rewrites are idempotent, so a retried task is harmless."""
+    ship_package(archives.sparkSession)
     return archives.select("path", F.col(relative_col).alias("relative")).mapInPandas(
         _unpack(target_root, ""), UNPACK_SCHEMA)
 

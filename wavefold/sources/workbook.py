@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .archives import open_random_access
 
 N_CELLS = 8
@@ -113,6 +114,7 @@ def workbook_cells(workbooks: DataFrame) -> DataFrame:
     Optional columns: ``member`` (read that workbook out of the ZIP at
     ``path``) and ``doc_id`` (the document key to emit; default the path).
     """
+    ship_package(workbooks.sparkSession)
     cols = [c for c in ("path", "member", "doc_id") if c in workbooks.columns]
     return workbooks.select(*cols).mapInPandas(_read_cells, CELLS_SCHEMA)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.layout import Layout
-from ..session import checkpoint_root
+from ..session import checkpoint_root, ship_package
 from ..sources.fixed_width import ERRORS, parse_lines
 
 
@@ -64,6 +64,7 @@ def start_conversion(
     max_files_per_trigger: int | None = 100, available_now: bool = True,
 ) -> StreamingQuery:
     """Start (or resume) the incremental conversion of ``input_dir``."""
+    ship_package(spark)
     parsed = stream_fixed_width(spark, input_dir, layout, columns, all_string, max_files_per_trigger)
     location = checkpoint or f"{checkpoint_root(spark)}/wavefold-streams/{abs(hash((input_dir, output_dir)))}"
     writer = parsed.writeStream.foreachBatch(_sink(output_dir, output_dir.rstrip("/") + "_rejected")) \
