@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from wavefold.registry import all_queries  # noqa: E402
 from wavefold.registry import fixed_width_q as FQ  # noqa: E402
-from wavefold.session import local_session, staging_path  # noqa: E402
+from wavefold.session import local_session, ship_package, staging_path  # noqa: E402
 from wavefold.sources.fixed_width import read_fixed_width  # noqa: E402
 
 HEADLINE = [
@@ -48,6 +48,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16), memory="16g")
+    ship_package(spark)
 
     # Render lineitem into plain fixed-width text files once.
     text_dir = staging_path(spark, "bench-lines")
