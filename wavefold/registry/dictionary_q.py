@@ -37,6 +37,11 @@ def _row(row_no, c0="", c1="", c2="", c3="", c4="", c5="", c6="", c7=""):
     )
 
 
+def _zero_pad(text, width: int):
+    """Left zero padding that never truncates (``lpad`` cuts longer text)."""
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -49,7 +54,7 @@ def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.lit(10) + ck * 8
     m4 = ck % 4
     variable = _row(
-        r, F.lpad((ck * 3 + 1).cast("string"), 4, "0"), (ck % 20 + 1).cast("string"),
+        r, _zero_pad((ck * 3 + 1).cast("string"), 4), (ck % 20 + 1).cast("string"),
         F.concat(F.lit("V"), ck.cast("string")), F.lpad((ck % 9).cast("string"), 2, "0"),
         F.concat(F.lit('  "Cliente"   '), F.col("c_name")),
         F.when(m4 == 0, F.lit("1")).when(m4 == 1, F.lit("Código de segmento"))
@@ -160,7 +165,7 @@ def _cell_rows() -> str:
     r = "(10 + ck * 8)"
     rows = [
         f"SELECT doc_id, {r} - 1 AS row_no, 'Bloco ' || CAST(ck AS VARCHAR) AS c0, '' c1, '' c2, '' c3, '' c4, '' c5, '' c6, '' c7 FROM B WHERE ck % 50 = 0",
-        f"""SELECT doc_id, {r}, lpad(CAST(ck * 3 + 1 AS VARCHAR), 4, '0'), CAST(ck % 20 + 1 AS VARCHAR),
+        f"""SELECT doc_id, {r}, CASE WHEN length(CAST(ck * 3 + 1 AS VARCHAR)) >= 4 THEN CAST(ck * 3 + 1 AS VARCHAR) ELSE lpad(CAST(ck * 3 + 1 AS VARCHAR), 4, '0') END, CAST(ck % 20 + 1 AS VARCHAR),
                    'V' || CAST(ck AS VARCHAR), lpad(CAST(ck % 9 AS VARCHAR), 2, '0'), '  "Cliente"   ' || c_name,
                    CASE ck % 4 WHEN 0 THEN '1' WHEN 1 THEN 'Código de segmento' WHEN 2 THEN 'Texto livre ' || seg ELSE '' END,
                    CASE ck % 4 WHEN 0 THEN seg WHEN 1 THEN seg WHEN 2 THEN 'nota' ELSE '' END,
