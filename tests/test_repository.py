@@ -99,3 +99,16 @@ def test_facade_verify_and_panel(spark, tmpdir_path):
         paths.append(p)
     summary = archive.panel(paths, "20241", os.path.join(tmpdir_path, "panel.parquet")).first()
     assert (summary["rows"], summary["persons"]) == (4, 2)
+
+
+def test_flat_layout_writes_index(spark, tmpdir_path):
+    import json
+
+    build_tree(tmpdir_path)
+    out = os.path.join(tmpdir_path, "flat")
+    result = Archive(spark, tmpdir_path, output_layout="flat").convert_catalog(out).first()
+    assert result["converted"] == 1
+    lines = open(os.path.join(out, "pnadc.microdados.dicionarios.json")).read().splitlines()
+    record = json.loads(lines[0])
+    assert record["name"] == "pnadc.microdados.trimestral.2024.1.parquet" and record["size"] > 0
+    assert record["files"][0].endswith("PNADC_012024_20250101.zip")

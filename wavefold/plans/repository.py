@@ -27,7 +27,10 @@ from ..operators.layout import Layout, Variable
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
-from .sinks import publish
+from .sinks import flat_index, publish, write_flat_index
+
+# Fixed value: the index file name other tools look for beside flat outputs.
+FLAT_INDEX_NAME = "pnadc.microdados.dicionarios.json"
 
 
 @dataclass
@@ -291,9 +294,23 @@ class Archive:
                 provenance, f"output string, source string, layout_id string, rows long, columns int, "
                             f"fingerprint {schema}, written_at timestamp"
             ).write.mode("append").parquet(self._provenance_dir(output_root))
+        if self.output_layout == "flat" and output_format == "parquet":
+            produced = [(r["output"], [r["path"], r["layout_id"] or ""]) for r in rows
+                        if r["status"] in ("convert", "skipped")]
+            self.write_index(output_root, produced)
         return self.spark.createDataFrame([(counts["converted"], counts["skipped"], counts["unresolved"])],
                                           "converted long, skipped long, unresolved long")
 
+    def write_index(self, output_root: str, produced: list | None = None) -> str:
+        """Flat-layout index: one JSON line per ``*.parquet`` output (name,
+        total size of its part files, origin), sorted by name."""
+        root = output_root.rstrip("/")
+        files = A.file_listing(self.spark, root).filter(F.col("path").contains(".parquet/"))
+        sizes = files.select(F.regexp_extract("path", r"/([^/]+\.parquet)/[^/]+$", 1).alias("name"), "size") \
+            .filter(F.col("name") != "").groupBy("name").agg(F.sum("size").alias("size"))
+        made = self.spark.createDataFrame(produced or [], "name string, files array<string>")
+        return write_flat_index(flat_index(sizes, made), f"{root}/{FLAT_INDEX_NAME}")
+
     def _member_lines(self, archives: DataFrame) -> DataFrame:
         from ..sources.archives import LINES_SCHEMA, _line_scan
 
