@@ -12,9 +12,6 @@ from wavefold.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, shuffle_partitions=4, memory="4g")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="wavefold-test-ckpt-")
-        session.conf.set("spark.checkpoint.dir", root)
     yield session
 
 

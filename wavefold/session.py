@@ -40,19 +40,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    When the session names none (local runs and tests), a private directory is
-    created and registered, so every later caller sees the same root.
+    A session that names none is accepted only on a ``local`` master, where the
+    driver and the tasks share one disk: a private folder is then registered
+    with the context and reused by every later call.  On a cluster such a
+    folder would be visible to one machine only, so the call fails instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if root:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(root)
+        return root.rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = _LOCAL_ROOTS.get(context.applicationId)
     if not root:
         root = tempfile.mkdtemp(prefix="wavefold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+        context.setCheckpointDir(root)
+        _LOCAL_ROOTS[context.applicationId] = root
+    return root
+
+
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
