@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from wavefold.llm import line_dedup
+from wavefold.llm import byte_bpe, html_text, line_dedup, quality, sharding
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op4_sharding": sharding.op4_sharding,
+    "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_quality_rules": quality.op6_quality_rules,
+    "op9_html_text": html_text.op9_html_text,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op6_quality_rules": quality.ORACLE,
 }
