@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from wavefold.llm import byte_bpe, html_text, line_dedup, quality, sharding
+from wavefold.llm import byte_bpe, html_text, line_dedup, quality, sharding, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op4_sharding": sharding.op4_sharding,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op9_html_text": html_text.op9_html_text,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op6_quality_rules": quality.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }
