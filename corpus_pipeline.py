@@ -1,4 +1,66 @@
-"""placeholder"""
+"""Documents to training tokens: quality, line dedup, near dedup, mixing, encoding.
+
+Each stage reads what its predecessor wrote and decides over all of it.  All but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wavefold.llm import byte_bpe, line_dedup, mixing, ngram_join, quality
+from wavefold.llm.common import stage, table
+from wavefold.session import ship_package
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    ship_package(spark)
+    return quality.judge(docs).filter("kept").select(*COLUMNS)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier one holds."""
+    lean = line_dedup.line_dedup(docs)
+    return lean.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    ship_package(spark)
+    gone = ngram_join.ngram_components(docs).filter("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, those of scarce sources again, so that the sources meet their target weights."""
+    return mixing.mixed(docs).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text."""
+    ship_package(spark)
+    return byte_bpe.encode_documents(docs).select("doc_id", "source", "lang", "n_tokens", "token_ids")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
+
+# The similarity join and the tokenizer have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, work in STAGES:
+        docs = stage(work(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
