@@ -34,6 +34,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions_for(docs: DataFrame, column: str, bytes_each: int = 16 << 20) -> int:
     """Number of parts that keeps each near ``bytes_each`` of ``column``."""
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -7,7 +7,7 @@ the contiguous run with the largest sum, and its words are the text.
 
 Tag weights come from labelled pages: pages that mark their article themselves.  A tag
 common inside articles costs next to nothing, a block tag met only outside costs several
-blocks of words (an inline tag some words).  The fit reads at most ``FIT_PAGES`` labelled pages, chosen by a
+blocks of words (an inline tag one word).  The fit reads at most ``FIT_PAGES`` labelled pages, chosen by a
 hash of the page id; extraction then covers every page.
 """
 
@@ -140,7 +140,16 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     if not page:
         return ""
     found = list(tokens(page))
-    scores = [float(len(value.split())) if kind == "text" else weights.get(value, UNKNOWN_TAG) for kind, value in found]
+    scores, marked = [], 0
+    for kind, value in found:
+        if kind == "text":
+            scores.append(float(len(value.split())))
+            continue
+        if value in ("article", "main"):
+            marked = max(0, marked + (1 if kind == "open" else -1))
+        weight = weights.get(value, CHEAPEST_TAG if value in INLINE else UNKNOWN_TAG)
+        # Inside a marked article a tag may divide blocks but not the article.
+        scores.append(max(weight, UNKNOWN_TAG) if marked and value not in ("article", "main") else weight)
     first, end = best_run(scores)
     out = []
     for kind, value in found[first:end]:
@@ -153,22 +162,22 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def fit_weights(labelled: list[str]) -> dict[str, float]:
     """Tag weights from pages that mark their article with ``<article>`` or ``<main>``."""
-    inside, outside = Counter(), Counter()
+    inside, every = Counter(), Counter()
     for page in labelled:
+        every.update(value for kind, value in tokens(page, everything=True) if kind != "text")
         depth = 0
-        for kind, value in tokens(page, everything=True):
-            if kind == "text":
-                continue
-            if value in ("article", "main"):
+        for kind, value in tokens(page):
+            if value in ("article", "main") and kind != "text":
                 depth = max(0, depth + (1 if kind == "open" else -1))
-                outside[value] += 1
-            else:
-                (inside if depth else outside)[value] += 1
+            elif kind != "text" and depth:
+                inside[value] += 1
+    outside = every - inside
     n_in, n_out = sum(inside.values()) + 1, sum(outside.values()) + 1
     weights = {}
     for tag in {*inside, *outside}:
         odds = math.log((outside[tag] + 0.5) / n_out) - math.log((inside[tag] + 0.5) / n_in)
-        weights[tag] = min(CHEAPEST_TAG, -odds * (1 if tag in INLINE else WORDS_PER_BLOCK))
+        cost = max(UNKNOWN_TAG, -odds) if tag in INLINE else -odds * WORDS_PER_BLOCK
+        weights[tag] = min(CHEAPEST_TAG, cost)
     return weights
 
 

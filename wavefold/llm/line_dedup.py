@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import WHITE, ascii_lower, stage
+from wavefold.llm.common import WHITE, ascii_lower, stage, unused
 
 MIN_KEY_CHARS = 10
 BATCHES = 4
@@ -107,21 +107,21 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_KEY_CHARS, batches: int = B
     three results are replaced; all others stay.
     """
     owners = shared_lines(docs, min_chars, batches, fanout)
-    drops = (_lines(docs, min_chars).join(owners, ["h1", "h2"]).filter(F.col("doc_id") > F.col("owner"))
-             .groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
-             .agg(F.collect_set("pos").alias("_drop")))
     base = docs.drop("kept_text", "n_lines", "n_dropped")
+    doc, key, drop, parts, text_key = unused(base, "_doc", "_key", "_drop", "_lines", "_text_key")
+    drops = (_lines(docs, min_chars).join(owners, ["h1", "h2"]).filter(F.col("doc_id") > F.col("owner"))
+             .groupBy(F.col("doc_id").alias(doc), F.col("row_key").alias(key))
+             .agg(F.collect_set("pos").alias(drop)))
     text = F.coalesce("text", F.lit(""))
-    keyed = base.withColumn("_text_key", F.xxhash64(text))
-    joined = keyed.join(drops, (F.col("doc_id") == F.col("_doc")) & (F.col("_text_key") == F.col("_key")), "left")
+    keyed = base.withColumn(text_key, F.xxhash64(text))
+    joined = keyed.join(drops, (F.col("doc_id") == F.col(doc)) & (F.col(text_key) == F.col(key)), "left")
     lines = F.split(text, "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
-    kept = F.array_join(F.transform(stay, lambda p: F.get(F.col("_lines"), p)), "\n")
-    return (joined.withColumn("_lines", lines)
-            .withColumn("kept_text", F.when(F.col("_drop").isNull(), text).otherwise(kept))
-            .withColumn("n_lines", F.size("_lines").cast("long"))
-            .withColumn("n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-            .withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
+    kept = F.array_join(F.transform(stay, lambda p: F.get(F.col(parts), p)), "\n")
+    return (joined.withColumn(parts, lines)
+            .withColumn("kept_text", F.when(F.col(drop).isNull(), text).otherwise(kept))
+            .withColumn("n_lines", F.size(parts).cast("long"))
+            .withColumn("n_dropped", F.when(F.col(drop).isNull(), 0).otherwise(F.size(drop)).cast("long"))
             .select(*base.columns, "kept_text", "n_lines", "n_dropped"))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wavefold.llm.common import stage
+from wavefold.llm.common import stage, unused
 
 MAX_REPEATS = 2.0
 BLOCK_DOCS = 512
@@ -125,13 +125,13 @@ def mixed(docs: DataFrame, max_repeats: float = MAX_REPEATS, entropy: float | No
     named = F.coalesce("source", F.lit(""))
     counted = stage(base.select("doc_id", named.alias("source"), _word_count(F.col("text")).alias("n_tokens")), "mix-counts")
     plan = passes(counted, weights(counted, max_repeats, entropy))
-    plan = plan.select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("bits").alias("_bits"),
-                       F.col("last_key").alias("_last"))
-    joined = base.join(plan, named == F.col("_source"))
-    again = _permuted(F.col("_whole")) <= F.col("_last")
-    used = joined.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.when(again, F.col("_whole")).otherwise(F.col("_whole") - 1))))
-    return (used.withColumn("order_key", _permuted(F.col("epoch")))
-            .withColumn("block", F.expr("shiftright(order_key, 63 - _bits)"))
+    own, whole, bits, last = unused(base, "_source", "_whole", "_bits", "_last")
+    plan = plan.select(F.col("source").alias(own), F.col("whole").alias(whole), F.col("bits").alias(bits), F.col("last_key").alias(last))
+    joined = base.join(plan, named == F.col(own))
+    again = _permuted(F.col(whole)) <= F.col(last)
+    uses = F.sequence(F.lit(0), F.when(again, F.col(whole)).otherwise(F.col(whole) - 1))
+    return (joined.withColumn("epoch", F.explode(uses)).withColumn("order_key", _permuted(F.col("epoch")))
+            .withColumn("block", F.expr(f"shiftright(order_key, 63 - `{bits}`)"))
             .select(*base.columns, "epoch", "block", "order_key"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wavefold.llm.common import SpanHasher, line_spans, mix, rolling, stage, text_chunks, word_spans
+from wavefold.llm.common import SpanHasher, line_spans, mix, rolling, stage, text_chunks, unused, word_spans
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -120,21 +120,23 @@ def host_verdicts(flags: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
-    """``docs`` plus the measures, ``base_failed`` and ``kept``.
+    """``docs`` plus a struct ``_q`` of the measures, ``base_failed`` and ``kept``.
 
     ``kept`` is false for a document that fails a base rule, or breaks another
     rule on a strict host.  A null host is a host of its own; null text has no words and
     fails.  Rows that repeat are judged one by one; an empty table gives an empty result.  The
     texts are measured twice (for the hosts, for the documents) and never shuffled.
+    Columns named like the three results are replaced; all others stay.
     """
     named = F.coalesce(F.col(host), F.lit(""))
     flags = measured(docs.select(named.alias("host"), "text"))
     verdicts = host_verdicts(flags.select("host", (base_failed() | rule_failed()).alias("failed")))
-    strict = verdicts.select(F.col("host").alias("_host"), F.col("strict").alias("_strict"))
-    base = docs.drop("base_failed", "kept", "_q", "_host", "_strict")
-    joined = measured(base).join(strict, named == F.col("_host"), "left")
+    base = docs.drop("base_failed", "kept", "_q")
+    known, strict = unused(base, "_host", "_strict")
+    joined = measured(base).join(verdicts.select(F.col("host").alias(known), F.col("strict").alias(strict)),
+                                 named == F.col(known), "left")
     return (joined.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~(rule_failed() & F.coalesce("_strict", F.lit(False))))
+            .withColumn("kept", ~F.col("base_failed") & ~(rule_failed() & F.coalesce(strict, F.lit(False))))
             .select(*base.columns, "_q", "base_failed", "kept"))
 
 
