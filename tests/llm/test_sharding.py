@@ -36,7 +36,7 @@ def test_a_group_larger_than_a_shard_fills_few_shards(make):
     got = sharding.shard_documents(make(rows), 8).collect()
     check([(r[0], r[1]) for r in rows], got, 8)
     copies = Counter(r["shard"] for r in got if r["doc_id"] % 2)
-    assert len(copies) <= 7  # 400 copies, 100 rows a shard; a scattered deal would touch all 8
+    assert len(copies) <= 7 and sum(n for _, n in copies.most_common(5)) >= 300  # 400 copies, 100 rows a shard
 
 
 def test_all_linked_nulls_repeats_and_extra_columns(make):

@@ -46,6 +46,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def bounded_sample(df: DataFrame, key: str, size: int, salt: int) -> DataFrame:
+    """At most ``size`` values of ``key``, one from each of ``size`` hash buckets.
+
+    A map-side minimum: no task and no driver handles more than ``size`` candidates, however many rows there are.
+    """
+    known = df.filter(F.col(key).isNotNull()).select(key)
+    bucket = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(size))
+    return known.groupBy(bucket.alias("bucket")).agg(F.min(key).alias(key)).select(key)
+
+
 def partitions_for(docs: DataFrame, column: str, bytes_each: int = 16 << 20) -> int:
     """Number of parts that keeps each near ``bytes_each`` of ``column``."""
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import components, stage
+from wavefold.llm.common import bounded_sample, components, stage
 
 COSINE = 0.95
 TARGET = 0.9995
@@ -110,7 +110,7 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def _calibrate(reps: DataFrame, index: MultiIndex, dim: int, cosine: float, target: float, sample: int, most: int) -> int:
     """Cells to visit: the smallest number that finds ``target`` of the sampled vectors' links."""
-    chosen = reps.orderBy(F.xxhash64(F.lit(23), "rep"), "rep").limit(sample).select("rep", "embedding").toArrow()
+    chosen = reps.join(bounded_sample(reps, "rep", sample, 23), "rep").select("rep", "embedding").orderBy("rep").toArrow()
     ids, queries = chosen.column("rep").to_numpy(), _unit(chosen.column("embedding").combine_chunks(), dim)
     if not len(ids):
         return 1
@@ -214,7 +214,8 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
     reps = stage(usable.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                F.min_by("embedding", "vec_id").alias("embedding")), "vector-classes")
     total = reps.count()
-    sample = reps.orderBy(F.xxhash64("rep"), "rep").limit(fit_sample).select("embedding").toArrow().column("embedding").combine_chunks()
+    chosen = reps.join(bounded_sample(reps, "rep", fit_sample, 31), "rep").orderBy("rep").select("embedding")
+    sample = chosen.toArrow().column("embedding").combine_chunks()
     dim = len(sample[0]) if len(sample) else 2
     size = int(min(4096, max(2, round(np.sqrt(total) / 3))))
     index = MultiIndex(_unit(sample, dim) if len(sample) else np.zeros((1, dim)), size)

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavefold.llm.common import bounded_sample, stage
+
 FIT_PAGES = 500
 WORDS_PER_BLOCK = 30
 UNKNOWN_TAG = -1.0
@@ -184,8 +186,8 @@ def fit_weights(labelled: list[str]) -> dict[str, float]:
 def learned_weights(pages: DataFrame, limit: int = FIT_PAGES) -> dict[str, float]:
     """Weights fitted on at most ``limit`` labelled pages of the table."""
     labelled = pages.filter(F.col("html").rlike(r"(?i)<(article|main)\b")).select("page_id", "html")
-    chosen = labelled.orderBy(F.xxhash64("page_id"), "page_id").limit(limit)
-    return fit_weights([row["html"] for row in chosen.select("html").collect()])
+    chosen = stage(bounded_sample(labelled, "page_id", limit, 29), "html-sample")
+    return fit_weights([row["html"] for row in labelled.join(chosen, "page_id").select("html").take(limit)])
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -7,8 +7,9 @@ room, and each shard grants requests up to its remaining quota; what was not gra
 again with the quotas that are left.  Documents without links (and the rare unit
 that found no room) fill the quotas up, so the counts differ by at most one.
 
-A group larger than a quarter of a shard is split by id into units of that
-size first: its links inside a unit stay whole, and no unit outgrows a shard.
+A group larger than a quarter of a shard is split by id into units of about that
+size first: its links inside a unit stay whole, no unit outgrows a shard, and the units
+start in neighbouring shards, so the group is cut as little as its size allows.
 Votes and requests are map-side sums; the driver sees ``shards x BINS`` numbers a round.
 
 Only DataFrame functions run here.
@@ -24,6 +25,7 @@ from wavefold.llm.common import stage
 
 SHARDS = 40
 ROUNDS = 8
+UNITS_PER_SHARD = 4
 BINS = 256
 
 
@@ -86,13 +88,17 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         F.when(F.col("text").isNotNull(), F.xxhash64(F.lit(11), "text")).alias("h2")), "shard-rows")
     total = rows.count()
     target = [total // shards + (s < total % shards) for s in range(shards)]
-    chunk_size = max(1, total // shards // 4)
+    chunk_size = max(1, total // shards // UNITS_PER_SHARD)
 
     groups = rows.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     groups = stage(groups.withColumn("chunks", F.ceil(F.col("n") / chunk_size)), "shard-groups")
     linked = rows.join(groups, ["h1", "h2"]).select(
         "h1", "h2", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("chunks")).alias("chunk"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("label"))
+        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("own"),
+        F.pmod(F.xxhash64("h1", "h2"), F.lit(shards)).alias("start"), "chunks")
+    # Units of a split group start side by side, as many to a shard as fit.
+    linked = linked.withColumn("label", F.when(F.col("chunks") > 1, F.pmod(F.col("start") + F.floor(F.col("chunk") / UNITS_PER_SHARD), F.lit(shards)))
+                               .otherwise(F.col("own")).cast("int"))
     votes = linked.groupBy("h1", "h2", "chunk", "label").agg(F.count(F.lit(1)).alias("n"))
     pending = (votes.groupBy("h1", "h2", "chunk")
                .agg(F.sum("n").alias("members"), F.collect_list(F.struct("n", F.col("label").alias("shard"))).alias("votes")))
