@@ -187,7 +187,8 @@ def learned_weights(pages: DataFrame, limit: int = FIT_PAGES) -> dict[str, float
     """Weights fitted on at most ``limit`` labelled pages of the table."""
     labelled = pages.filter(F.col("html").rlike(r"(?i)<(article|main)\b")).select("page_id", "html")
     chosen = stage(bounded_sample(labelled, "page_id", limit, 29), "html-sample")
-    return fit_weights([row["html"] for row in labelled.join(chosen, "page_id").select("html").take(limit)])
+    found = labelled.join(chosen, "page_id").groupBy("page_id").agg(F.min("html").alias("html"))
+    return fit_weights([row["html"] for row in found.orderBy("page_id").collect()])
 
 
 def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
