@@ -105,3 +105,13 @@ def test_csv_dialect(spark, tmpdir_path):
     parts = [p for p in os.listdir(target) if p.startswith("part-")]
     content = b"".join(open(os.path.join(target, p), "rb").read() for p in sorted(parts))
     assert b'a\r\n' in content and b'"1,""2"\r\n' in content and b"3\r\n" in content
+
+
+def test_one_column_csv_keeps_empty_values(spark, tmpdir_path):
+    data = spark.createDataFrame([("s.txt", "11"), ("s.txt", "  "), ("s.txt", 'a"'), ("s.txt", "13")], "source string, value string")
+    out = os.path.join(tmpdir_path, "csv")
+    report = convert_lines(spark, data, Layout([Variable("uf", 1, 2)]), out, "csv").first()
+    assert (report["rows"], report["status"]) == (4, "converted")
+    lines = [x for p in os.listdir(report["output"]) if p.startswith("part-")
+             for x in open(os.path.join(report["output"], p), newline="").read().split("\r\n")]
+    assert sorted(x for x in lines if x not in ("", "uf")) == ['""', '"a"""', "11", "13"]

@@ -99,6 +99,11 @@ def test_facade_verify_and_panel(spark, tmpdir_path):
         paths.append(p)
     summary = archive.panel(paths, "20241", os.path.join(tmpdir_path, "panel.parquet")).first()
     assert (summary["rows"], summary["persons"]) == (4, 2)
+    wide = archive.panel(paths, "20241", os.path.join(tmpdir_path, "wide.parquet"), wide=True).first()
+    assert (wide["rows"], wide["persons"]) == (2, 2)
+    assert not [c for c in spark.read.parquet(os.path.join(tmpdir_path, "wide.parquet")).columns if c.startswith("_")]
+    record = spark.read.json(os.path.join(tmpdir_path, "wide.parquet.json")).first()
+    assert (record["rows"], record["wide"], record["panel_id"]) == (2, True, "20241")
 
 
 def test_flat_layout_writes_index(spark, tmpdir_path):
@@ -112,3 +117,76 @@ def test_flat_layout_writes_index(spark, tmpdir_path):
     record = json.loads(lines[0])
     assert record["name"] == "pnadc.microdados.trimestral.2024.1.parquet" and record["size"] > 0
     assert record["files"][0].endswith("PNADC_012024_20250101.zip")
+
+
+def add_zip(root, name, payload, damage=False):
+    data = bytearray(zipped(name, payload))
+    if damage:
+        data[len(data) // 2:len(data) // 2 + 30] = b"\xff" * 30
+    with open(os.path.join(root, "originals", "trimestral", "2024", f"{name}.zip"), "wb") as out:
+        out.write(bytes(data))
+
+
+def zipped(name, payload):
+    from wavefold.sources.archives import zip_bytes
+
+    return zip_bytes([(f"{name}.txt", payload)])
+
+
+def test_conversion_accounts_for_every_source(spark, tmpdir_path):
+    """A damaged, undecodable, ill-typed or empty member never passes for a converted one, nor disappears."""
+    build_tree(tmpdir_path)
+    good = b"".join(b"%06d\n" % (110000 + i % 9999) for i in range(40_000))
+    add_zip(tmpdir_path, "PNADC_022024", good[:140_000] + b"\xff" + good[140_000:])
+    add_zip(tmpdir_path, "PNADC_032024", good, damage=True)
+    add_zip(tmpdir_path, "PNADC_042024", b"")
+    add_zip(tmpdir_path, "PNADC_012023", b"110001\nxx0002\n")
+    out = os.path.join(tmpdir_path, "parquet")
+    row = Archive(spark, tmpdir_path).convert_catalog(out).first()
+    assert (row["converted"], row["skipped"], row["unresolved"]) == (2, 0, 3)
+    reasons = {r.split(".zip: ")[0][-6:]: r.split(".zip: ")[1] for r in row["reasons"]}
+    assert "while reading as utf-8" in reasons["022024"] and reasons["032024"].startswith("damaged archive")
+    assert reasons["012023"] == "uf"
+    base = os.path.join(out, "trimestral", "2024")
+    assert sorted(os.listdir(base)) == ["PNADC_012024.parquet", "PNADC_042024.parquet"]
+    empty = spark.read.parquet(os.path.join(base, "PNADC_042024.parquet"))
+    assert empty.count() == 0 and empty.dtypes == spark.read.parquet(os.path.join(base, "PNADC_012024.parquet")).dtypes
+    assert not [d for d in os.listdir(out) if d.startswith("_staging")]
+
+
+def test_a_missing_output_is_converted_again(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    out = os.path.join(tmpdir_path, "parquet")
+    assert Archive(spark, tmpdir_path).convert_catalog(out).first()["converted"] == 1
+    target = os.path.join(out, "trimestral", "2024", "PNADC_012024.parquet")
+    os.rename(target, os.path.join(tmpdir_path, "elsewhere"))
+    again = Archive(spark, tmpdir_path).convert_catalog(out).first()
+    assert (again["converted"], again["skipped"]) == (1, 0) and os.path.isdir(target)
+
+
+def test_an_unreadable_dictionary_leaves_the_rest(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    doc_dir = os.path.join(tmpdir_path, "originals", "trimestral", "Documentacao")
+    for name in os.listdir(doc_dir):
+        with open(os.path.join(doc_dir, name), "wb") as out:
+            out.write(WB.xlsx_bytes(GRID)[:200] if name.endswith(".xlsx") else zipped("x", b"y"))
+    row = Archive(spark, tmpdir_path).convert_catalog(os.path.join(tmpdir_path, "parquet")).first()
+    assert (row["converted"], row["unresolved"]) == (0, 1) and "dictionary" in row["reasons"][0]
+
+
+def test_existing_outputs_are_not_read_again(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    archive, out = Archive(spark, tmpdir_path), os.path.join(tmpdir_path, "csv")
+    layout = Layout([Variable("uf", 1, 2)])
+    uri = [r["uri"] for r in archive.listing().filter(F.col("path").endswith("20250101.zip")).collect()]
+    assert archive.convert(uri, layout, out, "csv").first()["status"] == "converted"
+    again = archive.convert([*uri, "/nowhere/absent.zip"], layout, out, "csv").collect()
+    assert sorted(r["status"] for r in again) == ["exists", "unresolved"]
+
+
+def test_root_may_contain_the_originals_folder_name(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "originals", "mirror")
+    os.makedirs(root)
+    build_tree(root)
+    paths = {r["path"] for r in Archive(spark, root).listing().collect()}
+    assert "originals/trimestral/2024/PNADC_012024_20250101.zip" in paths

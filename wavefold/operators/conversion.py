@@ -61,32 +61,41 @@ def fingerprints_match(expected: Column, recorded: Column) -> Column:
     return cond
 
 
-def conversion_plan(expected: DataFrame, recorded: DataFrame, key: str = "output", force: bool = False) -> DataFrame:
+def conversion_plan(expected: DataFrame, recorded: DataFrame, key: str = "output", force: bool = False,
+                    present: DataFrame | None = None) -> DataFrame:
     """Status per planned output: ``unresolved``, ``skipped`` or ``convert``.
 
     ``expected`` carries ``layout`` (null when no dictionary matched),
-    ``n_text`` (text members) and ``member``; ``recorded`` is the provenance
-    table (``output``, ``fingerprint`` — null for legacy records).
+    ``layout_sha256`` (null when the dictionary cannot be read), ``n_text`` (text members) and ``member``; ``recorded`` is the provenance
+    table (``output``, ``fingerprint`` — null for legacy records).  ``present``
+    lists the outputs that are there now: a record whose output is gone does
+    not make it current.
     """
     rec = recorded.select(F.col(key), F.col("fingerprint").alias("recorded_fingerprint"), F.lit(True).alias("_has_record"))
     joined = expected.join(rec, key, "left")
-    current = F.coalesce(F.col("_has_record"), F.lit(False)) & fingerprints_match(
-        F.col("fingerprint"), F.col("recorded_fingerprint"))
+    if present is None:
+        joined = joined.withColumn("_there", F.lit(True))
+    else:
+        joined = joined.join(present.select(key).distinct().withColumn("_there", F.lit(True)), key, "left")
+    known = F.coalesce(F.col("_has_record"), F.lit(False))
+    current = known & fingerprints_match(F.col("fingerprint"), F.col("recorded_fingerprint"))
     reason = (
         F.when(F.col("layout").isNull(), F.lit("no layout"))
+        .when(F.col("layout_sha256").isNull(), F.lit("unreadable dictionary"))
         .when(F.col("member").isNull() & (F.col("n_text") > 1), F.lit("several text members"))
         .when(F.lit(force), F.lit("forced"))
-        .when(~F.coalesce(F.col("_has_record"), F.lit(False)), F.lit("no record"))
+        .when(F.col("_there").isNull(), F.lit("output absent"))
+        .when(~known, F.lit("no record"))
         .when(F.col("recorded_fingerprint").isNull(), F.lit("legacy record"))
         .when(~current, F.lit("inputs changed"))
         .otherwise(F.lit("current"))
     )
     status = (
-        F.when(reason.isin("no layout", "several text members"), F.lit("unresolved"))
+        F.when(reason.isin("no layout", "unreadable dictionary", "several text members"), F.lit("unresolved"))
         .when(reason == "current", F.lit("skipped"))
         .otherwise(F.lit("convert"))
     )
-    return joined.withColumn("reason", reason).withColumn("status", status).drop("_has_record")
+    return joined.withColumn("reason", reason).withColumn("status", status).drop("_has_record", "_there")
 
 
 def conversion_summary(plan: DataFrame) -> DataFrame:

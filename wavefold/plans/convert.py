@@ -1,12 +1,15 @@
 """Conversion: fixed-width lines → typed Parquet or raw-text CSV, per source.
 
-One Spark job converts every source that shares a layout.  Rows are written
-once, partitioned by source, into a staging directory while an observed
-metric collects the set of sources with a bad record; clean sources are then
-published by renaming their directory (row counts come from the staged
-files).  A bad
-record therefore rejects its own file only (as the reference's batch mode
-does) and nothing partial is ever visible at the target.
+One Spark job parses and writes every source that shares a layout, once,
+partitioned by source and by the first fault of a record.  A source whose
+folder holds nothing but fault-free rows is published; one with an unreadable
+archive, an undecodable line or a bad field is ``unresolved`` with its reason,
+and its rows go with the staging folder.  A source without lines is published
+as an empty table with the schema.
+
+The set of sources comes from the caller, not from what was written, so every
+source is accounted for.  Publishing is a Spark job too: each task moves the
+folders of its sources, and the driver handles no per-source state.
 """
 
 from __future__ import annotations
@@ -14,16 +17,27 @@ from __future__ import annotations
 import uuid
 from typing import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.layout import Layout
+from ..session import ship_package, staging_path
+from ..sources import archives as A
 from ..sources.fixed_width import ERRORS, parse_lines
-from .sinks import CSV_OPTIONS, _exists, _rename
+from .sinks import CSV_OPTIONS, remove
+
+# Lines of one source that stay together in a task and in a file.
+LINE_BLOCK = 1_000_000
+_CLEAN = "__HIVE_DEFAULT_PARTITION__"
+_MAX_FAULT_CHARS = 80
+# Sorts before any field name: that a source cannot be read explains what else is wrong with it.
+_UNREADABLE = "! "
 
 
-def _escape_partition_value(spark: SparkSession, value: str) -> str:
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+def default_output(source: Column, output_format: str) -> Column:
+    """File name of the source with its suffix replaced by the format."""
+    name = F.regexp_extract(source, r"([^/]*)/*$", 1)
+    return F.concat(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""), F.lit("." + output_format))
 
 
 def convert_lines(
@@ -35,72 +49,137 @@ def convert_lines(
     columns: Iterable[str] | None = None,
     all_string: bool = False,
     force: bool = False,
-    output_name=None,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
-    """Convert ``lines`` (``source, value``) and publish one directory per source.
+    """Convert ``lines`` (``source, value``; optional ``line_no``, ``error``) and publish one directory per source.
 
-    ``output_name`` maps a source string to its output directory name (default:
-    the file name with ``.txt`` replaced by the format).  Returns the report:
-    ``source, rows, bad_rows, first_error, status, output``.
+    ``sources`` lists what is to be converted: ``source`` and optionally
+    ``output`` (relative to ``target_root``; default: ``default_output``).
+    Without it the sources are those that have lines.  An ``error`` row marks
+    its source as unreadable.  Returns the report ``source, rows, failed,
+    first_error, status, output``; ``status`` is ``converted``,
+    ``unresolved``, or ``exists`` for an output that was there before
+    (without ``force``; its source is not read).
     """
     if output_format not in ("parquet", "csv"):
-        raise ValueError("Output format must be parquet or csv")
+        raise ValueError("output_format must be 'parquet' or 'csv'")
+    ship_package(spark)
     root = target_root.rstrip("/")
     staging = f"{root}/_staging-{uuid.uuid4().hex[:12]}"
-    selected = [v.name for v in layout.select(columns)]
+    names = [v.name for v in layout.select(columns)]
+    plan = sources if sources is not None else lines.select("source").distinct()
+    if "output" not in plan.columns:
+        plan = plan.withColumn("output", default_output(F.col("source"), output_format))
+    plan = plan.select("source", F.concat(F.lit(root + "/"), "output").alias("output"), _folder(F.col("source")).alias("_src"))
+    plan = _staged(plan.mapInPandas(_with_presence, "source string, output string, _src string, present boolean"), "convert-plan")
+    if not force:
+        done = plan.filter("present")
+        lines = lines.join(done.select("source"), "source", "left_anti") if not done.isEmpty() else lines
+
+    try:
+        written = _write(lines, layout, names, output_format, all_string, staging)
+        found = _found(spark, written, staging, output_format)
+        report = plan.join(found, "_src", "left").select(
+            "source", "_src", F.coalesce("rows", F.lit(0)).alias("rows"), F.col("first_error").isNotNull().alias("failed"),
+            "first_error",
+            F.when(F.col("present") & F.lit(not force), "exists").when(F.col("first_error").isNotNull(), "unresolved")
+            .otherwise("converted").alias("status"), "output")
+        report = _staged(report, "convert-report")
+        _publish(report.filter("status = 'converted'"), staging, output_format, _empty_output(spark, written, staging, output_format))
+    finally:
+        remove(spark, staging)
+    return report.drop("_src")
+
+
+def _folder(source: Column) -> Column:
+    """A partition value that needs no escaping and never looks like a number to a reader."""
+    return F.concat(F.lit("s"), F.substring(F.sha2(source, 256), 1, 32))
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _with_presence(batches):
+    for pdf in batches:
+        yield pdf.assign(present=[A.exists(uri) for uri in pdf["output"]])
+
+
+def _write(lines: DataFrame, layout: Layout, names: list[str], output_format: str, all_string: bool, staging: str) -> DataFrame:
+    extra = [c for c in ("line_no", "error") if c in lines.columns]
+    # CSV is raw trimmed text: only decoding is checked, nothing is typed.
+    parsed = parse_lines(lines, layout, names, all_string or output_format == "csv", keep=["source", *extra])
+    fault = F.when(F.col(ERRORS) != "", F.substring_index(ERRORS, ",", 1))
+    if "error" in extra:
+        fault = F.coalesce(F.concat(F.lit(_UNREADABLE), F.substring("error", 1, _MAX_FAULT_CHARS)), fault)
+    block = F.floor(F.col("line_no") / LINE_BLOCK) if "line_no" in extra else F.lit(0)
+    marked = parsed.select(_folder(F.col("source")).alias("_src"), fault.alias("_fault"), block.alias("_block"),
+                           *(["line_no"] if "line_no" in extra else []), *names)
+    if "line_no" in extra:
+        # Blocks of a source stay whole, so a source has at most one file for each block.
+        marked = marked.repartition("_src", "_block").sortWithinPartitions("_src", "_fault", "line_no")
+    out = marked.select("_src", "_fault", *names)
+    writer = out.write.partitionBy("_src", "_fault")
     if output_format == "parquet":
-        parsed = parse_lines(lines, layout, selected, all_string, keep=["source"])
+        writer.option("compression", "zstd").parquet(staging)
     else:
-        # CSV is raw trimmed text: only decoding is checked, nothing is typed.
-        parsed = parse_lines(lines, layout, selected, True, keep=["source"])
-    bad = F.col(ERRORS) != ""
-    obs = Observation(f"convert-{uuid.uuid4().hex[:8]}")
-    # Bad sources are collected as a set while the rows are written (bounded
-    # by the number of source files), so the data is scanned exactly once.
-    observed = parsed.observe(
-        obs,
-        F.collect_set(F.when(bad, F.col("source"))).alias("bad_sources"),
-        F.min(F.when(bad, F.concat_ws(": ", F.col("source"), F.col(ERRORS)))).alias("first_error"),
-    ).drop(ERRORS)
-    writer = observed.write.partitionBy("source")
+        options = CSV_OPTIONS
+        if len(names) == 1:
+            # An empty value alone on its line would be a blank line, which readers skip: it is written
+            # as "".  The values are quoted here, so the writer must not quote them again.
+            options = CSV_OPTIONS | {"sep": "\u0001", "quote": "\u0000", "escape": "\u0000"}
+            writer = out.withColumn(names[0], _quoted(F.col(names[0]))).write.partitionBy("_src", "_fault")
+        for key, value in options.items():
+            writer = writer.option(key, value)
+        writer.csv(staging)
+    return out
+
+
+def _quoted(value: Column) -> Column:
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(F.coalesce(value, F.lit("")) == "", F.lit('""')).when(value.rlike('[,"\r\n]'), quoted).otherwise(value)
+
+
+def _found(spark: SparkSession, written: DataFrame, staging: str, output_format: str) -> DataFrame:
+    """Rows and first fault of each staged source."""
+    if A.is_empty_folder(spark, staging):
+        return spark.createDataFrame([], "_src string, rows long, first_error string")
     if output_format == "parquet":
-        writer.option("compression", "zstd").parquet(staging)
+        counts = spark.read.schema(written.schema).parquet(staging).groupBy("_src", "_fault").agg(F.count(F.lit(1)).alias("n"))
     else:
+        # A field holds no line end, so a file has a line for each row and one for the header.
+        schema = "value string, _src string, _fault string"
+        files = spark.read.schema(schema).option("lineSep", "\r\n").text(staging)
+        counts = files.groupBy("_src", "_fault", "_metadata.file_path").agg((F.count(F.lit(1)) - 1).alias("n"))
+    first = F.regexp_replace(F.min("_fault"), f"^{_UNREADABLE}", "")
+    return counts.groupBy("_src").agg(F.sum("n").alias("rows"), first.alias("first_error"))
+
+
+def _empty_output(spark: SparkSession, written: DataFrame, staging: str, output_format: str) -> str:
+    """A folder with an empty table of the output's schema, for sources without lines."""
+    path = f"{staging}/_empty"
+    empty = spark.createDataFrame([], written.drop("_src", "_fault").schema).coalesce(1)
+    if output_format == "parquet":
+        empty.write.parquet(path)
+    else:
+        writer = empty.write
         for key, value in CSV_OPTIONS.items():
             writer = writer.option(key, value)
-        writer.csv(staging)
-    metrics = obs.get
-    bad_sources = set(metrics.get("bad_sources") or [])
-    first_error = metrics.get("first_error")
-    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    previous = spark.conf.get(inference, "true")
-    spark.conf.set(inference, "false")  # source names stay strings
-    try:
-        reader = spark.read.parquet(staging) if output_format == "parquet" else \
-            spark.read.option("header", "true").option("lineSep", "\r\n").csv(staging)
-        report = reader.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-        rows = report.collect()  # one row per source: bounded by the number of files
-    finally:
-        spark.conf.set(inference, previous)
-    published = []
-    for r in rows:
-        name = output_name(r["source"]) if output_name else _default_name(r["source"], output_format)
-        target = f"{root}/{name}"
-        status = "converted"
-        is_bad = r["source"] in bad_sources
-        if is_bad:
-            status = "unresolved"
-        elif _exists(spark, target) and not force:
-            status = "exists"
-        else:
-            _rename(spark, f"{staging}/source={_escape_partition_value(spark, r['source'])}", target)
-        error = first_error if is_bad and first_error and first_error.startswith(r["source"] + ": ") else None
-        published.append((r["source"], int(r["rows"]), is_bad, error, status, target))
-    return spark.createDataFrame(
-        published, "source string, rows long, failed boolean, first_error string, status string, output string")
-
-
-def _default_name(source: str, output_format: str) -> str:
-    name = source.rstrip("/").rsplit("/", 1)[-1]
-    stem = name.rsplit(".", 1)[0] if "." in name else name
-    return f"{stem}.{output_format}"
+        writer.csv(path)
+    return path
+
+
+def _publish(report: DataFrame, staging: str, output_format: str, empty: str) -> None:
+    def run(batches):
+        for pdf in batches:
+            for src, rows, target in zip(pdf["_src"], pdf["rows"], pdf["output"]):
+                if rows:
+                    A.replace_folder(f"{staging}/_src={src}/_fault={_CLEAN}", target)
+                else:
+                    A.copy_folder(empty, target)
+            yield pdf[["output"]]
+
+    moved = report.select("_src", "rows", "output").repartition(F.col("_src")).mapInPandas(run, "output string")
+    moved.write.format("noop").mode("overwrite").save()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
@@ -27,7 +27,7 @@ from ..operators.layout import Layout, Variable
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
-from .sinks import flat_index, publish, write_flat_index
+from .sinks import _exists, flat_index, publish, write_flat_index
 
 # Fixed value: the index file name other tools look for beside flat outputs.
 FLAT_INDEX_NAME = "pnadc.microdados.dicionarios.json"
@@ -43,10 +43,10 @@ class Archive:
     _listing: DataFrame | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
-        self.root = self.root.rstrip("/")
+        self.root = A.qualified(self.spark, self.root)
         self.exclude = P.check_exclusions(list(self.exclude))
         if self.output_layout not in ("nested", "flat"):
-            raise ValueError(f"output_layout must be 'nested' or 'flat', got {self.output_layout!r}")
+            raise ValueError(f"{self.output_layout!r} is no output layout: use 'nested' or 'flat'")
 
     @classmethod
     def including_superseded(cls, spark: SparkSession, root: str, **kw) -> "Archive":
@@ -57,19 +57,26 @@ class Archive:
     def originals(self) -> str:
         return f"{self.root}/originals"
 
+    def _relative(self, uri: str) -> Column:
+        """Path below the archive root, which may itself contain any folder name."""
+        return F.col(uri).substr(F.lit(len(self.root) + 2), F.length(uri))
+
+    def _spread(self, files: DataFrame) -> DataFrame:
+        """File rows are small, files are not: one row may be hours of work, so rows never share a task by size."""
+        return files.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "path")
+
     def listing(self) -> DataFrame:
         """ZIP archives under ``originals`` with their members (central
         directories only) and paths relative to the archive root."""
         if self._listing is None:
             files = A.file_listing(self.spark, self.originals)
-            rel = F.regexp_extract(F.col("path"), r"(originals/.*)$", 1)
             zips = files.filter(P.zip_suffix(F.col("path")))
             inv = A.archive_inventory(zips).withColumnRenamed("archive", "uri")
             loose = files.filter(~P.zip_suffix(F.col("path"))).select(
                 F.col("path").alias("uri"), "size", "mtime", F.lit(True).alias("readable"),
                 F.array().cast("array<string>").alias("members"), F.lit(None).cast("string").alias("error"),
                 F.array().cast("array<string>").alias("text_members"))
-            self._listing = inv.unionByName(loose).withColumn("path", F.regexp_extract("uri", r"(originals/.*)$", 1))
+            self._listing = inv.unionByName(loose).withColumn("path", self._relative("uri"))
         return self._listing
 
     # ------------------------------------------------------------- catalog
@@ -151,43 +158,40 @@ class Archive:
 
     def verify(self, manifest: DataFrame, deep: bool = False) -> DataFrame:
         listing = A.file_listing(self.spark, self.originals)
-        local = A.file_digests(listing).select(F.regexp_extract("path", r"(originals/.*)$", 1).alias("local"),
+        local = A.file_digests(listing).select(self._relative("path").alias("local"),
                                                "file_size", "digest")
         crc = None
         if deep:
             zips = A.file_listing(self.spark, self.originals, zips_only=True)
-            crc = A.crc_check(zips).select(F.regexp_extract("archive", r"(originals/.*)$", 1).alias("local"),
+            crc = A.crc_check(zips).select(self._relative("archive").alias("local"),
                                            "crc_ok", "bad_member")
         return V.verify_files(manifest, local, crc)
 
     # -------------------------------------------------------------- unpack
     def unpack_plan(self, state: DataFrame, force: bool = False) -> DataFrame:
         zips = A.file_listing(self.spark, self.originals, zips_only=True).select(
-            F.regexp_extract("path", r"(originals/.*)$", 1).alias("archive"), "size",
-            (F.col("mtime").cast("double") * 1e9).cast("long").alias("mtime_ns"), F.col("path").alias("uri"))
+            self._relative("path").alias("archive"), "size",
+            (F.unix_micros("mtime") * 1000).alias("mtime_ns"), F.col("path").alias("uri"))
         return U.unpack_plan(zips, state, self.exclude, force)
 
     def unpack(self, plan: DataFrame) -> DataFrame:
         todo = plan.filter(F.col("action") == "process").select(
             F.col("uri").alias("path"), F.regexp_replace("archive", r"^originals/", "").alias("relative"))
-        return A.unpack_archives(todo, f"{self.root}/extracted")
+        return A.unpack_archives(self._spread(todo), f"{self.root}/extracted")
 
     # ------------------------------------------------------------- convert
     def convert(self, sources: Sequence[str], layout: Layout, output_root: str, output_format: str = "parquet",
                 columns: Iterable[str] | None = None, all_string: bool = False, force: bool = False,
-                rebalance: bool = True) -> DataFrame:
+                member: str | None = None, encoding: str = "utf-8") -> DataFrame:
         """Convert the text member of every listed ZIP with one layout (one job).
 
         A ZIP member is one deflate stream, so each archive is decompressed by
-        one task; ``rebalance`` spreads the decompressed lines over the
-        cluster before the (heavier) parse, so one huge archive does not
-        leave the parse in a single task."""
-        archives = self.spark.createDataFrame([(s,) for s in sources], "path string")
-        lines = A.archive_lines(archives).filter(F.col("error").isNull()).select(
-            F.col("archive").alias("source"), "value")
-        if rebalance:
-            lines = lines.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        return convert_lines(self.spark, lines, layout, output_root, output_format, columns, all_string, force)
+        one task; the lines are then dealt out by blocks for the (heavier)
+        parse, so one huge archive does not leave the parse in a single task.
+        Every listed archive is in the report, readable or not."""
+        archives = self.spark.createDataFrame([(s, member) for s in sources], "path string, member string")
+        return convert_lines(self.spark, self._member_lines(archives, encoding), layout, output_root, output_format,
+                             columns, all_string, force, archives.select(F.col("path").alias("source")))
 
     # --------------------------------------- incremental conversion (M2)
     def layout_variables(self, layouts: DataFrame | None = None) -> DataFrame:
@@ -197,14 +201,15 @@ class Archive:
         uris = self.listing().select(F.col("path").alias("source"), "uri")
         books = layouts.join(uris, "source").select(
             F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
-        return D.parse_grid(WB.workbook_cells(books).drop("error"))
+        return D.parse_grid(WB.workbook_cells(self._spread(books)).filter(F.col("error").isNull()).drop("error"))
 
     def layout_digests(self, layouts: DataFrame | None = None) -> DataFrame:
         layouts = layouts if layouts is not None else self.layout_catalog()
         uris = self.listing().select(F.col("path").alias("source"), "uri")
         books = layouts.join(uris, "source").select(
             F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
-        return D.document_digest(WB.workbook_cells(books).drop("error")).withColumnRenamed("doc_id", "layout_id")
+        cells = WB.workbook_cells(self._spread(books)).filter(F.col("error").isNull()).drop("error")
+        return D.document_digest(cells).withColumnRenamed("doc_id", "layout_id")
 
     @staticmethod
     def _provenance_dir(output_root: str) -> str:
@@ -212,8 +217,6 @@ class Archive:
 
     def recorded_provenance(self, output_root: str) -> DataFrame:
         """Latest provenance record per output (append-only table)."""
-        from .sinks import _exists
-
         path = self._provenance_dir(output_root)
         if not _exists(self.spark, path):
             return self.spark.createDataFrame([], "output string, fingerprint struct<source_name:string,"
@@ -246,7 +249,17 @@ class Archive:
             (F.unix_micros(F.col("mtime")) * 1000).alias("source_mtime_ns"),
             F.col("dictionary_sha256").alias("layout_sha256"), F.size("text_members").alias("n_text"))
         expected = CV.expected_fingerprint(expected, columns, all_string, output_format)
-        return CV.conversion_plan(expected, self.recorded_provenance(output_root), "output", force)
+        return CV.conversion_plan(expected, self.recorded_provenance(output_root), "output", force,
+                                  self._present(output_root, output_format))
+
+    def _present(self, output_root: str, output_format: str) -> DataFrame:
+        """Outputs that are on disk, relative to ``output_root`` (folders that hold a part file)."""
+        root = A.qualified(self.spark, output_root)
+        if not _exists(self.spark, root):
+            return self.spark.createDataFrame([], "output string")
+        inside = A.file_listing(self.spark, root).select(F.col("path").substr(F.lit(len(root) + 2), F.length("path")).alias("path"))
+        output = F.regexp_extract("path", rf"^(.*\.{output_format})/[^/]*$", 1)
+        return inside.select(output.alias("output")).filter("output <> ''").distinct()
 
     def convert_catalog(self, output_root: str, output_format: str = "parquet", scope: str | None = None,
                         years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
@@ -254,52 +267,71 @@ class Archive:
                         force: bool = False) -> DataFrame:
         """Run the plan: one conversion job per dictionary, provenance appended.
 
-        Returns one row ``converted, skipped, unresolved``.  The plan and the
+        Returns one row ``converted, skipped, unresolved, reasons``; ``reasons``
+        names each unresolved source with its cause.  The plan and the
         per-layout variables collected here are bounded by the number of
         files and dictionaries, not by the data."""
         import datetime as _dt
 
+        columns = list(columns) if columns is not None else None
         plan = self.plan_conversion(output_root, output_format, scope, years, quarters, columns, all_string, force)
-        rows = plan.select("uri", "member", "output", "layout_id", "status", "fingerprint", "path").collect()
+        rows = plan.select("uri", "member", "output", "layout_id", "layout", "status", "reason", "fingerprint", "path").collect()
         counts = {"converted": 0, "skipped": 0, "unresolved": 0}
+        reasons: list[str] = []
         todo: dict[str, list] = {}
+
+        def unresolved(path: str, why: str) -> None:
+            counts["unresolved"] += 1
+            reasons.append(f"{path}: {why}")
+
         for r in rows:
             if r["status"] == "convert":
                 todo.setdefault(r["layout_id"], []).append(r)
+            elif r["status"] == "skipped":
+                counts["skipped"] += 1
             else:
-                counts[r["status"]] += 1
+                unresolved(r["path"], r["reason"])
         variables = self.layout_variables().filter(F.col("doc_id").isin(list(todo))).select(
-            "doc_id", "name", "start", "width").collect() if todo else []
+            "doc_id", "row_no", "name", "start", "width").collect() if todo else []
         provenance = []
         for layout_id, group in todo.items():
-            layout = Layout([Variable(v["name"], v["start"], v["width"])
-                             for v in sorted(variables, key=lambda v: v["start"]) if v["doc_id"] == layout_id])
+            own = sorted((v for v in variables if v["doc_id"] == layout_id), key=lambda v: v["row_no"])
+            try:
+                layout = Layout([Variable(v["name"], v["start"], v["width"]) for v in own])
+                selected = layout.select(columns)
+            except ValueError as exc:
+                for r in group:
+                    unresolved(r["path"], f"dictionary {layout_id}: {exc}")
+                continue
             by_uri = {r["uri"]: r for r in group}
-            archives = self.spark.createDataFrame([(r["uri"], r["member"]) for r in group], "path string, member string")
-            lines = self._member_lines(archives)
-            report = convert_lines(self.spark, lines, layout, output_root, output_format, columns, all_string,
-                                   force=True, output_name=lambda src: by_uri[src]["output"]).collect()
-            for rep in report:
+            listed = self.spark.createDataFrame([(r["uri"], r["member"], r["output"]) for r in group],
+                                                "path string, member string, output string")
+            report = convert_lines(self.spark, self._member_lines(listed), layout, output_root, output_format, columns,
+                                   all_string, force=True, sources=listed.select(F.col("path").alias("source"), "output"))
+            for rep in report.collect():
                 record = by_uri[rep["source"]]
-                if rep["status"] == "converted":
-                    counts["converted"] += 1
-                    provenance.append((record["output"], record["path"], layout_id, int(rep["rows"]),
-                                       len(layout.select(columns)), record["fingerprint"],
-                                       _dt.datetime.now(_dt.timezone.utc)))
-                else:
-                    counts["unresolved"] += 1
+                if rep["status"] != "converted":
+                    unresolved(record["path"], rep["first_error"])
+                    continue
+                counts["converted"] += 1
+                names = [v.name for v in selected]
+                provenance.append((record["output"], record["path"], record["member"], layout_id, record["layout"], rep["rows"],
+                                   len(names), names if columns is not None else None, all_string or output_format == "csv",
+                                   record["fingerprint"], _dt.datetime.now(_dt.timezone.utc)))
         if provenance:
             schema = self.recorded_provenance(output_root).schema["fingerprint"].dataType.simpleString()
             self.spark.createDataFrame(
-                provenance, f"output string, source string, layout_id string, rows long, columns int, "
-                            f"fingerprint {schema}, written_at timestamp"
+                provenance, f"output string, source string, member string, layout_id string, layout string, rows long, "
+                            f"columns int, variables array<string>, text_values boolean, fingerprint {schema}, "
+                            f"written_at timestamp"
             ).write.mode("append").parquet(self._provenance_dir(output_root))
         if self.output_layout == "flat" and output_format == "parquet":
             produced = [(r["output"], [r["path"], r["layout_id"] or ""]) for r in rows
                         if r["status"] in ("convert", "skipped")]
             self.write_index(output_root, produced)
-        return self.spark.createDataFrame([(counts["converted"], counts["skipped"], counts["unresolved"])],
-                                          "converted long, skipped long, unresolved long")
+        return self.spark.createDataFrame(
+            [(counts["converted"], counts["skipped"], counts["unresolved"], sorted(reasons))],
+            "converted long, skipped long, unresolved long, reasons array<string>")
 
     def write_index(self, output_root: str, produced: list | None = None) -> str:
         """Flat-layout index: one JSON line per ``*.parquet`` output (name,
@@ -311,30 +343,23 @@ class Archive:
         made = self.spark.createDataFrame(produced or [], "name string, files array<string>")
         return write_flat_index(flat_index(sizes, made), f"{root}/{FLAT_INDEX_NAME}")
 
-    def _member_lines(self, archives: DataFrame) -> DataFrame:
-        from ..sources.archives import LINES_SCHEMA, _line_scan
-
-        def run(batches):
-            for pdf in batches:
-                for uri, member in zip(pdf["path"], pdf["member"]):
-                    import pandas as pd
-
-                    yield from _line_scan(member, "utf-8", A.LINE_BATCH)(iter([pd.DataFrame({"path": [uri]})]))
-
-        lines = archives.mapInPandas(run, LINES_SCHEMA)
-        lines = lines.filter(F.col("error").isNull()).select(F.col("archive").alias("source"), "value")
-        # One task per archive decompresses; the parse runs spread out.
-        return lines.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+    def _member_lines(self, archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
+        """``source, line_no, value, error`` of each archive's member (one task decompresses an archive)."""
+        lines = A.archive_lines(self._spread(archives), None, encoding)
+        return lines.select(F.col("archive").alias("source"), "line_no", "value", "error")
 
     # --------------------------------------------------------------- panel
     def panel(self, wave_paths: Sequence[str], panel_id: str, output: str, wide: bool = False,
               force: bool = False) -> DataFrame:
+        """Write the panel in household, person and wave order, and its record (``<output>.json``), which is returned.
+
+        The record's counts come from the written panel."""
+        if _exists(self.spark, output) and not force:
+            raise FileExistsError(f"{output} is there already (force=True replaces it)")
         waves = PN.read_waves(self.spark, wave_paths)
         long = PN.panel_long(waves, panel_id, names=[p.rsplit("/", 1)[-1] for p in wave_paths])
         result = PN.panel_wide(long, len(waves)) if wide else long
-        publish(self.spark, result, output, "parquet", force)
-        return PN.panel_summary(self.spark.read.parquet(output) if not wide else long, panel_id, wide)
-
-
-def conversion_plan(expected: DataFrame, recorded: DataFrame, force: bool = False) -> DataFrame:
-    return CV.conversion_plan(expected, recorded, force=force)
+        publish(self.spark, PN.panel_order(result), output, "parquet", force)
+        record = PN.panel_summary(self.spark.read.parquet(output), panel_id, wide)
+        publish(self.spark, record.coalesce(1), f"{output.rstrip('/')}.json", "json", force=True)
+        return record

@@ -7,12 +7,11 @@ per job, and an existing target is refused unless ``force``.
 
 from __future__ import annotations
 
-from typing import Iterable
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 # CSV dialect of Python's csv.writer defaults (header, minimal
 # quoting, doubled quotes, CRLF line ends, empty text for missing values).
 CSV_OPTIONS = {
@@ -33,62 +32,55 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Put ``source`` in the place of ``target``.
+
+    A folder that is already there steps aside first and goes only after the
+    new one is in place, so a failure in between loses nothing.
+    """
     jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(source)
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    fs = src.getFileSystem(conf)
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
     parent = dst.getParent()
     if parent is not None and not fs.exists(parent):
         fs.mkdirs(parent)
+    replaced = fs.exists(dst)
+    if replaced and not fs.rename(dst, aside):
+        raise IOError(f"{target} is in use and stays as it is")
     if not fs.rename(src, dst):
-        raise IOError(f"Could not publish {source} to {target}")
+        if replaced:
+            fs.rename(aside, dst)
+        raise IOError(f"{source} is complete but could not take the place of {target}")
+    if replaced:
+        fs.delete(aside, True)
 
 
 def publish(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet", force: bool = False,
-            options: dict | None = None, partition_by: Iterable[str] | None = None,
-            max_records_per_file: int | None = None) -> str:
-    """Write ``df`` to ``target`` through a sibling staging directory."""
+            options: dict | None = None) -> str:
+    """Write ``df`` to ``target`` through a sibling staging directory of its own."""
     if fmt not in ("parquet", "csv", "json", "text"):
-        raise ValueError("Output format must be parquet or csv")
+        raise ValueError("fmt must be parquet, csv, json or text")
     if _exists(spark, target) and not force:
-        raise FileExistsError(f"Output already exists; pass force=True to replace it: {target}")
-    staging = target.rstrip("/") + ".part"
-    writer = df.write.mode("overwrite")
-    for key, value in (options or {}).items():
+        raise FileExistsError(f"{target} is there already (force=True replaces it)")
+    staging = f"{target.rstrip('/')}.part-{uuid.uuid4().hex[:8]}"
+    writer = df.write
+    defaults = {"compression": "zstd"} if fmt == "parquet" else {}
+    for key, value in (defaults | (options or {})).items():
         writer = writer.option(key, value)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if fmt == "parquet":
-        writer.option("compression", "zstd").parquet(staging)
-    elif fmt == "csv":
-        writer.csv(staging)
-    elif fmt == "json":
-        writer.json(staging)
-    else:
-        writer.text(staging)
-    _rename(spark, staging, target)
+    try:
+        writer.format(fmt).save(staging)
+        _rename(spark, staging, target)
+    finally:
+        remove(spark, staging)
     return target
 
 
-def write_parquet(df: DataFrame, target: str, force: bool = False, chunk_rows: int = 50_000,
-                  partition_by: Iterable[str] | None = None) -> str:
-    """zstd Parquet with the frame's own (explicit) schema."""
-    return publish(df.sparkSession, df, target, "parquet", force, partition_by=partition_by,
-                   options={"parquet.block.size": str(64 * 1024 * 1024)}, max_records_per_file=None)
-
-
-def write_csv(df: DataFrame, target: str, force: bool = False) -> str:
-    """Raw trimmed text, one header, minimal quoting, CRLF line ends."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return publish(df.sparkSession, text, target, "csv", force, options=CSV_OPTIONS)
-
-
 def write_layout_documents(variables: DataFrame, target: str, id_col: str = "doc_id") -> str:
     """One layout JSON document per dictionary (schema version 1), variables
     in start order.  A dictionary is bounded, so collecting its variables into
@@ -128,8 +120,8 @@ def write_flat_index(index: DataFrame, target_file: str) -> str:
     """
     spark = index.sparkSession
     lines = index.select(F.to_json(F.struct("name", "size", "files")).alias("value"))
-    staging = target_file + ".d"
-    lines.coalesce(1).write.mode("overwrite").text(staging)
+    staging = f"{target_file}.part-{uuid.uuid4().hex[:8]}"
+    lines.coalesce(1).write.text(staging)
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     folder = jvm.org.apache.hadoop.fs.Path(staging)

@@ -49,7 +49,7 @@ def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = cust.join(nation, cust.c_nationkey == nation.n_nationkey).join(
         region, nation.n_regionkey == region.r_regionkey)
     ck = F.col("c_custkey")
-    doc = (F.col("n_nationkey").cast("long") * 1000 + F.expr(f"c_custkey div {BLOCK}")).alias("doc_id")
+    doc = (F.col("n_nationkey").cast("long") * 1_000_000_000 + F.expr(f"c_custkey div {BLOCK}")).alias("doc_id")
     seg = F.col("c_mktsegment")
     r = F.lit(10) + ck * 8
     m4 = ck % 4
@@ -79,7 +79,7 @@ def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     head_rows = F.array(*[_row(F.lit(i), h) for i, h in enumerate(HEADERS)],
                         _row(F.lit(3), F.concat(F.lit("Parte "), F.col("r_name"))))
     heads = docs.select("doc_id", F.explode(head_rows).alias("cell")).select("doc_id", "cell.*")
-    empty_docs = region.select((F.lit(900000) + F.col("r_regionkey")).cast("long").alias("doc_id"),
+    empty_docs = region.select((F.lit(10 ** 15) + F.col("r_regionkey")).cast("long").alias("doc_id"),
                                F.explode(F.array(*[_row(F.lit(i), h) for i, h in enumerate(HEADERS)])).alias("cell")
                                ).select("doc_id", "cell.*")
     return body.unionByName(heads).unionByName(empty_docs)
@@ -130,7 +130,7 @@ QUERIES = {
 
 _BASE = f"""
   SELECT c_custkey AS ck, c_name, c_mktsegment AS seg, r_name,
-         CAST(n_nationkey AS BIGINT) * 1000 + c_custkey // {BLOCK} AS doc_id
+         CAST(n_nationkey AS BIGINT) * 1000000000 + c_custkey // {BLOCK} AS doc_id
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 _VARS = f"""
@@ -183,7 +183,7 @@ def _cell_rows() -> str:
     docs = "SELECT DISTINCT doc_id, r_name FROM B"
     for i, h in enumerate(HEADERS):
         rows.append(f"SELECT doc_id, {i}, '{h}', '', '', '', '', '', '', '' FROM ({docs})")
-        rows.append(f"SELECT CAST(900000 + r_regionkey AS BIGINT), {i}, '{h}', '', '', '', '', '', '', '' FROM region")
+        rows.append(f"SELECT CAST(1000000000000000 + r_regionkey AS BIGINT), {i}, '{h}', '', '', '', '', '', '', '' FROM region")
     rows.append(f"SELECT doc_id, 3, 'Parte ' || r_name, '', '', '', '', '', '', '' FROM ({docs})")
     return f"WITH B AS ({_BASE}) " + " UNION ALL ".join(rows)
 
@@ -202,7 +202,7 @@ ORACLE = {
         SELECT doc_id, name, count(*) AS occurrences, 'duplicate name' AS problem
         FROM ({_VARS}) GROUP BY doc_id, name HAVING count(*) > 1
         UNION ALL
-        SELECT CAST(900000 + r_regionkey AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), 'no variables' FROM region""",
+        SELECT CAST(1000000000000000 + r_regionkey AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), 'no variables' FROM region""",
     "layout_plan": f"""
         SELECT doc_id, dictionary_sha256,
                CASE WHEN doc_id % 3 = 0 OR doc_id % 4 = 0 THEN 'parse' ELSE 'keep' END AS action

@@ -63,6 +63,26 @@ def _pack_block(root: str):
     return run
 
 
+def _pack_mixed(root: str):
+    """One ZIP per block for the conversion: clean, bad field, bad byte, damaged, empty, by block."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["line_no", "tie"])
+        block = int(pdf["block"].iloc[0])
+        name, kind = f"mixed_{block:05d}", block % 6
+        lines = list(pdf["value"]) if kind == 1 else [v[:20] + "0001" + v[24:] for v in pdf["value"]]
+        payload = ("\n".join(lines) + "\n").encode("utf-8")
+        middle = len(payload) // 2
+        if kind == 2:
+            payload = payload[:middle] + b"\xff" + payload[middle:]
+        data = bytearray(A.zip_bytes([(f"{name}.txt", b"" if kind == 4 else payload)]))
+        if kind == 3:
+            data[30 + len(f"{name}.txt")] = 0xFF  # an invalid block type at the start of the deflate stream
+        A.write_bytes(f"{root}/mixed/{name}.zip", bytes(data))
+        return pd.DataFrame([(f"mixed/{name}.zip", len(pdf))], columns=["file", "lines"])
+
+    return run
+
+
 def _odd_archives(root: str):
     def run(batches):
         for pdf in batches:
@@ -95,6 +115,18 @@ def archive_root(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def mixed_root(spark: SparkSession, sf_dir: str) -> str:
+    ship_package(spark)
+    key = _key(spark, sf_dir, "mixed")
+    if key not in _CACHE:
+        root = staging_path(spark, "archives")
+        lines = FQ.fw_lines(spark, sf_dir).withColumn("block", F.expr(f"line_no div {8 * BLOCK}"))
+        packed = lines.groupBy("block").applyInPandas(_pack_mixed(root), "file string, lines long")
+        packed.write.format("noop").mode("overwrite").save()
+        _CACHE[key] = root
+    return _CACHE[key]
+
+
 def _rel(root: str, col: str = "path") -> F.Column:
     return F.regexp_extract(F.col(col), r"wavefold-stage/archives-[0-9a-f]+/(.*)$", 1)
 
@@ -193,9 +225,29 @@ CLEAN_COLUMNS = ["orderkey", "partkey", "linenumber", "extendedprice", "flag", "
 
 
 def q_conversion_run(spark, sf_dir):
-    _, report = _converted(spark, sf_dir, "parquet", None, "full")
-    return spark.createDataFrame([(r["source"], r["rows"], r["failed"], r["status"]) for r in report],
-                                 "source string, rows long, failed boolean, status string")
+    """Archives of every kind in one conversion: each is published whole or rejected with its reason."""
+    key = _key(spark, sf_dir, "mixed-report")
+    if key not in _CACHE:
+        root = mixed_root(spark, sf_dir)
+        zips = A.file_listing(spark, f"{root}/mixed", zips_only=True).repartition(8, "path")
+        lines = A.archive_lines(zips).withColumnRenamed("archive", "source")
+        _CACHE[key] = convert_lines(spark, lines, FQ.LINE_LAYOUT, staging_path(spark, "mixed-out"),
+                                    sources=zips.select(F.col("path").alias("source")))
+    fault = F.col("first_error")
+    why = (F.when(fault.startswith("damaged archive"), "damaged").when(fault.contains("while reading as"), "decoding")
+           .otherwise(fault))
+    converted = F.col("status") == "converted"
+    return _CACHE[key].select(
+        F.regexp_extract("source", r"/(mixed/[^/]+)$", 1).alias("source"), "status", why.alias("reason"),
+        F.when(converted, F.col("rows")).alias("rows"), F.regexp_extract("output", r"/([^/]+)$", 1).alias("output"))
+
+
+def q_conversion_rows(spark, sf_dir):
+    """The published rows of the mixed conversion, all columns, read back."""
+    q_conversion_run(spark, sf_dir)
+    report = _CACHE[_key(spark, sf_dir, "mixed-report")]
+    outputs = [r["output"] for r in report.filter("status = 'converted'").select("output").collect()]
+    return spark.read.parquet(*outputs)
 
 
 def _published(spark, sf_dir, fmt):
@@ -211,6 +263,13 @@ def q_csv_roundtrip(spark, sf_dir):
     return spark.read.option("header", "true").option("lineSep", "\r\n").csv(_published(spark, sf_dir, "csv"))
 
 
+def q_csv_one_column(spark, sf_dir):
+    """One column with missing values: every record has a line (read as lines, whatever a CSV reader makes of them)."""
+    target, report = _converted(spark, sf_dir, "csv", ["partkey"], "one-column")
+    lines = spark.read.option("lineSep", "\r\n").text([r["output"] for r in report if r["status"] == "converted"])
+    return lines.filter("value <> 'partkey'").select("value")
+
+
 def q_dataset_projection(spark, sf_dir):
     return spark.read.parquet(*_published(spark, sf_dir, "parquet")).select("orderkey", "suppkey")
 
@@ -242,6 +301,8 @@ QUERIES = {
     "verify_deep": q_verify_deep,
     "dictionary_cells": q_dictionary_cells,
     "conversion_run": q_conversion_run,
+    "conversion_rows": q_conversion_rows,
+    "csv_one_column": q_csv_one_column,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "dataset_projection": q_dataset_projection,
@@ -286,11 +347,17 @@ ORACLE = {
         SELECT 'dict_' || CAST(doc_id AS VARCHAR) AS doc,
                row_number() OVER (PARTITION BY doc_id ORDER BY row_no) AS row_no, c0, c1, c2, c3, c4, c5, c6, c7
         FROM ({DQ._cell_rows()})""",
-    "conversion_run": """
-        SELECT 'lineitem_' || CAST(l_orderkey % 16 AS VARCHAR) || '.txt' AS source, count(*) AS rows,
-               bool_or(l_orderkey % 13 = 0 AND l_linenumber = 1) AS failed,
-               CASE WHEN bool_or(l_orderkey % 13 = 0 AND l_linenumber = 1) THEN 'unresolved' ELSE 'converted' END AS status
-        FROM lineitem GROUP BY 1""",
+    "conversion_run": f"""
+        SELECT 'mixed/' || stem || '.zip' AS source,
+               CASE WHEN kind IN (0, 4, 5) THEN 'converted' ELSE 'unresolved' END AS status,
+               CASE kind WHEN 1 THEN 'quantity' WHEN 2 THEN 'decoding' WHEN 3 THEN 'damaged' END AS reason,
+               CASE WHEN kind IN (0, 5) THEN n WHEN kind = 4 THEN 0 END AS rows, stem || '.parquet' AS output
+        FROM (SELECT printf('mixed_%05d', l_orderkey // {BLOCK}) AS stem, (l_orderkey // {BLOCK}) % 6 AS kind, count(*) AS n
+              FROM lineitem GROUP BY 1, 2)""",
+    "conversion_rows": f"""
+        SELECT orderkey, partkey, linenumber, CAST(1 AS SMALLINT) AS quantity, extendedprice, flag, suppkey
+        FROM ({FQ._EXPECTED.replace("SELECT", "SELECT (l_orderkey // " + str(BLOCK) + ") % 6 AS kind,", 1)}) WHERE kind IN (0, 5)""",
+    "csv_one_column": f"SELECT coalesce(nullif(partkey, ''), '\"\"') AS value FROM ({FQ._TEXT})",
     "parquet_roundtrip": f"SELECT {_CLEAN} FROM ({FQ._EXPECTED})",
     "csv_roundtrip": f"SELECT {_CLEAN} FROM ({FQ._TEXT})",
     "dataset_projection": f"SELECT orderkey, suppkey FROM ({FQ._EXPECTED})",

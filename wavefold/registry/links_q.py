@@ -25,7 +25,29 @@ def q_link_local_path(spark, sf_dir):
     return PG.local_files(PG.classify_links(_links(spark, sf_dir))).select("root", "local_path", "url")
 
 
+# Link forms beside those of the table: markup and the href it holds, both with the page's id.
+FORMS = [
+    ('<a href="a b{id}.zip">', "a b{id}.zip"),
+    ("<a title=\"x>y\" href='q\"{id}.zip'>", 'q"{id}.zip'),
+    ("<a class=k href=\"it's{id}.zip\">", "it's{id}.zip"),
+    ('<a href="../up{id}.zip">', "../up{id}.zip"),
+    ('<a href="s%2Ft{id}.zip">', "s%2Ft{id}.zip"),
+    ("<a href=p+q{id}.zip>", "p+q{id}.zip"),
+    ('<a href="c&amp;d&#38;&#xE7;{id}.zip">', "c&d&ç{id}.zip"),
+    ('<A data-href="no" HREF = "./sub/{id}/" >', "./sub/{id}/"),
+]
+
+
+def q_page_link_forms(spark, sf_dir):
+    """Every page with a list of links of other forms in place of its text."""
+    number = F.col("page_id").cast("string")
+    parts = [F.replace(F.lit(markup), F.lit("{id}"), number) for markup, _ in FORMS]
+    listing = table(spark, sf_dir, "pages").select("page_id", "url", F.concat(*parts, F.lit("<a name=x>")).alias("html"))
+    return PG.page_links(listing).select("page_id", F.col("pos").cast("int").alias("pos"), "href")
+
+
 QUERIES = {
+    "page_link_forms": q_page_link_forms,
     "page_links": q_page_links,
     "links_in_scope": q_links_in_scope,
     "link_local_path": q_link_local_path,
@@ -62,7 +84,12 @@ _CLASSIFIED = f"""
       END AS child_url
     FROM ({_HREFS}))"""
 
+_FORMS = " UNION ALL ".join(
+    f"SELECT page_id, {n} AS pos, replace('{href.replace(chr(39), chr(39) * 2)}', '{{id}}', CAST(page_id AS VARCHAR)) AS href FROM pages"
+    for n, (_, href) in enumerate(FORMS))
+
 ORACLE = {
+    "page_link_forms": _FORMS,
     "page_links": f"SELECT page_id, pos, href FROM ({_HREFS})",
     "links_in_scope": f"SELECT page_id, pos, child_url, in_scope FROM ({_CLASSIFIED})",
     "link_local_path": f"""

@@ -15,7 +15,9 @@ from __future__ import annotations
 import io
 import os
 import posixpath
+import shutil
 import zipfile
+import zlib
 from typing import Iterator
 
 import pandas as pd
@@ -26,6 +28,9 @@ from ..functions import paths as P
 from ..session import ship_package
 
 LINE_BATCH = 50_000
+COPY_BYTES = 1 << 20
+# What reading a damaged archive raises: structure, deflate data, early end, unknown methods.
+DAMAGED = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError, KeyError)
 
 INVENTORY_SCHEMA = "archive string, size long, mtime timestamp, readable boolean, members array<string>, error string"
 LINES_SCHEMA = "archive string, member string, line_no long, value string, error string"
@@ -70,19 +75,74 @@ def open_random_access(uri: str):
     return fs_.open_input_file(path)
 
 
-def write_bytes(uri: str, data: bytes) -> None:
+def open_new(uri: str):
+    """A binary handle on a new file; its folder is made as needed."""
     local = _local_path(uri)
     if local is not None:
         os.makedirs(os.path.dirname(local), exist_ok=True)
-        with open(local, "wb") as out:
-            out.write(data)
-        return
+        return open(local, "wb")
     fs_, path = filesystem(uri)
     fs_.create_dir(posixpath.dirname(path), recursive=True)
-    with fs_.open_output_stream(path) as out:
+    return fs_.open_output_stream(path)
+
+
+def write_bytes(uri: str, data: bytes) -> None:
+    with open_new(uri) as out:
         out.write(data)
 
 
+def exists(uri: str) -> bool:
+    from pyarrow import fs
+
+    fs_, path = filesystem(uri)
+    return fs_.get_file_info(path).type != fs.FileType.NotFound
+
+
+def replace_folder(source: str, target: str) -> None:
+    """Move ``source`` into the place of ``target``.  A repeated attempt that finds its work done changes nothing."""
+    fs_, src = filesystem(source)
+    _, dst = filesystem(target)
+    if not exists(source):
+        if exists(target):
+            return
+        raise OSError(f"neither {source} nor {target} is there")
+    fs_.create_dir(posixpath.dirname(dst), recursive=True)
+    aside = f"{dst.rstrip('/')}.old"
+    if exists(target):
+        if exists(f"{target.rstrip('/')}.old"):
+            fs_.delete_dir(aside)
+        fs_.move(dst, aside)
+    fs_.move(src, dst)
+    if exists(f"{target.rstrip('/')}.old"):
+        fs_.delete_dir(aside)
+
+
+def copy_folder(source: str, target: str) -> None:
+    """Put a copy of the (small) folder ``source`` in the place of ``target``."""
+    from pyarrow import fs
+
+    fs_, src = filesystem(source)
+    part = f"{target.rstrip('/')}.part"
+    for info in fs_.get_file_info(fs.FileSelector(src)):
+        if info.is_file and not info.base_name.startswith("."):
+            with fs_.open_input_stream(info.path) as stream, open_new(f"{part}/{info.base_name}") as out:
+                shutil.copyfileobj(stream, out, COPY_BYTES)
+    replace_folder(part, target)
+
+
+def is_empty_folder(spark: SparkSession, root: str) -> bool:
+    """Whether no data file is below ``root`` (Spark's own marker files do not count)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs_ = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not any(not s.getPath().getName().startswith(("_SUCCESS", ".")) for s in fs_.listStatus(path))
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with the scheme of the session's default file system, so that a task opens the same place."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
 def is_text_member(name: str) -> bool:
     return not name.endswith("/") and name.lower().endswith((".txt", ".dat"))
 
@@ -117,8 +177,8 @@ def _inventory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_random_access(uri) as handle, zipfile.ZipFile(handle) as archive:
                     names = archive.namelist()
                 out.append((uri, int(size), mtime, True, names, None))
-            except (zipfile.BadZipFile, OSError) as exc:
-                out.append((uri, int(size), mtime, False, [], f"unreadable ZIP: {exc}"))
+            except DAMAGED as exc:
+                out.append((uri, int(size), mtime, False, [], f"damaged archive: {exc}"))
         yield pd.DataFrame(out, columns=["archive", "size", "mtime", "readable", "members", "error"])
 
 
@@ -152,16 +212,17 @@ def _split_lines(handle, encoding: str) -> Iterator[tuple[str | None, str | None
 def _line_scan(member: str | None, encoding: str, batch_rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for uri in pdf["path"]:
+            members = pdf["member"] if "member" in pdf.columns else [None] * len(pdf)
+            for uri, own in zip(pdf["path"], members):
                 rows: list[tuple] = []
                 try:
                     with open_random_access(uri) as handle, zipfile.ZipFile(handle) as archive:
-                        chosen = member
+                        chosen = own or member
                         if chosen is None:
                             candidates = [n for n in archive.namelist() if is_text_member(n)]
                             if len(candidates) != 1:
                                 yield pd.DataFrame(
-                                    [(uri, None, None, None, "the ZIP does not contain exactly one text data file")],
+                                    [(uri, None, None, None, f"{len(candidates)} text members where one is needed")],
                                     columns=["archive", "member", "line_no", "value", "error"])
                                 continue
                             chosen = candidates[0]
@@ -171,8 +232,8 @@ def _line_scan(member: str | None, encoding: str, batch_rows: int):
                                 if len(rows) >= batch_rows:
                                     yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error"])
                                     rows = []
-                except (zipfile.BadZipFile, OSError, KeyError) as exc:
-                    rows.append((uri, member, None, None, f"unreadable ZIP: {exc}"))
+                except DAMAGED as exc:
+                    rows.append((uri, member, None, None, f"damaged archive: {exc}"))
                 if rows:
                     yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error"])
 
@@ -182,14 +243,16 @@ def _line_scan(member: str | None, encoding: str, batch_rows: int):
 def archive_lines(archives: DataFrame, member: str | None = None, encoding: str = "utf-8",
                   batch_rows: int = LINE_BATCH) -> DataFrame:
     """``archive, member, line_no, value, error`` for the text member of each
-    archive (the only ``.txt``/``.dat`` one unless ``member`` is named).
+    archive: the one named in a ``member`` column or by ``member``, else the
+    only ``.txt``/``.dat`` one.
 
     ``\\n``, ``\\r\\n`` and ``\\r`` all end a line, decoding is strict; a
     decode error ends that archive with an ``error`` row.  ``line_no`` is the
     1-based position in the member — a stable ordinal for ties.
     """
     ship_package(archives.sparkSession)
-    return archives.select("path").mapInPandas(_line_scan(member, encoding, batch_rows), LINES_SCHEMA)
+    given = [c for c in ("path", "member") if c in archives.columns]
+    return archives.select(*given).mapInPandas(_line_scan(member, encoding, batch_rows), LINES_SCHEMA)
 
 
 # -------------------------------------------------------------- digests
@@ -240,8 +303,8 @@ def _crc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_random_access(uri) as handle, zipfile.ZipFile(handle) as archive:
                     bad = archive.testzip()
                 out.append((uri, bad is None, bad))
-            except (zipfile.BadZipFile, OSError) as exc:
-                out.append((uri, False, f"unreadable ZIP ({exc})"))
+            except DAMAGED as exc:
+                out.append((uri, False, f"damaged archive: {exc}"))
         yield pd.DataFrame(out, columns=["archive", "crc_ok", "bad_member"])
 
 
@@ -269,12 +332,12 @@ def _unpack(target_root: str, strip_prefix: str):
                         else:
                             for info in infos:
                                 name = info.filename.replace("\\", "/")
-                                data = archive.read(info)
                                 out_uri = posixpath.join(base, name)
-                                write_bytes(out_uri, data)
-                                rows.append((uri, name, out_uri, len(data), None))
-                except (zipfile.BadZipFile, OSError) as exc:
-                    rows.append((uri, None, None, None, f"Not a valid ZIP archive: {exc}"))
+                                with archive.open(info) as stream, open_new(out_uri) as out:
+                                    shutil.copyfileobj(stream, out, COPY_BYTES)
+                                rows.append((uri, name, out_uri, info.file_size, None))
+                except DAMAGED as exc:
+                    rows.append((uri, None, None, None, f"damaged archive: {exc}"))
                 yield pd.DataFrame(rows, columns=["archive", "member", "output", "bytes", "error"])
 
     return run

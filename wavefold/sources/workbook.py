@@ -64,12 +64,15 @@ def sheet_rows(data: bytes) -> Iterator[tuple[int, list[str]]]:
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         strings = _shared_strings(book)
         sheet = ET.fromstring(book.read(_first_sheet_path(book)))
+    number = 0
     for row in sheet.iter(f"{{{_NS['m']}}}row"):
-        cells = [""] * N_CELLS
+        # Row and cell references are optional: without one, the place after the previous holds.
+        number = int(row.get("r") or number + 1)
+        cells, col = [""] * N_CELLS, -1
         for c in row.findall("m:c", _NS):
             match = _REF.match(c.get("r", ""))
-            col = _column_index(match.group(1)) if match else None
-            if col is None or col >= N_CELLS:
+            col = _column_index(match.group(1)) if match else col + 1
+            if col >= N_CELLS:
                 continue
             kind = c.get("t", "n")
             if kind == "inlineStr":
@@ -84,7 +87,7 @@ def sheet_rows(data: bytes) -> Iterator[tuple[int, list[str]]]:
                 else:
                     value = raw
             cells[col] = value
-        yield int(row.get("r")), cells
+        yield number, cells
 
 
 def _read_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
