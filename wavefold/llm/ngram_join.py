@@ -4,9 +4,10 @@ Each text is the set of its word n-grams, ordered rare first: by the level of a
 (fixed size, all documents), then by hash.  Any fixed order gives the same result; this one puts
 what many documents share at the end.
 
-A set whose similarity with another reaches the threshold shares an element of its prefix with
-it, so the prefixes are the first steps of the tree.  A packed exchange finds the prefix
-elements that two sets share; only documents with one go on.
+A set whose similarity with another reaches the threshold shares the first elements of its prefix with
+it, so the prefixes are the first steps of the tree.  They are a twentieth of the set longer than the shortest that
+would do, so that linked sets share that many elements in them.  A packed exchange finds the prefix
+elements that two sets share; only documents with enough of them go on, which a common line or passage alone does not give.
 
 Pairs are then met in two rounds.  Round one links each set to a hub among the sets with an equal
 smallest hash; most near copies join a component there, in linear work.  Round two walks
@@ -61,6 +62,17 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def slack(n: int) -> int:
+    """Elements that a prefix holds beyond the shortest one, so that a linked set shares this many in it."""
+    return max(1, n // 20)
+
+
+def _enough(found, n, percent: int):
+    """Whether a set of ``n`` shares as many prefix elements as a link to the smallest possible set would bring."""
+    smallest = F.ceil(F.lit(percent) * n / 100)
+    return F.octet_length(found) / 4 >= F.greatest(F.lit(1), F.floor(smallest / 20))
+
+
 def _measure(docs: DataFrame, size: int) -> DataFrame:
     """Per document its set's size and fingerprint; per task the slices of its count sketch."""
     each = (1 << SKETCH_BITS) // SLICES
@@ -124,7 +136,7 @@ def _emit_prefixes(size: int, percent: int, levels: np.ndarray):
             rows, places, keys = [], [], []
             for row, found in shingle_sets(batch.column("text"), size):
                 if len(found):
-                    prefix = len(found) - needed(len(found), percent) + 1
+                    prefix = min(len(found), len(found) - needed(len(found), percent) + slack(len(found)))
                     rows.append(np.full(prefix, row))
                     places.append(np.arange(prefix))
                     keys.append(ordered(found, levels)[:prefix])
@@ -256,7 +268,8 @@ def ngram_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
 
     parts = packed.exchange_parts(own)
     hits = packed.exchange(own, _emit_prefixes(size, percent, levels), _judge_prefixes, SMALL, parts)
-    hits = hits.join(classes.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    hits = hits.join(classes.select(F.col("class_id").alias("doc_id"), "n_shingles"), "doc_id")
+    hits = hits.filter(_enough(F.col("found"), F.col("n_shingles"), percent)).drop("n_shingles")
     involved = own.join(hits, "doc_id").select("doc_id", "text", "found")
     sets = stage(_as_sets(involved, size, levels), "ngram-sets")
 
