@@ -2,9 +2,10 @@
 
 Wave ``n`` is the ``n``-th quarter from 1995Q1 (panel id ``19951``... which is
 not a ``20YYQ`` id, so the years are shifted by 25: 1995 → 2020, id ``20201``).
-One order is one interview record:
+Every order is one interview record.  Later quarters join in groups of five:
+a group's dwellings are its own (``upa``), its quarters are waves 1 to 5.
 
-    upa = c_nationkey, v1008 = o_custkey % 40           (dwelling)
+    upa = c_nationkey + 1000 * group, v1008 = o_custkey % 40           (dwelling)
     v2007 = 1 + custkey % 2, v2008 = 1 + custkey % 28,
     v20081 = 1 + custkey % 12, v20082 = 1940 + custkey % 60, null when custkey % 19 = 0
     v2003 = o_orderkey (null when o_orderkey % 23 = 0)   (order within dwelling)
@@ -27,22 +28,22 @@ PANEL_ID = "20201"
 N_WAVES = 5
 YEAR_SHIFT = 25
 FIRST_ORDINAL = 1995 * 4
+GROUP_STEP = 1000
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp"))
-        & (F.col("o_orderdate") < F.lit("1996-04-01").cast("timestamp"))
-    )
+    orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
     ck, ok = F.col("o_custkey"), F.col("o_orderkey")
-    wave = (F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1 - FIRST_ORDINAL + 1).cast("int")
+    quarter = F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1 - FIRST_ORDINAL
+    group, wave = F.floor(quarter / N_WAVES).cast("int"), (F.pmod(quarter, F.lit(N_WAVES)) + 1).cast("int")
+    ordinal = wave - 1 + FIRST_ORDINAL
     return joined.select(
         wave.alias("_wave"),
-        (F.year("o_orderdate") + YEAR_SHIFT).cast("int").alias("ano"),
-        F.quarter("o_orderdate").cast("int").alias("trimestre"),
-        F.col("c_nationkey").cast("int").alias("upa"),
+        (F.floor(ordinal / 4) + YEAR_SHIFT).cast("int").alias("ano"),
+        (ordinal % 4 + 1).cast("int").alias("trimestre"),
+        (F.col("c_nationkey") + group * GROUP_STEP).cast("int").alias("upa"),
         (ck % 40).cast("int").alias("v1008"),
         F.when(ok % 9 == 0, wave % 5 + 1).otherwise(wave).cast("int").alias("v1016"),
         F.when(ok % 23 == 0, F.lit(None)).otherwise(ok).cast("int").alias("v2003"),
@@ -106,16 +107,16 @@ QUERIES = {
 _VALUE_COLS = ["ano", "trimestre", "upa", "v1008", "v1016", "v2003", "v2007", "v2008", "v20081",
                "v20082", "o_totalprice", "line_no"]
 
+_QUARTER = f"(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 - {FIRST_ORDINAL})"
+
 _WAVES = f"""
 SELECT
-  CAST(year(o_orderdate) * 4 + quarter(o_orderdate) - 1 - {FIRST_ORDINAL} + 1 AS INTEGER) AS panel_wave,
-  CAST(year(o_orderdate) + {YEAR_SHIFT} AS INTEGER) AS ano,
-  CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
-  CAST(c_nationkey AS INTEGER) AS upa,
+  CAST(wave AS INTEGER) AS panel_wave,
+  CAST((wave - 1 + {FIRST_ORDINAL}) // 4 + {YEAR_SHIFT} AS INTEGER) AS ano,
+  CAST((wave - 1 + {FIRST_ORDINAL}) % 4 + 1 AS INTEGER) AS trimestre,
+  CAST(c_nationkey + ({_QUARTER} // {N_WAVES}) * {GROUP_STEP} AS INTEGER) AS upa,
   CAST(o_custkey % 40 AS INTEGER) AS v1008,
-  CAST(CASE WHEN o_orderkey % 9 = 0
-            THEN (year(o_orderdate) * 4 + quarter(o_orderdate) - 1 - {FIRST_ORDINAL} + 1) % 5 + 1
-            ELSE year(o_orderdate) * 4 + quarter(o_orderdate) - 1 - {FIRST_ORDINAL} + 1 END AS INTEGER) AS v1016,
+  CAST(CASE WHEN o_orderkey % 9 = 0 THEN wave % 5 + 1 ELSE wave END AS INTEGER) AS v1016,
   CAST(CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_orderkey END AS INTEGER) AS v2003,
   CAST(o_custkey % 2 + 1 AS INTEGER) AS v2007,
   CAST(o_custkey % 28 + 1 AS INTEGER) AS v2008,
@@ -123,8 +124,7 @@ SELECT
   CAST(CASE WHEN o_custkey % 19 = 0 THEN NULL ELSE o_custkey % 60 + 1940 END AS INTEGER) AS v20082,
   o_totalprice,
   o_orderkey AS line_no
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-04-01'
+FROM (SELECT *, {_QUARTER} % {N_WAVES} + 1 AS wave FROM orders) JOIN customer ON o_custkey = c_custkey
 """
 
 
