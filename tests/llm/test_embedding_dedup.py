@@ -41,7 +41,7 @@ def result(df):
 
 def test_recall_and_exactness(make):
     rows, expected = sample(), brute(sample())
-    for block in (512, 16):
+    for block in (256, 16):
         got = result(embedding_dedup.vector_components(make(rows, SCHEMA), block=block))
         assert all(got[i][0] <= expected[i][0] for i in expected)
         found, there = sum(g[0] for g in got.values()), sum(e[0] for e in expected.values())

@@ -6,9 +6,9 @@ the order of the summed distances to the two halves' centroids.  How many is mea
 are compared with all by brute force, and the number of cells is the smallest that finds ``TARGET`` of their
 links (all cells if nothing less does).  Pairs that meet in a cell are verified by cosine in double precision.
 
-Equal vectors are one class and travel once.  A cell's members are split into blocks of
-at most ``BLOCK`` in expectation, so a crowded cell is shared by many tasks; each holds a
-block and streams the queries.  A task returns link counts and a spanning forest of its links, never the pairs.
+Equal vectors are one class and travel once.  A cell's members, and the queries that visit it, are split into
+blocks of at most ``BLOCK`` in expectation, so a crowded cell is shared by many tasks; each holds a
+block of members and streams a block of queries.  A task returns link counts and a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ COSINE = 0.95
 TARGET = 0.9995
 FIT_SAMPLE = 20_000
 PROBE_SAMPLE = 1_000
-BLOCK = 512
+BLOCK = 256
 MAX_CELLS_VISITED = 128
 
 
@@ -149,12 +149,12 @@ def _links(sent: DataFrame, dim: int, cosine: float, visited: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
         for batch in batches:
-            cells, blocks = batch.column("cell").to_numpy(), batch.column("block").to_numpy()
-            place = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]) | (blocks[1:] != blocks[:-1])]))
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("cell", "block", "part")], 1)
+            place = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
             for a, b in zip(place.tolist(), [*place[1:].tolist(), batch.num_rows], strict=True):
                 part = batch.slice(a, b - a)
-                if key != (cells[a], blocks[a]):
-                    key, block = (cells[a], blocks[a]), None
+                if key != tuple(keys[a]):
+                    key, block = tuple(keys[a]), None
                 probe = part.column("probe").to_numpy(zero_copy_only=False)
                 members = int((probe == 0).sum())  # members of the block come before its queries
                 if members:
@@ -237,15 +237,20 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
     placed = stage(reps.select("rep", "copies", "embedding").mapInArrow(
         place, f"rep bigint, copies bigint, embedding {kind}, path array<bigint>"), "vector-paths")
     visited = min(visited, len(index.books[0]) * len(index.books[1]))
-    home = F.get("path", F.lit(0)).alias("cell")
-    crowds = stage(placed.groupBy(home).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")), "vector-cells")
-    members = (placed.withColumn("cell", F.get("path", F.lit(0))).join(crowds, "cell")
-               .select("cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("probe"),
+    home = F.get("path", F.lit(0))
+    parts_of = lambda n: F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(n)
+    asked = placed.select(F.explode("path").alias("cell")).groupBy("cell").agg(parts_of("parts"))
+    cells = stage(placed.groupBy(home.alias("cell")).agg(parts_of("blocks")).join(asked, "cell"), "vector-cells")
+    members = (placed.withColumn("cell", home).join(cells, "cell")
+               .select("cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
+                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("probe"),
                        "rep", "copies", "embedding", "path"))
-    asks = placed.select("rep", "copies", "embedding", "path", F.explode("path").alias("cell")).join(crowds, "cell")
-    asks = asks.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("probe"),
+    asks = placed.select("rep", "copies", "embedding", "path", F.explode("path").alias("cell")).join(cells, "cell")
+    asks = asks.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                       F.pmod(F.xxhash64(F.lit(37), "rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("probe"),
                        "rep", "copies", "embedding", "path")
-    sent = members.unionByName(asks).repartition("cell", "block").sortWithinPartitions("cell", "block", "probe")
+    keys = ["cell", "block", "part"]
+    sent = members.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "probe")
     found = stage(_links(sent, dim, cosine, visited), "vector-links")
     edges = found.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b"))
     met = components(vectors.sparkSession, edges, "vector-cc")
@@ -255,9 +260,9 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
                .select("h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
                        F.coalesce("component", "rep").alias("component_id")))
     classes = stage(classes, "vector-results")
-    keys = usable.select("vec_id", "h1", "h2")
-    linked = keys.join(classes, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
-    others = rows.join(keys.select("vec_id").distinct(), "vec_id", "left_anti").select(
+    known = usable.select("vec_id", "h1", "h2")
+    linked = known.join(classes, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
+    others = rows.join(known.select("vec_id").distinct(), "vec_id", "left_anti").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(others).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
