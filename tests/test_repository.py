@@ -190,3 +190,45 @@ def test_root_may_contain_the_originals_folder_name(spark, tmpdir_path):
     build_tree(root)
     paths = {r["path"] for r in Archive(spark, root).listing().collect()}
     assert "originals/trimestral/2024/PNADC_012024_20250101.zip" in paths
+
+
+def test_unpack_records_its_state(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    add_zip(tmpdir_path, "PNADC_022024", b"110001\n" * 500, damage=True)
+    actions = lambda: {r["archive"].rsplit("/", 1)[-1]: r["action"] for r in Archive(spark, tmpdir_path).unpack_plan().collect()}
+    first = actions()
+    assert set(first.values()) == {"process", "excluded"}
+    archive = Archive(spark, tmpdir_path)
+    results = archive.unpack(archive.unpack_plan()).collect()
+    assert any(r["error"] for r in results) and any(r["output"] for r in results)
+    second = actions()
+    assert second["PNADC_012024_20250101.zip"] == "skip" and second["PNADC_022024.zip"] == "process"
+    assert "extracted/trimestral/2024/PNADC_012024_20250101/PNADC_012024.txt" in {
+        o for r in archive.unpack_state().collect() for o in r["outputs"]}
+    archive.unpack(archive.unpack_plan())
+    assert actions() == second
+
+
+def test_discovery_feeds_the_sync_plan(spark, tmpdir_path):
+    html = '<a href="PNADC_012024.zip">a</a><a href="PNADC_022024.zip">b</a>'
+    pages = spark.createDataFrame([(1, "https://h.example/T/", html)], "page_id long, url string, html string")
+    archive = Archive(spark, tmpdir_path)
+    known = spark.createDataFrame([("https://h.example/T/PNADC_012024.zip", 7, "e", None)],
+                                  "url string, size long, etag string, last_modified string")
+    remote = archive.remote_files(pages, {"trimestral": "https://h.example/T/"}, metadata=known)
+    manifest = spark.createDataFrame([], "key string, url string, size long, etag string, last_modified string, local string")
+    local = spark.createDataFrame([("trimestral/PNADC_012024.zip", 7, True)], "key string, size long, readable boolean")
+    got = {r["key"]: r["status"] for r in archive.sync_plan(remote, manifest, local).collect()}
+    assert got == {"trimestral/PNADC_012024.zip": "adopt", "trimestral/PNADC_022024.zip": "download"}
+
+
+def test_quarters_need_the_quarterly_survey(spark, tmpdir_path):
+    import pytest
+
+    build_tree(tmpdir_path)
+    archive = Archive(spark, tmpdir_path)
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="trimestral"):
+        archive.remote_files(pages, {"anual": "https://h.example/A/"}, quarters=[1])
+    with pytest.raises(ValueError, match="trimestral"):
+        archive.plan_conversion(os.path.join(tmpdir_path, "out"), scope="anual", quarters=[1])

@@ -19,8 +19,10 @@ MANIFEST_FIELDS = ("url", "size", "etag", "last_modified", "local", "sha256", "a
 
 
 def _prefixed(df: DataFrame, prefix: str, fields: Sequence[str]) -> DataFrame:
-    return df.select(F.col("key"), *[F.col(f).alias(f"{prefix}{f}") for f in fields if f in df.columns],
-                     F.lit(True).alias(f"{prefix}present"))
+    """``df`` with prefixed fields; one that the listing does not give is unknown (null)."""
+    unknown = {"size": "bigint", "adopted": "boolean", "readable": "boolean"}
+    cols = [(F.col(f) if f in df.columns else F.lit(None).cast(unknown.get(f, "string"))).alias(f"{prefix}{f}") for f in fields]
+    return df.select(F.col("key"), *cols, F.lit(True).alias(f"{prefix}present"))
 
 
 def _selected(key, surveys: Sequence[str]):

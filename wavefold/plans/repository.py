@@ -24,6 +24,7 @@ from ..operators import sync as S
 from ..operators import unpack as U
 from ..operators import verify as V
 from ..operators.layout import Layout, Variable
+from ..session import cut_lineage
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
@@ -122,14 +123,17 @@ class Archive:
 
     # ----------------------------------------------------------- discovery
     def remote_files(self, pages: DataFrame, roots: dict[str, str], years: Iterable[int] | None = None,
-                     quarters: Iterable[int] | None = None) -> DataFrame:
+                     quarters: Iterable[int] | None = None, metadata: DataFrame | None = None) -> DataFrame:
         """Remote listing from index pages: in-scope file links of each
         survey root, minus exclusions, then the period filter (shared
         documents always pass; quarters bind only the quarterly survey).
 
         ``pages``: page_id, url, html — one hop of the crawl, every page at once.
         ``roots``: survey → root directory URL.
+        ``metadata``: what is known of the files (``url, size, etag, last_modified``); others are unknown.
+        The result feeds ``sync_plan``.
         """
+        self._check_quarters(quarters, roots)
         from ..functions import urls as UR
         from ..sources import pages as PG
 
@@ -149,35 +153,72 @@ class Archive:
             survey_of_root = F.when(cond, F.lit(name)) if survey_of_root is None else survey_of_root.when(cond, F.lit(name))
         files = PG.local_files(classified).withColumn("survey", survey_of_root)
         files = files.withColumnRenamed("local_path", "path").filter(~P.excluded(F.col("path"), list(self.exclude)))
-        return files.filter(P.period_selected(F.col("path"), F.col("survey"), years, quarters)).select(
+        found = files.filter(P.period_selected(F.col("path"), F.col("survey"), years, quarters)).select(
             "survey", "path", "url", F.concat(F.col("survey"), F.lit("/"), F.col("path")).alias("key"))
+        if metadata is None:
+            metadata = self.spark.createDataFrame([], "url string, size long, etag string, last_modified string")
+        return found.join(metadata.select("url", "size", "etag", "last_modified"), "url", "left")
+
+    @staticmethod
+    def _check_quarters(quarters: Iterable[int] | None, surveys: Iterable[str]) -> None:
+        """Quarters select files of the quarterly survey, so asking for them without it is a mistake."""
+        if quarters and "trimestral" not in surveys:
+            raise ValueError("quarters need the quarterly survey ('trimestral') among the surveys")
 
     # ---------------------------------------------------------------- sync
     def sync_plan(self, remote: DataFrame, manifest: DataFrame, local: DataFrame) -> DataFrame:
         return S.sync_plan(remote, manifest, local, self.surveys)
 
     def verify(self, manifest: DataFrame, deep: bool = False) -> DataFrame:
-        listing = A.file_listing(self.spark, self.originals)
-        local = A.file_digests(listing).select(self._relative("path").alias("local"),
-                                               "file_size", "digest")
+        """Presence and size first; only files that pass and have a recorded hash are read,
+        and with ``deep`` the archives among those that have none."""
+        listing = A.file_listing(self.spark, self.originals).select("path", self._relative("path").alias("local"), "size")
+        listed = listing.join(manifest.select("local", F.col("size").alias("_size"), F.length("sha256").alias("_hash")).distinct(), "local")
+        sound = listed.filter(F.col("_size").isNull() | (F.col("_size") == F.col("size")))
+        has_hash = F.coalesce(F.col("_hash") > 0, F.lit(False))
+        digests = A.file_digests(self._spread(sound.filter(has_hash).select("path").distinct()))
+        local = listing.join(digests.select("path", "digest"), "path", "left").select("local", F.col("size").alias("file_size"), "digest")
         crc = None
         if deep:
-            zips = A.file_listing(self.spark, self.originals, zips_only=True)
-            crc = A.crc_check(zips).select(self._relative("archive").alias("local"),
-                                           "crc_ok", "bad_member")
+            zips = sound.filter(~has_hash & P.zip_suffix(F.col("path"))).select("path").distinct()
+            crc = A.crc_check(self._spread(zips)).select(self._relative("archive").alias("local"), "crc_ok", "bad_member")
         return V.verify_files(manifest, local, crc)
 
     # -------------------------------------------------------------- unpack
-    def unpack_plan(self, state: DataFrame, force: bool = False) -> DataFrame:
+    def unpack_plan(self, state: DataFrame | None = None, force: bool = False) -> DataFrame:
+        state = self.unpack_state() if state is None else state
         zips = A.file_listing(self.spark, self.originals, zips_only=True).select(
             self._relative("path").alias("archive"), "size",
             (F.unix_micros("mtime") * 1000).alias("mtime_ns"), F.col("path").alias("uri"))
         return U.unpack_plan(zips, state, self.exclude, force)
 
+    @property
+    def _state_path(self) -> str:
+        return f"{self.root}/metadata/unpack_state"
+
+    def unpack_state(self) -> DataFrame:
+        """What earlier runs unpacked: ``archive, size, mtime_ns, outputs``."""
+        schema = "archive string, size long, mtime_ns long, outputs array<string>"
+        if not _exists(self.spark, self._state_path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._state_path)
+
     def unpack(self, plan: DataFrame) -> DataFrame:
+        """Unpack what the plan says and record it: a later plan skips what is unchanged.
+
+        An archive that could not be unpacked is not recorded, so it is tried again."""
+        plan = cut_lineage(plan)  # the recorded state is an input of the plan and is replaced below
         todo = plan.filter(F.col("action") == "process").select(
             F.col("uri").alias("path"), F.regexp_replace("archive", r"^originals/", "").alias("relative"))
-        return A.unpack_archives(self._spread(todo), f"{self.root}/extracted")
+        done = cut_lineage(A.unpack_archives(self._spread(todo), f"{self.root}/extracted"))
+        made = done.groupBy(F.col("archive").alias("uri")).agg(
+            F.max(F.col("error").isNotNull()).alias("failed"),
+            F.collect_list(self._relative("output")).alias("outputs")).filter(~F.col("failed"))
+        processed = plan.join(made, "uri").select("archive", "size", "mtime_ns", "outputs")
+        kept = plan.filter(F.col("action") != "process").filter(F.col("previous_outputs").isNotNull()).select(
+            "archive", F.col("s_size").alias("size"), F.col("s_mtime_ns").alias("mtime_ns"), F.col("previous_outputs").alias("outputs"))
+        publish(self.spark, processed.unionByName(kept), self._state_path, "parquet", force=True)
+        return done
 
     # ------------------------------------------------------------- convert
     def convert(self, sources: Sequence[str], layout: Layout, output_root: str, output_format: str = "parquet",
@@ -235,6 +276,7 @@ class Archive:
 
         status: ``convert`` / ``skipped`` / ``unresolved`` (no dictionary, or
         several text members and none chosen)."""
+        self._check_quarters(quarters, self.surveys if scope is None else (scope,))
         layouts = self.layout_catalog()
         matched = self.catalog(layouts)
         chosen = R.latest_revision(matched, output_format, flat=self.output_layout == "flat", path_col="path",
