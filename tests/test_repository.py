@@ -1,3 +1,4 @@
+import json
 import os
 import zipfile
 
@@ -232,3 +233,18 @@ def test_quarters_need_the_quarterly_survey(spark, tmpdir_path):
         archive.remote_files(pages, {"anual": "https://h.example/A/"}, quarters=[1])
     with pytest.raises(ValueError, match="trimestral"):
         archive.plan_conversion(os.path.join(tmpdir_path, "out"), scope="anual", quarters=[1])
+
+
+def test_metadata_is_stored_and_read_back(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    archive = Archive(spark, tmpdir_path)
+    table = archive.generate_metadata().collect()
+    assert [r["path"].rsplit("/", 1)[-1] for r in table] == ["PNADC_012024_20250101.zip"] and table[0]["layout_id"]
+    documents = {r["layout_id"]: r for r in spark.read.json(os.path.join(tmpdir_path, "metadata", "layouts")).collect()}
+    own = documents[table[0]["layout_id"]]
+    assert [v["name"] for v in own["variables"]] == ["uf", "v1008"] and own["variables"][0]["section"] == "identificação"
+    assert len(own["source"]["dictionary_sha256"]) == 64
+    single = os.path.join(tmpdir_path, "one.json")
+    with open(single, "w", encoding="utf-8") as out:
+        json.dump(Layout([Variable("uf", 1, 2)]).to_dict(), out)
+    assert Layout.read(spark, single).names == ["uf"]

@@ -28,7 +28,7 @@ from ..session import cut_lineage
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
-from .sinks import _exists, flat_index, publish, write_flat_index
+from .sinks import _exists, flat_index, publish, write_flat_index, write_layout_documents
 
 # Fixed value: the index file name other tools look for beside flat outputs.
 FLAT_INDEX_NAME = "pnadc.microdados.dicionarios.json"
@@ -221,7 +221,7 @@ class Archive:
         return done
 
     # ------------------------------------------------------------- convert
-    def convert(self, sources: Sequence[str], layout: Layout, output_root: str, output_format: str = "parquet",
+    def convert(self, sources: Sequence[str], layout: Layout | str, output_root: str, output_format: str = "parquet",
                 columns: Iterable[str] | None = None, all_string: bool = False, force: bool = False,
                 member: str | None = None, encoding: str = "utf-8") -> DataFrame:
         """Convert the text member of every listed ZIP with one layout (one job).
@@ -229,7 +229,10 @@ class Archive:
         A ZIP member is one deflate stream, so each archive is decompressed by
         one task; the lines are then dealt out by blocks for the (heavier)
         parse, so one huge archive does not leave the parse in a single task.
-        Every listed archive is in the report, readable or not."""
+        Every listed archive is in the report, readable or not.  ``layout``
+        may be the path of a layout document."""
+        if isinstance(layout, str):
+            layout = Layout.read(self.spark, layout)
         archives = self.spark.createDataFrame([(s, member) for s in sources], "path string, member string")
         return convert_lines(self.spark, self._member_lines(archives, encoding), layout, output_root, output_format,
                              columns, all_string, force, archives.select(F.col("path").alias("source")))
@@ -244,6 +247,19 @@ class Archive:
             F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
         return D.parse_grid(WB.workbook_cells(self._spread(books)).filter(F.col("error").isNull()).drop("error"))
 
+    def generate_metadata(self) -> DataFrame:
+        """Store the catalog under ``metadata``: layout documents and a table of data files with their dictionary.
+
+        Returns the table (``path, name, scope, year, quarter, member, layout_id, score``)."""
+        layouts = self.layout_catalog()
+        digests = self.layout_digests(layouts).withColumnRenamed("layout_id", "doc_id")
+        write_layout_documents(self.layout_variables(layouts), f"{self.root}/metadata/layouts", digests=digests)
+        matched = self.catalog(layouts)
+        table = matched.select(*[c for c in ("path", "name", "scope", "anual_kind", "year", "quarter", "member", "layout_id", "score")
+                                 if c in matched.columns])
+        publish(self.spark, table, f"{self.root}/metadata/catalog", "parquet", force=True)
+        return self.spark.read.parquet(f"{self.root}/metadata/catalog")
+
     def layout_digests(self, layouts: DataFrame | None = None) -> DataFrame:
         layouts = layouts if layouts is not None else self.layout_catalog()
         uris = self.listing().select(F.col("path").alias("source"), "uri")

@@ -81,17 +81,29 @@ def publish(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet
     return target
 
 
-def write_layout_documents(variables: DataFrame, target: str, id_col: str = "doc_id") -> str:
-    """One layout JSON document per dictionary (schema version 1), variables
-    in start order.  A dictionary is bounded, so collecting its variables into
-    one document is a bounded group."""
-    var = F.struct(
-        F.col("start"), F.col("name"), F.col("width"), F.col("end"), F.col("label"), F.col("section"),
-        F.col("storage_type"),
-    )
-    docs = variables.groupBy(id_col).agg(F.array_sort(F.collect_list(var)).alias("variables")).select(
-        F.col(id_col).cast("string").alias("layout_id"), F.lit(1).alias("schema_version"),
-        F.create_map().cast("map<string,string>").alias("source"), "variables")
+# The fields of a variable in a layout document.
+DOCUMENT_FIELDS = ("name", "start", "width", "end", "label", "section", "question", "period", "categories",
+                   "category_note", "storage_type")
+
+
+def write_layout_documents(variables: DataFrame, target: str, id_col: str = "doc_id",
+                           digests: DataFrame | None = None) -> str:
+    """One layout JSON document per dictionary (schema version 1), variables in dictionary order.
+
+    ``digests`` (``id_col, dictionary_sha256``) records the dictionary that a
+    document was made from.  A dictionary is a worksheet, so collecting its
+    variables into one document is a bounded group.
+    """
+    fields = [f for f in DOCUMENT_FIELDS if f in variables.columns]
+    ordered = F.array_sort(F.collect_list(F.struct("row_no", *fields)),
+                           lambda a, b: F.when(a["row_no"] < b["row_no"], -1).when(a["row_no"] > b["row_no"], 1).otherwise(0))
+    docs = variables.groupBy(id_col).agg(ordered.alias("v"))
+    source = F.create_map().cast("map<string,string>")
+    if digests is not None:
+        docs = docs.join(digests.select(id_col, "dictionary_sha256"), id_col, "left")
+        source = F.create_map(F.lit("dictionary_sha256"), F.col("dictionary_sha256"))
+    docs = docs.select(F.col(id_col).cast("string").alias("layout_id"), F.lit(1).alias("schema_version"), source.alias("source"),
+                       F.transform("v", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias("variables"))
     return publish(variables.sparkSession, docs, target, "json", force=True)
 
 

@@ -75,20 +75,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def to_local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(to_local_path(path), exist_ok=True)
-    return path
-
-
 _SHIPPED: set[str] = set()
 
 
