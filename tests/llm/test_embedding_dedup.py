@@ -81,3 +81,20 @@ def test_visits_are_the_nearest_cells():
         got = index.visits(vectors, count)
         want = np.sort(every, 1)[:, :count]
         assert np.allclose(np.take_along_axis(every, got, 1), want)
+
+
+def test_every_length_is_compared(make):
+    """Two lengths of many vectors, one component, and ids shared by different vectors."""
+    wide, narrow = sample(150, seed=3), [(i + 1, v, x) for i, v, x in sample(120, dim=6, seed=4)]
+    single = [(100_000 + i, [float(x)], 0) for i, x in enumerate([0.5, 2, -1, 7, -3, 0.1])]
+    got = result(embedding_dedup.vector_components(make(wide + narrow + single, SCHEMA), target=1.1))
+    assert {i: g[:2] for i, g in got.items()} == {**brute(wide), **brute(narrow), **brute(single)}
+    assert len(got) == len(wide) + len(narrow) + len(single)
+
+
+def test_rows_that_share_an_id(make):
+    rows = [(1, [1.0, 0.0], 0), (1, None, 0), (1, [float("nan")], 0), (1, [0.0, 1.0, 0.0], 0), (1, [0.0, 1.0], 0),
+            (2, [3.0, 0.0], 0), (2, [2.0, 0.0], 0), (0, [0.0, 2.0, 0.0], 0), (3, [0.0, 1.0, 0.1], 0)]
+    got = embedding_dedup.vector_components(make(rows, SCHEMA)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [
+        (0, 2, 0), (1, 0, 1), (1, 0, 1), (1, 0, 1), (1, 2, 0), (1, 2, 1), (2, 2, 1), (2, 2, 1), (3, 2, 0)]

@@ -2,7 +2,7 @@
 
 Two codebooks, one for each half of the vector, are fitted on a bounded sample; their
 product is a grid of cells and every vector has a home cell.  A query visits cells in
-the order of the summed distances to the two halves' centroids.  How many is measured: ``PROBE_SAMPLE`` vectors
+the order of the summed distances to the two halves' centroids.  Vectors of different lengths have grids of their own.  How many is measured: ``PROBE_SAMPLE`` vectors
 are compared with all by brute force, and the number of cells is the smallest that finds ``TARGET`` of their
 links (all cells if nothing less does).  Pairs that meet in a cell are verified by cosine in double precision.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavefold.llm.common import bounded_sample, components, stage
+from wavefold.llm.common import components, stage
 
 COSINE = 0.95
 TARGET = 0.9995
@@ -77,16 +77,42 @@ def _unit(column: pa.Array, dim: int) -> np.ndarray:
     return flat / np.sqrt((flat * flat).sum(1))[:, None] if len(flat) else flat
 
 
+def _is_usable():
+    """Whether a row has an id and a vector of finite components, one of them not zero."""
+    known = (F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
+             & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+             & F.exists("embedding", lambda x: x != 0))
+    return F.coalesce(known, F.lit(False))
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
-    """Finite, non-zero vectors of the table's most frequent length (the longer of equals), with a hash of their values."""
-    finite = vectors.filter(
-        F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 1)
-        & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        & F.exists("embedding", lambda x: x != 0))
-    lengths = finite.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
-    dim = lengths[0]["dim"] if lengths else 0
-    return finite.filter(F.size("embedding") == dim).select(
-        "vec_id", "embedding", F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(19), "embedding").alias("h2"))
+    """The usable vectors with their length and a hash of their values; of one component only the sign counts."""
+    kind = dict(vectors.dtypes)["embedding"]
+    sign = F.transform("embedding", lambda x: F.signum(x)).cast(kind)
+    return (vectors.filter(_is_usable())
+            .withColumn("embedding", F.when(F.size("embedding") == 1, sign).otherwise(F.col("embedding")))
+            .select("vec_id", F.size("embedding").alias("dim"), "embedding",
+                    F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(19), "embedding").alias("h2")))
+
+
+def _by_length(part: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    dims = part.column("dim").to_numpy()
+    lengths = np.unique(dims).tolist()
+    for dim in lengths:
+        yield dim, part if len(lengths) == 1 else part.filter(pa.array(dims == dim))
+
+
+def _samples(reps: DataFrame, size: int, salt: int) -> DataFrame:
+    """At most ``size`` classes of every length, one from each hash bucket."""
+    bucket = F.pmod(F.xxhash64(F.lit(salt), "h1"), F.lit(size))
+    chosen = reps.groupBy("dim", bucket.alias("bucket")).agg(F.min("h1").alias("h1")).select("dim", "h1")
+    return stage(reps.join(chosen, ["dim", "h1"]).select("dim", "h1", "h2", "node", "embedding"), "vector-sample")
+
+
+def _sample_of(samples: DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and unit vectors of one length, one length at a time on the driver."""
+    found = samples.filter(F.col("dim") == dim).orderBy("h1", "h2").select("node", "embedding").toArrow()
+    return found.column("node").to_numpy(), _unit(found.column("embedding").combine_chunks(), dim)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -108,63 +134,69 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
-def _calibrate(reps: DataFrame, index: MultiIndex, dim: int, cosine: float, target: float, sample: int, most: int) -> int:
-    """Cells to visit: the smallest number that finds ``target`` of the sampled vectors' links."""
-    chosen = reps.join(bounded_sample(reps, "rep", sample, 23), "rep").select("rep", "embedding").orderBy("rep").toArrow()
-    ids, queries = chosen.column("rep").to_numpy(), _unit(chosen.column("embedding").combine_chunks(), dim)
-    if not len(ids):
-        return 1
-    paths = index.visits(queries, most)
+def _calibrate(reps: DataFrame, indexes: dict[int, MultiIndex], cosine: float, target: float, sample: int,
+               most: dict[int, int]) -> dict[int, int]:
+    """Cells to visit for each length: the smallest number that finds ``target`` of the sampled vectors' links."""
+    samples, probes = _samples(reps, sample, 23), {}
+    for dim, index in indexes.items():
+        ids, queries = _sample_of(samples, dim)
+        probes[dim] = ids, queries, index.visits(queries, most[dim])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(most + 1, np.int64)
+        seen = {dim: np.zeros(n + 1, np.int64) for dim, n in most.items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                own, vectors = part.column("rep").to_numpy(), _unit(part.column("embedding"), dim)
-                q, y = np.nonzero(queries @ vectors.T >= cosine)
-                other = ids[q] != own[y]
-                q, y = q[other], y[other]
-                if len(q):
-                    back = index.visits(vectors, most)
-                    ranks = [np.where(hit.any(1), hit.argmax(1), most) for hit in
-                             (paths[q] == back[y, 0][:, None], back[y] == paths[q, 0][:, None])]
-                    seen += np.bincount(np.minimum(*ranks), minlength=most + 1)
-        yield pa.RecordBatch.from_arrays([pa.array([int(x) for x in seen], pa.int64()), pa.array(range(most + 1), pa.int64())],
-                                         names=["n", "rank"])
-
-    rows = reps.select("rep", "embedding").mapInArrow(run, "n bigint, rank bigint").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(most + 1, np.int64)
+                for dim, part in _by_length(batch.slice(at, 2048)):
+                    ids, queries, paths = probes[dim]
+                    own, vectors = part.column("node").to_numpy(), _unit(part.column("embedding"), dim)
+                    q, y = np.nonzero(queries @ vectors.T >= cosine)
+                    other = ids[q] != own[y]
+                    q, y = q[other], y[other]
+                    if len(q):
+                        back = indexes[dim].visits(vectors, most[dim])
+                        ranks = [np.where(hit.any(1), hit.argmax(1), most[dim]) for hit in
+                                 (paths[q] == back[y, 0][:, None], back[y] == paths[q, 0][:, None])]
+                        seen[dim] += np.bincount(np.minimum(*ranks), minlength=most[dim] + 1)
+        for dim, counts in seen.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(counts), dim), pa.int32()), pa.array(counts), pa.array(np.arange(len(counts)))],
+                names=["dim", "n", "rank"])
+
+    rows = (reps.select("dim", "node", "embedding").mapInArrow(run, "dim int, n bigint, rank bigint")
+            .groupBy("dim", "rank").agg(F.sum("n").alias("n")).collect())
+    counts = {dim: np.zeros(n + 1, np.int64) for dim, n in most.items()}
     for row in rows:
-        counts[row["rank"]] = row["n"]
-    if not counts.sum():
-        return 1
-    recall = np.cumsum(counts[:most]) / counts.sum()
-    reached = np.flatnonzero(recall >= target)
-    return int(reached[0]) + 1 if len(reached) else -1
+        counts[row["dim"]][row["rank"]] = row["n"]
+    visited = {}
+    for dim, found in counts.items():
+        recall = np.cumsum(found[:most[dim]]) / max(1, found.sum())
+        reached = np.flatnonzero(recall >= target)
+        visited[dim] = 1 if not found.sum() else int(reached[0]) + 1 if len(reached) else -1
+    return visited
 
 
-def _links(sent: DataFrame, dim: int, cosine: float, visited: int) -> DataFrame:
-    """Partial results of every block: ``rep, other, n`` (a tree edge, or a count with ``other`` null)."""
+def _links(sent: DataFrame, cosine: float, visited: dict[int, int]) -> DataFrame:
+    """Partial results of every block: ``node, other, n`` (a tree edge, or a count with ``other`` null)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("cell", "block", "part")], 1)
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("dim", "cell", "block", "part")], 1)
             place = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
             for a, b in zip(place.tolist(), [*place[1:].tolist(), batch.num_rows], strict=True):
                 part = batch.slice(a, b - a)
                 if key != tuple(keys[a]):
                     key, block = tuple(keys[a]), None
+                dim = int(keys[a, 0])
                 probe = part.column("probe").to_numpy(zero_copy_only=False)
                 members = int((probe == 0).sum())  # members of the block come before its queries
                 if members:
-                    head = _Side(part.slice(0, members), dim, visited)
+                    head = _Side(part.slice(0, members), dim, visited[dim])
                     block = head if block is None else block.plus(head)
                 for at in range(members, part.num_rows, 1024):
                     if block is not None:
-                        yield _meet(_Side(part.slice(at, 1024), dim, visited), block, cosine)
+                        yield _meet(_Side(part.slice(at, 1024), dim, visited[dim]), block, cosine)
 
-    return sent.mapInArrow(run, "rep bigint, other bigint, n bigint")
+    return sent.mapInArrow(run, "node bigint, other bigint, n bigint")
 
 
 class _Side:
@@ -172,13 +204,13 @@ class _Side:
 
     def __init__(self, part: pa.RecordBatch | None, dim: int, visited: int):
         if part is not None:
-            self.rep, self.copies = part.column("rep").to_numpy(), part.column("copies").to_numpy()
+            self.node, self.copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
             self.unit = _unit(part.column("embedding"), dim)
             self.path = part.column("path").flatten().to_numpy().reshape(-1, visited)
 
     def plus(self, more: _Side) -> _Side:
         out = _Side(None, 0, 0)
-        for name in ("rep", "copies", "unit", "path"):
+        for name in ("node", "copies", "unit", "path"):
             setattr(out, name, np.concatenate([getattr(self, name), getattr(more, name)]))
         return out
 
@@ -187,17 +219,17 @@ def _meet(queries: _Side, block: _Side, cosine: float) -> pa.RecordBatch:
     q, y = np.nonzero(queries.unit @ block.unit.T >= cosine)
     # A pair that each finds in the other's home cell counts where the smaller id asks.
     mutual = (block.path[y] == queries.path[q, 0][:, None]).any(1)
-    counted = (queries.rep[q] != block.rep[y]) & (~mutual | (queries.rep[q] < block.rep[y]))
+    counted = (queries.node[q] != block.node[y]) & (~mutual | (queries.node[q] < block.node[y]))
     q, y = q[counted], y[counted]
-    n_q, n_y = len(queries.rep), len(block.rep)
+    n_q, n_y = len(queries.node), len(block.node)
     tree = _forest(q, y + n_q, n_q + n_y)
     to_q = np.bincount(q, block.copies[y], n_q).astype(np.int64)
     to_y = np.bincount(y, queries.copies[q], n_y).astype(np.int64)
     some_q, some_y = np.flatnonzero(to_q), np.flatnonzero(to_y)
-    rep = np.concatenate([queries.rep[q[tree]], queries.rep[some_q], block.rep[some_y]])
+    node = np.concatenate([queries.node[q[tree]], queries.node[some_q], block.node[some_y]])
     n = np.concatenate([np.zeros(len(tree), np.int64), to_q[some_q], to_y[some_y]])
-    other = pa.concat_arrays([pa.array(block.rep[y[tree]], pa.int64()), pa.nulls(len(some_q) + len(some_y), pa.int64())])
-    return pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), other, pa.array(n, pa.int64())], names=["rep", "other", "n"])
+    other = pa.concat_arrays([pa.array(block.node[y[tree]], pa.int64()), pa.nulls(len(some_q) + len(some_y), pa.int64())])
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), other, pa.array(n, pa.int64())], names=["node", "other", "n"])
 
 
 def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float = TARGET, fit_sample: int = FIT_SAMPLE,
@@ -205,65 +237,67 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors(vec_id, embedding)``.
 
     ``n_links`` counts the other rows found with a cosine of at least ``cosine``; ``component_id`` is the
-    smallest id reachable by links; ``kept`` marks the vector that bears it.  Vectors that are null, zero, of one component, or hold null or
-    non-finite components, rows without an id and vectors of another length than most have no
-    links and stay.  Rows of equal vectors are linked with each other, also under one id.  Other columns are not read.
+    smallest id reachable by links; ``kept`` marks the vector that bears it.  Vectors of any length are compared with
+    those of the same length.  Vectors that are null, empty, zero, or hold null or non-finite components and rows
+    without an id have no links and stay.  Rows of equal vectors are linked with each other, also under one id; rows of
+    different vectors under one id are told apart.  Other columns are not read.
     """
     rows = vectors.select("vec_id", "embedding")
     usable = _usable(rows)
-    reps = stage(usable.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-                                               F.min_by("embedding", "vec_id").alias("embedding")), "vector-classes")
-    total = reps.count()
-    chosen = reps.join(bounded_sample(reps, "rep", fit_sample, 31), "rep").orderBy("rep").select("embedding")
-    sample = chosen.toArrow().column("embedding").combine_chunks()
-    dim = len(sample[0]) if len(sample) else 2
-    size = int(min(4096, max(2, round(np.sqrt(total) / 3))))
-    index = MultiIndex(_unit(sample, dim) if len(sample) else np.zeros((1, dim)), size)
-    most = min(MAX_CELLS_VISITED, len(index.books[0]) * len(index.books[1]))
-    visited = _calibrate(reps, index, dim, cosine, target, probe_sample, most)
-    if visited < 0:  # nothing short of the whole grid reaches the target
-        visited = len(index.books[0]) * len(index.books[1])
+    # A class is named by a number of its own: different vectors can share their smallest id.
+    reps = stage(usable.groupBy("dim", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+                                                      F.min_by("embedding", "vec_id").alias("embedding"))
+                 .withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    totals = {row["dim"]: row["count"] for row in reps.groupBy("dim").count().orderBy("dim").collect()}
+    samples, indexes = _samples(reps, fit_sample, 31), {}
+    for dim, total in totals.items():
+        size = int(min(4096, max(2, round(np.sqrt(total) / 3))))
+        indexes[dim] = MultiIndex(_sample_of(samples, dim)[1], size)
+    grid = {dim: len(index.books[0]) * len(index.books[1]) for dim, index in indexes.items()}
+    visited = _calibrate(reps, indexes, cosine, target, probe_sample, {dim: min(MAX_CELLS_VISITED, n) for dim, n in grid.items()})
+    # Below zero nothing short of the whole grid reaches the target.
+    visited = {dim: n if n > 0 else grid[dim] for dim, n in visited.items()}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                path = index.visits(_unit(part.column("embedding"), dim), visited)
-                offsets = pa.array(np.arange(len(path) + 1) * path.shape[1], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(path.ravel()))], names=[*part.schema.names, "path"])
+                for dim, part in _by_length(batch.slice(at, 1024)):
+                    path = indexes[dim].visits(_unit(part.column("embedding"), dim), visited[dim])
+                    offsets = pa.array(np.arange(len(path) + 1) * path.shape[1], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(path.ravel()))], names=[*part.schema.names, "path"])
 
     kind = dict(reps.dtypes)["embedding"]
-    placed = stage(reps.select("rep", "copies", "embedding").mapInArrow(
-        place, f"rep bigint, copies bigint, embedding {kind}, path array<bigint>"), "vector-paths")
-    visited = min(visited, len(index.books[0]) * len(index.books[1]))
+    placed = stage(reps.select("dim", "node", "copies", "embedding").mapInArrow(
+        place, f"dim int, node bigint, copies bigint, embedding {kind}, path array<bigint>"), "vector-paths")
     home = F.get("path", F.lit(0))
     parts_of = lambda n: F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(n)
-    asked = placed.select(F.explode("path").alias("cell")).groupBy("cell").agg(parts_of("parts"))
-    cells = stage(placed.groupBy(home.alias("cell")).agg(parts_of("blocks")).join(asked, "cell"), "vector-cells")
-    members = (placed.withColumn("cell", home).join(cells, "cell")
-               .select("cell", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
+    asked = placed.select("dim", F.explode("path").alias("cell")).groupBy("dim", "cell").agg(parts_of("parts"))
+    cells = stage(placed.groupBy("dim", home.alias("cell")).agg(parts_of("blocks")).join(asked, ["dim", "cell"]), "vector-cells")
+    members = (placed.withColumn("cell", home).join(cells, ["dim", "cell"])
+               .select("dim", "cell", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("probe"),
-                       "rep", "copies", "embedding", "path"))
-    asks = placed.select("rep", "copies", "embedding", "path", F.explode("path").alias("cell")).join(cells, "cell")
-    asks = asks.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                       F.pmod(F.xxhash64(F.lit(37), "rep"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("probe"),
-                       "rep", "copies", "embedding", "path")
-    keys = ["cell", "block", "part"]
+                       "node", "copies", "embedding", "path"))
+    asks = placed.select("dim", "node", "copies", "embedding", "path", F.explode("path").alias("cell")).join(cells, ["dim", "cell"])
+    asks = asks.select("dim", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                       F.pmod(F.xxhash64(F.lit(37), "node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("probe"),
+                       "node", "copies", "embedding", "path")
+    keys = ["dim", "cell", "block", "part"]
     sent = members.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "probe")
-    found = stage(_links(sent, dim, cosine, visited), "vector-links")
-    edges = found.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    found = stage(_links(sent, cosine, visited), "vector-links")
+    edges = found.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
     met = components(vectors.sparkSession, edges, "vector-cc")
-    counts = found.filter("other IS NULL").groupBy("rep").agg(F.sum("n").alias("n"))
-    classes = (reps.select("h1", "h2", "rep", "copies").join(counts, "rep", "left")
-               .join(met.withColumnRenamed("id", "rep"), "rep", "left")
-               .select("h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-                       F.coalesce("component", "rep").alias("component_id")))
+    lowest = (met.join(reps.select(F.col("node").alias("id"), "rep"), "id")
+              .groupBy("component").agg(F.min("rep").alias("lowest")))
+    counts = found.filter("other IS NULL").groupBy("node").agg(F.sum("n").alias("n"))
+    classes = (reps.select("dim", "h1", "h2", "node", "rep", "copies").join(counts, "node", "left")
+               .join(met.join(lowest, "component").select(F.col("id").alias("node"), "lowest"), "node", "left")
+               .select("dim", "h1", "h2", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+                       F.coalesce("lowest", "rep").alias("component_id")))
     classes = stage(classes, "vector-results")
-    known = usable.select("vec_id", "h1", "h2")
-    linked = known.join(classes, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
-    others = rows.join(known.select("vec_id").distinct(), "vec_id", "left_anti").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    linked = (usable.select("vec_id", "dim", "h1", "h2").join(classes, ["dim", "h1", "h2"])
+              .select("vec_id", "n_links", "component_id"))
+    others = rows.filter(~_is_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(others).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
