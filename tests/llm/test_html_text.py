@@ -63,3 +63,28 @@ def test_table(make):
     got = sorted(tuple(r) for r in html_text.extract(pages).na.fill(-1, ["page_id"]).na.fill("", ["url"]).collect())
     assert got == [(-1, "w", ("word " * 10).strip(), 49), (1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (2, "", "", 0), (3, "v", "", 0)]
     assert html_text.extract(make([], PAGES)).count() == 0
+
+
+BODY = "".join(f"<p>{'word ' * 20}number {i}.</p>" for i in range(5))
+WORDS = " ".join(f"{'word ' * 20}number {i}." for i in range(5))
+
+
+def test_noise_names_around_the_article():
+    for wrap in ('<div class="content-sidebar-wrap">', '<div class="wrap has-sidebar">', '<div id="page" class="site no-header">',
+                 "<form id=aspnetForm>", '<div role="search" style="display:none">'):
+        assert main_text(f"<body>{wrap}<article>{BODY}</article></body>", WEIGHTS) == WORDS
+        assert main_text(f"<body>{wrap}<main>{BODY}</main><div class=ad>Buy this</div></body>", WEIGHTS) == WORDS
+
+
+def test_noise_names_around_most_words():
+    for wrap in ('<div class="wrap has-sidebar">', '<div id="page" class="site no-header">'):
+        assert main_text(f"<body>{wrap}{BODY}</div><div>few other words</div></body>", WEIGHTS) == WORDS
+        assert main_text(f"<body><article>teaser</article>{wrap}{BODY}</div></body>", WEIGHTS) == WORDS
+    # An advert longer than a short article stays out.
+    assert main_text("<body><div class=ad>" + "buy " * 15 + "</div><article><p>A short note.</article>", WEIGHTS) == "A short note."
+
+
+def test_names_inside_quoted_values():
+    for attribute in ('title="a hidden gem"', "title='x class=ad y'", 'data-x="a id=comments" class="lead"', 'title="1 > 0 hidden"'):
+        assert main_text(f"<article><p>{'one ' * 9}</p><p {attribute}>two three</p></article>", WEIGHTS) == "one " * 9 + "two three"
+    assert main_text("<article><p>one</p><p hidden>two</p><p data-a='b' class=ad>three</p></article>", WEIGHTS) == "one"

@@ -1,7 +1,8 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
 A page is read as words and tags.  Elements that never hold the article (scripts, menus,
-forms, adverts, reader comments, ...) are left out by name, class, id or role.  Of the
+forms, adverts, reader comments, ...) are left out by name, class, id or role, but never one that
+holds the page's ``<article>`` or ``<main>`` or most of its words: there the name lowers the score.  Of the
 rest each word scores +1 and each tag a negative weight; one linear scan finds
 the contiguous run with the largest sum, and its words are the text.
 
@@ -30,6 +31,8 @@ FIT_PAGES = 500
 WORDS_PER_BLOCK = 30
 UNKNOWN_TAG = -1.0
 CHEAPEST_TAG = -0.01
+# Share of its score that a word or tag keeps in a noise element that is not left out, and if the page marks an article elsewhere.
+NOISE_SHARE, RIVAL_SHARE = 0.5, 0.1
 
 # Element and attribute vocabulary of HTML pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,6 +42,8 @@ CONTAINERS = frozenset("html body article main section div nav aside header foot
                        "fieldset details dialog td th li".split())
 LEFT_OUT = frozenset("head title nav header footer aside form script style noscript template button select textarea "
                      "iframe svg canvas object menu dialog math audio video map".split())
+SILENT = LEFT_OUT - frozenset("nav header footer aside form menu dialog".split())  # no element of these holds an article
+ASIDE = frozenset("nav footer aside menu dialog".split())
 NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion menu nav "
                   "navbar navigation breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr "
                   "notice notices alert popup modal overlay newsletter subscribe subscription social share sharing "
@@ -55,40 +60,80 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</?[a-zA-Z][^<>]*\Z",
     re.S | re.I)
-_MARK = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _is_noise(name: str, attributes: str) -> bool:
-    if name in LEFT_OUT:
-        return True
+def _noise(name: str, attributes: str) -> str:
+    """Why an element is left out: ``"silent"``, ``"aside"`` (not the article by its markup), ``"named"`` or ``""``."""
+    if name in SILENT:
+        return "silent"
+    if name in ASIDE:
+        return "aside"
+    found = "named" if name in LEFT_OUT else ""
     if not attributes or name in NEVER_NOISE:
-        return False
-    for key, value in _MARK.findall(attributes):
+        return found
+    for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "aside"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id") and any(part.lower() in NOISE for part in _NAME_PART.findall(value)):
-            return True
-    return False
+            return "aside"
+        if key == "role" and value.lower() in ROLES or key in ("class", "id") and any(
+                part.lower() in NOISE for part in _NAME_PART.findall(value)):
+            found = "named"
+    return found
 
 
-def tokens(page: str, everything: bool = False) -> Iterator[tuple[str, str]]:
-    """``("text", raw)``, ``("open", tag)`` and ``("close", tag)`` in page order, noise left out unless ``everything``.
+class _Element:
+    """A noise or article element while the page is read: its height, words and the articles in it."""
+
+    def __init__(self, name: str, noise: str, height: int, words: int, shown: int):
+        self.name, self.noise, self.height, self.words, self.shown = name, noise, height, -words, -shown
+        self.holds, self.share = 0, 1.0  # words of the largest outermost article inside; share of the score
+
+
+def _read(page: str) -> list[tuple[str, str, int, _Element | None]]:
+    """Kind, value, height of the stack and noise element of every token, scripts and the like left out.
 
     Open elements form a stack; a closing tag ends what was left open inside it, and a
     new block ends an open paragraph, so unclosed and truncated markup stays readable.
+    ``noise`` of an element that is not to be left out is set to ``"kept"``.
     """
     stack: list[str] = []
-    muted = 0  # height of the stack at the element that is left out, 1-based
+    out: list[tuple[str, str, int, _Element | None]] = []
+    opened: list[_Element] = []
+    noisy: list[_Element] = []
+    words = shown = 0  # words outside scripts and the like; those of them outside ``aside`` elements
+    within = Counter()  # open elements by their noise; ``"article"`` counts articles
+    largest = 0  # words of the largest outermost article
+
+    def text(raw: str) -> None:
+        nonlocal words, shown
+        out.append(("text", raw, len(stack), None))
+        if not within["silent"]:
+            n = len(raw.split())
+            words += n
+            shown += 0 if within["aside"] else n
+
+    def end(height: int) -> None:
+        nonlocal largest
+        while opened and opened[-1].height > height:
+            done = opened.pop()
+            done.words += words
+            done.shown += shown
+            within[done.noise] -= 1
+            if done.name in ("article", "main"):
+                within["article"] -= 1
+                done.holds = 0 if within["article"] else done.words
+                largest = max(largest, done.holds)
+            if opened:
+                opened[-1].holds = max(opened[-1].holds, done.holds)
+
     at = 0
     for found in _TOKEN.finditer(page):
-        if found.start() > at and not muted:
-            yield "text", page[at:found.start()]
+        if found.start() > at:
+            text(page[at:found.start()])
         at = found.end()
         closing, name, attributes = found.group(2, 3, 4) if found.group(3) else found.group(5, 6, 7)
         if not name:
@@ -101,10 +146,8 @@ def tokens(page: str, everything: bool = False) -> Iterator[tuple[str, str]]:
                     break
                 if name not in CONTAINERS and stack[height - 1] in CONTAINERS:
                     break
-            if muted and len(stack) < muted:
-                muted = 0
-            elif not muted:
-                yield "close", name
+            end(len(stack))
+            out.append(("close", name, len(stack), None))
             continue
         if name not in INLINE and name not in VOID:
             for height in range(len(stack), 0, -1):
@@ -113,16 +156,57 @@ def tokens(page: str, everything: bool = False) -> Iterator[tuple[str, str]]:
                     break
                 if stack[height - 1] in CONTAINERS:
                     break
-            if muted and len(stack) < muted:
-                muted = 0
+            end(len(stack))
+        below, element = len(stack), None
         if name not in VOID and not attributes.endswith("/"):
             stack.append(name)
-            if not muted and not everything and _is_noise(name, attributes):
-                muted = len(stack)
+            noise = _noise(name, attributes)
+            if noise or name in ("article", "main"):
+                element = _Element(name, noise, len(stack), words, shown)
+                opened.append(element)
+                within[noise] += 1
+                within["article"] += name in ("article", "main")
+                if noise:
+                    noisy.append(element)
+        out.append(("open", name, below, element))
+    if at < len(page):
+        text(page[at:])
+    end(0)
+    for element in noisy:
+        holds_article = element.noise != "silent" and 0 < largest <= 2 * element.holds
+        if holds_article or element.noise == "named" and 2 * element.shown > shown:
+            element.noise = "kept"
+            element.share = RIVAL_SHARE if largest and not holds_article else NOISE_SHARE
+    return out
+
+
+def tokens(page: str, everything: bool = False) -> Iterator[tuple[str, str, float]]:
+    """``("text", raw)``, ``("open", tag)`` and ``("close", tag)`` in page order, noise left out unless ``everything``.
+
+    The third value is the share of its score that a token keeps: less inside noise that holds most words of the page,
+    until an ``<article>`` or ``<main>`` opens.
+    """
+    muted = 0  # height of the stack at the element that is left out, 1-based
+    shares: list[tuple[int, float]] = []
+    for kind, value, height, element in _read(page):
+        if kind != "text":
+            if height < muted:
+                muted = 0
+                if kind == "close":  # the tag that ends it belongs to it
+                    while shares and height < shares[-1][0]:
+                        shares.pop()
+                    continue
+            while shares and height < shares[-1][0]:
+                shares.pop()
+        if not muted and element is not None:
+            if element.noise == "kept":
+                shares.append((element.height, element.share))
+            elif element.noise and not everything:
+                muted = element.height
+            elif element.name in ("article", "main"):
+                shares.append((element.height, element.share))
         if not muted:
-            yield "open", name
-    if at < len(page) and not muted:
-        yield "text", page[at:]
+            yield kind, value, shares[-1][1] if shares else 1.0
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -143,18 +227,18 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     found = list(tokens(page))
     scores, marked = [], 0
-    for kind, value in found:
+    for kind, value, share in found:
         if kind == "text":
-            scores.append(float(len(value.split())))
+            scores.append(share * len(value.split()))
             continue
         if value in ("article", "main"):
             marked = max(0, marked + (1 if kind == "open" else -1))
         weight = weights.get(value, CHEAPEST_TAG if value in INLINE else UNKNOWN_TAG)
         # Inside a marked article a tag may divide blocks but not the article.
-        scores.append(max(weight, UNKNOWN_TAG) if marked and value not in ("article", "main") else weight)
+        scores.append(share * (max(weight, UNKNOWN_TAG) if marked and value not in ("article", "main") else weight))
     first, end = best_run(scores)
     out = []
-    for kind, value in found[first:end]:
+    for kind, value, _ in found[first:end]:
         if kind == "text":
             out.append(html_lib.unescape(value))
         elif value not in INLINE:
@@ -166,9 +250,9 @@ def fit_weights(labelled: list[str]) -> dict[str, float]:
     """Tag weights from pages that mark their article with ``<article>`` or ``<main>``."""
     inside, every = Counter(), Counter()
     for page in labelled:
-        every.update(value for kind, value in tokens(page, everything=True) if kind != "text")
+        every.update(value for kind, value, _ in tokens(page, everything=True) if kind != "text")
         depth = 0
-        for kind, value in tokens(page):
+        for kind, value, _ in tokens(page):
             if value in ("article", "main") and kind != "text":
                 depth = max(0, depth + (1 if kind == "open" else -1))
             elif kind != "text" and depth:
