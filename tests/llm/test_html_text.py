@@ -88,3 +88,23 @@ def test_names_inside_quoted_values():
     for attribute in ('title="a hidden gem"', "title='x class=ad y'", 'data-x="a id=comments" class="lead"', 'title="1 > 0 hidden"'):
         assert main_text(f"<article><p>{'one ' * 9}</p><p {attribute}>two three</p></article>", WEIGHTS) == "one " * 9 + "two three"
     assert main_text("<article><p>one</p><p hidden>two</p><p data-a='b' class=ad>three</p></article>", WEIGHTS) == "one"
+
+
+def test_blocks_and_lists_of_a_page_without_article():
+    """Labelled pages with div, ul and li outside their articles only: other layouts keep their text."""
+    blocks = [f"{'word ' * 30}block {i}" for i in range(4)]
+    assert WEIGHTS["div"] < -40 and WEIGHTS["li"] < -40
+    page = "<body><div>" + "".join(f"<div>{b}</div>" for b in blocks) + "</div></body>"
+    assert main_text(page, WEIGHTS) == " ".join(blocks)
+    items = "<ul>" + "".join(f"<li>{i} eggs</li>" for i in range(6)) + "<li>milk</li></ul>"
+    words = " ".join(f"{i} eggs" for i in range(6)) + " milk"
+    page = f"<body><div><p>{blocks[0]}</p>{items}<p>{blocks[1]}</p></div><div><div>{blocks[2]}</div></div></body>"
+    assert main_text(page, WEIGHTS) == f"{blocks[0]} {words} {blocks[1]} {blocks[2]}"
+    assert main_text(f"<body><div><p>{blocks[0]}</p>{items}</div>", WEIGHTS) == f"{blocks[0]} {words}"
+    table = "<table>" + "<tr><td>a b</td><td>c d</td></tr>" * 5 + "</table>"
+    assert main_text(f"<body><div>{blocks[0]}{table}</div><div>{blocks[1]}</div>", WEIGHTS) == f"{blocks[0]} {' '.join(['a b c d'] * 5)} {blocks[1]}"
+
+
+def test_lists_that_close_an_article():
+    page = f"<article><p>{'word ' * 30}</p><ul>" + "<li>egg</li>" * 5 + "</ul><div><div><p>End</p></div></div></article><div>Share this page now</div>"
+    assert main_text(page, WEIGHTS) == "word " * 30 + "egg " * 5 + "End"

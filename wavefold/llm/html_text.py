@@ -8,7 +8,9 @@ the contiguous run with the largest sum, and its words are the text.
 
 Tag weights come from labelled pages: pages that mark their article themselves.  A tag
 common inside articles costs next to nothing, a block tag met only outside costs several
-blocks of words (an inline tag one word).  The fit reads at most ``FIT_PAGES`` labelled pages, chosen by a
+blocks of words (an inline tag one word).  That divides an article from the rest of its page; on a page that marks
+no article a block tag costs ``BLOCK_TAG`` words at most, one of a list or table ``ITEM_TAG``, whatever the
+labelled pages hold, and inside a marked article tags cost next to nothing.  The fit reads at most ``FIT_PAGES`` labelled pages, chosen by a
 hash of the page id; extraction then covers every page.
 """
 
@@ -31,6 +33,7 @@ FIT_PAGES = 500
 WORDS_PER_BLOCK = 30
 UNKNOWN_TAG = -1.0
 CHEAPEST_TAG = -0.01
+BLOCK_TAG, ITEM_TAG = -2.0, -0.4
 # Share of its score that a word or tag keeps in a noise element that is not left out, and if the page marks an article elsewhere.
 NOISE_SHARE, RIVAL_SHARE = 0.5, 0.1
 
@@ -40,6 +43,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = frozenset("html body article main section div nav aside header footer form table ul ol dl blockquote "
                        "fieldset details dialog td th li".split())
+ITEMS = frozenset("li dt dd tr td th thead tbody tfoot".split())
 LEFT_OUT = frozenset("head title nav header footer aside form script style noscript template button select textarea "
                      "iframe svg canvas object menu dialog math audio video map".split())
 SILENT = LEFT_OUT - frozenset("nav header footer aside form menu dialog".split())  # no element of these holds an article
@@ -227,6 +231,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     found = list(tokens(page))
     scores, marked = [], 0
+    article = any(kind == "open" and value in ("article", "main") for kind, value, _ in found)
     for kind, value, share in found:
         if kind == "text":
             scores.append(share * len(value.split()))
@@ -234,8 +239,12 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         if value in ("article", "main"):
             marked = max(0, marked + (1 if kind == "open" else -1))
         weight = weights.get(value, CHEAPEST_TAG if value in INLINE else UNKNOWN_TAG)
-        # Inside a marked article a tag may divide blocks but not the article.
-        scores.append(share * (max(weight, UNKNOWN_TAG) if marked and value not in ("article", "main") else weight))
+        if value not in ("article", "main"):
+            if marked:  # the article is whole
+                weight = CHEAPEST_TAG
+            elif not article:
+                weight = max(weight, ITEM_TAG if value in ITEMS else BLOCK_TAG)
+        scores.append(share * weight)
     first, end = best_run(scores)
     out = []
     for kind, value, _ in found[first:end]:
