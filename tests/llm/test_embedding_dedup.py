@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -98,3 +100,30 @@ def test_rows_that_share_an_id(make):
     got = embedding_dedup.vector_components(make(rows, SCHEMA)).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [
         (0, 2, 0), (1, 0, 1), (1, 0, 1), (1, 0, 1), (1, 2, 0), (1, 2, 1), (2, 2, 1), (2, 2, 1), (3, 2, 0)]
+
+
+def test_small_groups_weigh_as_much_as_a_crowd(make, monkeypatch):
+    """The links of one crowd are nearly all links; pairs far from each other's cells still have to be found."""
+    rnd = np.random.default_rng(7)
+    base = rnd.normal(size=(400, 8))
+    near = base + rnd.normal(size=base.shape) * 0.15
+    crowd = rnd.normal(size=8) + rnd.normal(size=(500, 8)) * 0.01
+    rows = [(i, row.tolist(), 0) for i, row in enumerate(np.concatenate([base, near, crowd]).astype(np.float32))]
+    expected = {i: n for i, (n, _) in brute(rows).items() if i < 800 and n}
+    seen = []
+    monkeypatch.setattr(embedding_dedup, "FIRST_CELLS", 2, raising=False)  # far too few: the number doubles
+    calibrate = embedding_dedup._calibrate
+    monkeypatch.setattr(embedding_dedup, "_calibrate", lambda *a: seen.append(dict(a[5])) or calibrate(*a))
+    got = result(embedding_dedup.vector_components(make(rows, SCHEMA), block=16))
+    assert len(seen) > 1 and all(b[8] == min(2 * a[8], b[8]) for a, b in zip(seen, seen[1:], strict=False))
+    assert np.mean([got[i][0] / n for i, n in expected.items()]) >= 0.998
+
+
+def test_many_visits_need_little_memory():
+    index = embedding_dedup.MultiIndex(np.random.default_rng(1).normal(size=(700, 8)), 500)
+    tracemalloc.start()
+    assert index.visits(np.random.default_rng(2).normal(size=(1024, 8)), 128).shape == (1024, 128)
+    assert index.visits(np.random.default_rng(2).normal(size=(1024, 8)), 4096).shape == (1024, 4096)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20

@@ -3,8 +3,10 @@
 Two codebooks, one for each half of the vector, are fitted on a bounded sample; their
 product is a grid of cells and every vector has a home cell.  A query visits cells in
 the order of the summed distances to the two halves' centroids.  Vectors of different lengths have grids of their own.  How many is measured: ``PROBE_SAMPLE`` vectors
-are compared with all by brute force, and the number of cells is the smallest that finds ``TARGET`` of their
-links (all cells if nothing less does).  Pairs that meet in a cell are verified by cosine in double precision.
+are compared with all by brute force, and the number of cells is the smallest that finds ``TARGET`` of a vector's
+links on average over the sampled vectors that have links, so crowded groups weigh no more than small ones.  It is
+sought among ``FIRST_CELLS`` cells, then twice as many and so on up to ``MAX_CELLS_VISITED``; if that or comparing
+everything is cheaper does not reach it, all vectors of the length are compared in one cell split into blocks.
 
 Equal vectors are one class and travel once.  A cell's members, and the queries that visit it, are split into
 blocks of at most ``BLOCK`` in expectation, so a crowded cell is shared by many tasks; each holds a
@@ -27,7 +29,9 @@ TARGET = 0.9995
 FIT_SAMPLE = 20_000
 PROBE_SAMPLE = 1_000
 BLOCK = 256
-MAX_CELLS_VISITED = 128
+FIRST_CELLS = 128
+MAX_CELLS_VISITED = 4096
+VALUES = 1 << 21  # numbers in one array while cells are ranked
 
 
 class MultiIndex:
@@ -42,18 +46,22 @@ class MultiIndex:
 
         The cells of the ``count`` smallest sums lie among the ``count`` nearest centroids of either half.
         """
-        one, two = (_distances(part, book) for part, book in zip(
-            (vectors[:, :self.half], vectors[:, self.half:]), self.books, strict=True))
-        keep = min(count, one.shape[1]), min(count, two.shape[1])
-        first, second = np.argsort(one, 1, kind="stable")[:, :keep[0]], np.argsort(two, 1, kind="stable")[:, :keep[1]]
-        a, b = np.take_along_axis(one, first, 1), np.take_along_axis(two, second, 1)
+        keep = min(count, len(self.books[0])), min(count, len(self.books[1]))
         # Rank pairs with (i + 1) (j + 1) > count cannot be among the ``count`` smallest.
-        i, j = np.divmod(np.arange(keep[0] * keep[1]), keep[1])
-        near = np.flatnonzero((i + 1) * (j + 1) <= count)
-        i, j = i[near], j[near]
-        order = np.argsort(a[:, i] + b[:, j], 1, kind="stable")[:, :count]
-        cells = first[:, i].astype(np.int64) * two.shape[1] + second[:, j]
-        return np.take_along_axis(cells, order, 1)
+        widths = np.minimum(count // np.arange(1, keep[0] + 1), keep[1])
+        i = np.repeat(np.arange(keep[0]), widths)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(widths) - widths, widths)
+        step = max(1, VALUES // max(len(i), len(self.books[0]), len(self.books[1])))
+        out = [np.empty((0, min(count, len(i))), np.int64)]
+        for at in range(0, len(vectors), step):
+            part = vectors[at:at + step]
+            one, two = _distances(part[:, :self.half], self.books[0]), _distances(part[:, self.half:], self.books[1])
+            first, second = np.argsort(one, 1, kind="stable")[:, :keep[0]], np.argsort(two, 1, kind="stable")[:, :keep[1]]
+            a, b = np.take_along_axis(one, first, 1), np.take_along_axis(two, second, 1)
+            order = np.argsort(a[:, i] + b[:, j], 1, kind="stable")[:, :count]
+            out.append(np.take_along_axis(first, i[order], 1).astype(np.int64) * two.shape[1]
+                       + np.take_along_axis(second, j[order], 1))
+        return np.concatenate(out)
 
 
 def _distances(vectors: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -136,42 +144,49 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def _calibrate(reps: DataFrame, indexes: dict[int, MultiIndex], cosine: float, target: float, sample: int,
                most: dict[int, int]) -> dict[int, int]:
-    """Cells to visit for each length: the smallest number that finds ``target`` of the sampled vectors' links."""
+    """Cells to visit for each length: the smallest number, ``most`` at most, that finds ``target`` of a sampled vector's
+    links on average; -1 if none does."""
     samples, probes = _samples(reps, sample, 23), {}
     for dim, index in indexes.items():
         ids, queries = _sample_of(samples, dim)
         probes[dim] = ids, queries, index.visits(queries, most[dim])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = {dim: np.zeros(n + 1, np.int64) for dim, n in most.items()}
+        seen = {dim: np.zeros((len(probes[dim][0]), n + 1), np.int64) for dim, n in most.items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 for dim, part in _by_length(batch.slice(at, 2048)):
+                    if dim not in probes:
+                        continue
                     ids, queries, paths = probes[dim]
                     own, vectors = part.column("node").to_numpy(), _unit(part.column("embedding"), dim)
                     q, y = np.nonzero(queries @ vectors.T >= cosine)
                     other = ids[q] != own[y]
                     q, y = q[other], y[other]
-                    if len(q):
-                        back = indexes[dim].visits(vectors, most[dim])
+                    linked, y = np.unique(y, return_inverse=True)
+                    back = indexes[dim].visits(vectors[linked], most[dim])
+                    step = max(1, VALUES // most[dim])
+                    for one, two in ((q[k:k + step], y[k:k + step]) for k in range(0, len(q), step)):
                         ranks = [np.where(hit.any(1), hit.argmax(1), most[dim]) for hit in
-                                 (paths[q] == back[y, 0][:, None], back[y] == paths[q, 0][:, None])]
-                        seen[dim] += np.bincount(np.minimum(*ranks), minlength=most[dim] + 1)
+                                 (paths[one] == back[two, 0][:, None], back[two] == paths[one, 0][:, None])]
+                        np.add.at(seen[dim], (one, np.minimum(*ranks)), 1)
         for dim, counts in seen.items():
+            probe, rank = np.nonzero(counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(counts), dim), pa.int32()), pa.array(counts), pa.array(np.arange(len(counts)))],
-                names=["dim", "n", "rank"])
-
-    rows = (reps.select("dim", "node", "embedding").mapInArrow(run, "dim int, n bigint, rank bigint")
-            .groupBy("dim", "rank").agg(F.sum("n").alias("n")).collect())
-    counts = {dim: np.zeros(n + 1, np.int64) for dim, n in most.items()}
-    for row in rows:
-        counts[row["dim"]][row["rank"]] = row["n"]
+                [pa.array(np.full(len(probe), dim), pa.int32()), pa.array(probe), pa.array(rank), pa.array(counts[probe, rank])],
+                names=["dim", "probe", "rank", "n"])
+
+    found = (reps.select("dim", "node", "embedding").mapInArrow(run, "dim int, probe bigint, rank bigint, n bigint")
+             .groupBy("dim", "probe", "rank").agg(F.sum("n").alias("n")).toArrow())
+    dims, probe, rank, n = (found.column(c).to_numpy() for c in ("dim", "probe", "rank", "n"))
     visited = {}
-    for dim, found in counts.items():
-        recall = np.cumsum(found[:most[dim]]) / max(1, found.sum())
+    for dim, cells in most.items():
+        links = np.zeros((len(probes[dim][0]), cells + 1))
+        links[probe[dims == dim], rank[dims == dim]] = n[dims == dim]
+        links = links[links.any(1)]
+        recall = (np.cumsum(links[:, :cells], 1) / links.sum(1)[:, None]).mean(0) if len(links) else np.ones(1)
         reached = np.flatnonzero(recall >= target)
-        visited[dim] = 1 if not found.sum() else int(reached[0]) + 1 if len(reached) else -1
+        visited[dim] = 1 if not len(links) else int(reached[0]) + 1 if len(reached) else -1
     return visited
 
 
@@ -190,27 +205,27 @@ def _links(sent: DataFrame, cosine: float, visited: dict[int, int]) -> DataFrame
                 probe = part.column("probe").to_numpy(zero_copy_only=False)
                 members = int((probe == 0).sum())  # members of the block come before its queries
                 if members:
-                    head = _Side(part.slice(0, members), dim, visited[dim])
+                    head = _Side(part.slice(0, members), dim)
+                    head.path = part.slice(0, members).column("path").flatten().to_numpy().reshape(-1, visited[dim])
                     block = head if block is None else block.plus(head)
                 for at in range(members, part.num_rows, 1024):
                     if block is not None:
-                        yield _meet(_Side(part.slice(at, 1024), dim, visited[dim]), block, cosine)
+                        yield _meet(_Side(part.slice(at, 1024), dim), block, cosine)
 
     return sent.mapInArrow(run, "node bigint, other bigint, n bigint")
 
 
 class _Side:
-    """Vectors of one side of a block: ids, copies, unit vectors and the cells they visit."""
+    """Vectors of one side of a block: ids, copies, unit vectors, home cells and (of members) the cells they visit."""
 
-    def __init__(self, part: pa.RecordBatch | None, dim: int, visited: int):
+    def __init__(self, part: pa.RecordBatch | None, dim: int):
         if part is not None:
-            self.node, self.copies = part.column("node").to_numpy(), part.column("copies").to_numpy()
+            self.node, self.copies, self.home = (part.column(c).to_numpy() for c in ("node", "copies", "home"))
             self.unit = _unit(part.column("embedding"), dim)
-            self.path = part.column("path").flatten().to_numpy().reshape(-1, visited)
 
     def plus(self, more: _Side) -> _Side:
-        out = _Side(None, 0, 0)
-        for name in ("node", "copies", "unit", "path"):
+        out = _Side(None, 0)
+        for name in ("node", "copies", "home", "unit", "path"):
             setattr(out, name, np.concatenate([getattr(self, name), getattr(more, name)]))
         return out
 
@@ -218,7 +233,9 @@ class _Side:
 def _meet(queries: _Side, block: _Side, cosine: float) -> pa.RecordBatch:
     q, y = np.nonzero(queries.unit @ block.unit.T >= cosine)
     # A pair that each finds in the other's home cell counts where the smaller id asks.
-    mutual = (block.path[y] == queries.path[q, 0][:, None]).any(1)
+    step = max(1, VALUES // block.path.shape[1])
+    mutual = np.concatenate([np.empty(0, bool), *((block.path[y[k:k + step]] == queries.home[q[k:k + step]][:, None]).any(1)
+                                                  for k in range(0, len(q), step))])
     counted = (queries.node[q] != block.node[y]) & (~mutual | (queries.node[q] < block.node[y]))
     q, y = q[counted], y[counted]
     n_q, n_y = len(queries.node), len(block.node)
@@ -253,10 +270,16 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
     for dim, total in totals.items():
         size = int(min(4096, max(2, round(np.sqrt(total) / 3))))
         indexes[dim] = MultiIndex(_sample_of(samples, dim)[1], size)
-    grid = {dim: len(index.books[0]) * len(index.books[1]) for dim, index in indexes.items()}
-    visited = _calibrate(reps, indexes, cosine, target, probe_sample, {dim: min(MAX_CELLS_VISITED, n) for dim, n in grid.items()})
-    # Below zero nothing short of the whole grid reaches the target.
-    visited = {dim: n if n > 0 else grid[dim] for dim, n in visited.items()}
+    # All pairs send a vector to total / block blocks on either side: beyond that many cells a grid saves nothing.
+    limit = {dim: min(len(index.books[0]) * len(index.books[1]), MAX_CELLS_VISITED, max(FIRST_CELLS, 2 * totals[dim] // block))
+             for dim, index in indexes.items()}
+    most, visited = {dim: min(FIRST_CELLS, n) for dim, n in limit.items()}, {}
+    while most:
+        visited |= _calibrate(reps, {dim: indexes[dim] for dim in most}, cosine, target, probe_sample, most)
+        most = {dim: min(2 * n, limit[dim]) for dim, n in most.items() if visited[dim] < 0 and n < limit[dim]}
+    for dim in visited:
+        if visited[dim] < 0:
+            indexes[dim], visited[dim] = MultiIndex(np.zeros((1, dim)), 1), 1
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,11 +300,12 @@ def vector_components(vectors: DataFrame, cosine: float = COSINE, target: float
     members = (placed.withColumn("cell", home).join(cells, ["dim", "cell"])
                .select("dim", "cell", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("probe"),
-                       "node", "copies", "embedding", "path"))
-    asks = placed.select("dim", "node", "copies", "embedding", "path", F.explode("path").alias("cell")).join(cells, ["dim", "cell"])
+                       "node", "copies", "embedding", home.alias("home"), "path"))
+    # Only members are asked which cells they visit; a query carries its home.
+    asks = placed.select("dim", "node", "copies", "embedding", home.alias("home"), F.explode("path").alias("cell")).join(cells, ["dim", "cell"])
     asks = asks.select("dim", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                        F.pmod(F.xxhash64(F.lit(37), "node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("probe"),
-                       "node", "copies", "embedding", "path")
+                       "node", "copies", "embedding", "home", F.lit(None).cast("array<bigint>").alias("path"))
     keys = ["dim", "cell", "block", "part"]
     sent = members.unionByName(asks).repartition(*keys).sortWithinPartitions(*keys, "probe")
     found = stage(_links(sent, cosine, visited), "vector-links")
