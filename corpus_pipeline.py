@@ -29,10 +29,22 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.
+
+    A document is an id and a text: rows that share an id are judged by their own text, of rows equal in both one stays.
+    """
     ship_package(spark)
-    gone = ngram_join.ngram_components(docs).filter("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    named = docs.select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("node"))
+    groups = ngram_join.ngram_components(named.select(F.col("node").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("node"), "component_id").distinct()
+    placed = stage(named.select("node", "doc_id").distinct().join(groups, "node"), "pipeline-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "node")  # rows without an id come last
+    first = placed.groupBy("component_id").agg(F.min(order).alias("first"))
+    gone = placed.select("node").join(first.select(F.col("first.node").alias("node")), "node", "left_anti")
+    left = named.join(gone, "node", "left_anti")
+    again = stage(named.groupBy("node").count().filter("count > 1").select("node"), "pipeline-repeats")
+    one = left.join(again, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return left.join(again, "node", "left_anti").select(*COLUMNS).unionByName(one)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +53,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
+    """Token ids of every text and the digest of the text they decode to; a text that does not come back is an error."""
     ship_package(spark)
-    return byte_bpe.encode_documents(docs).select("doc_id", "source", "lang", "n_tokens", "token_ids")
+    done = byte_bpe.decode_documents(byte_bpe.encode_documents(docs))
+    same = F.col("decoded_sha256") == F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    checked = F.when(same, F.col("decoded_sha256")).otherwise(F.raise_error(F.lit("token ids do not decode to the text")))
+    return done.select("doc_id", "source", "lang", "n_tokens", "token_ids", checked.alias("decoded_sha256"))
 
 
 STAGES = [

@@ -1,7 +1,7 @@
 import struct
 
 import corpus_pipeline
-from helpers import corpus, crowd
+from helpers import corpus, crowd, sha
 from test_byte_bpe import byte_bpe
 from test_line_dedup import brute as line_brute
 from test_ngram_join import brute as join_brute
@@ -50,3 +50,17 @@ def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
     assert numbers == list(range(1, 11))
     assert set(registry.ORACLE) <= set(registry.QUERIES)
+
+
+def test_rows_that_share_an_id(spark, make):
+    copy, other = " ".join(f"w{i}" for i in range(80)), " ".join(f"x{i}" for i in range(80))
+    rows = [(1, copy), (5, copy), (5, other), (7, other + " y"), (9, "alone"), (9, "alone"), (None, copy)]
+    docs = make([(d, t, "en", "s", len(t)) for d, t in rows])
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted((r[0], r[1]) for r in got) == [(1, copy), (5, other), (9, "alone")]
+
+
+def test_ids_are_decoded(spark, make):
+    rows = [(1, "a text, é", "en", "s", 9), (2, None, "en", "s", 0), (1, "", "en", "s", 0)]
+    got = corpus_pipeline.encode(spark, make(rows), "").collect()
+    assert sorted((r["doc_id"], r["decoded_sha256"]) for r in got) == sorted((r[0], sha(r[1] or "")) for r in rows)

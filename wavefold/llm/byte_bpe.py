@@ -206,6 +206,23 @@ def token_digests(docs: DataFrame, path: str | None = None, pattern: str | None
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``encoded`` plus ``decoded_sha256`` of the text that its ``token_ids`` give."""
+    own_path, own_pattern = default_vocabulary() if path is None or pattern is None else (path, pattern)
+    path, pattern = path or own_path, pattern or own_pattern
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for batch in batches:
+            for part in _slices(batch):
+                ids = part.column("token_ids")
+                digests = [hashlib.sha256(own.decode(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.string())],
+                                                 names=[*part.schema.names, "decoded_sha256"])
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded_sha256", T.StringType())]))
+
+
 def op5_byte_bpe(spark, sf_dir: str) -> DataFrame:
     """Encode and decode every text of ``documents`` with the multilingual 50k ranks."""
     return token_digests(spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"))
