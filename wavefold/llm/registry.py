@@ -5,14 +5,17 @@ from __future__ import annotations
 from wavefold.llm import (
     byte_bpe,
     embedding_dedup,
+    exact_search,
     html_text,
     line_dedup,
     mixing,
     ngram_join,
+    product_codes,
     quality,
     sharding,
     substring_dedup,
     suffix_dedup,
+    whitening,
 )
 
 QUERIES = {
@@ -26,10 +29,15 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_html_text": html_text.op9_html_text,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_exact_search": exact_search.op11_exact_search,
+    "op12_product_codes": product_codes.op12_product_codes,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_exact_search": exact_search.ORACLE,
+    "op12_product_codes": product_codes.ORACLE,
 }
