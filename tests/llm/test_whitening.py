@@ -53,7 +53,7 @@ def test_against_brute_force(make):
 
 def test_far_from_zero(make):
     """A mean a thousand times the spread: nothing may cancel."""
-    rows = [(i, [v + 3000.0 for v in x], 0) for i, x, _ in sample(200, 6)]
+    rows = [(i, [float(np.float32(v + 3000.0)) for v in x], 0) for i, x, _ in sample(200, 6)]
     check(rows, whiten(make(rows, SCHEMA)).collect())
 
 
