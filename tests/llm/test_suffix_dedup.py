@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import corpus, crowd, sha
 from pyspark.sql import functions as F
@@ -61,3 +62,13 @@ def test_empty_table(make):
 def test_rejects_grams_that_leave_windows_without_anchor(make):
     with pytest.raises(ValueError):
         suffix_dedup.suffix_dedup(make([]), 100, 60)
+
+
+def test_anchors_spread_over_parts():
+    """Anchors are small hashes: their parts must not follow that."""
+    rnd = random.Random(7)
+    texts = ["".join(rnd.choice("abcdefghij klmnop") for _ in range(4000)) for _ in range(300)]
+    _, _, keys, _ = suffix_dedup.anchors(pa.array(texts), suffix_dedup.LENGTH, suffix_dedup.GRAM)
+    for parts in (7, 51, 400):
+        sizes = np.bincount(suffix_dedup.anchor_part(keys, parts).astype(np.int64), minlength=parts)
+        assert sizes.max() < 3 * sizes.mean() and sizes.min() > 0

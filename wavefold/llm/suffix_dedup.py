@@ -81,6 +81,11 @@ def anchors(column: pa.Array, length: int, gram: int) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def anchor_part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each anchor.  Anchors are the grams with the smallest upper half of the hash, so it is mixed again first."""
+    return packed.part_of(mix(keys.copy()), parts)
+
+
 def _emit_anchors(length: int, gram: int):
     def emit(batches, parts):
         for turn, batch in enumerate(packed.flushes(batches)):
@@ -99,7 +104,7 @@ def _emit_anchors(length: int, gram: int):
             entries = np.empty(len(going), ENTRY)
             entries["key"], entries["context"] = keys[going].astype(np.uint32), context[going]
             rows += [(part, -1, packed.pack(d, p, e)) for part, (d, p, e) in
-                     packed.split_parts(packed.part_of(keys[going], parts), doc[going], pos[going], entries)]
+                     packed.split_parts(anchor_part(keys[going], parts), doc[going], pos[going], entries)]
             yield rows
     return emit
 
