@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +57,25 @@ def bounded_sample(df: DataFrame, key: str, size: int, salt: int) -> DataFrame:
     return known.groupBy(bucket.alias("bucket")).agg(F.min(key).alias(key)).select(key)
 
 
+def compressed(texts: DataFrame) -> DataFrame:
+    """``doc_id, packed``: whole texts as zstd blobs, less than half as long in an exchange (null stays null)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                blobs = [None if t is None else pack(t.encode()) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(blobs, pa.binary())], names=["doc_id", "packed"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
+
+
+def uncompressed(column: pa.Array) -> list[str | None]:
+    """The texts of ``compressed`` blobs."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [None if b is None else unpack(b).decode() for b in column.to_pylist()]
+
+
 def partitions_for(docs: DataFrame, column: str, bytes_each: int = 16 << 20) -> int:
     """Number of parts that keeps each near ``bytes_each`` of ``column``."""
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0

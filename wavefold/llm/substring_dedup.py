@@ -7,7 +7,7 @@ block that the later one probes: every repeat is hit.  The hits are then extende
 of ``WINDOW`` words around a hit is compared with all others by its full hash,
 and the confirmed windows merge into maximal repeats.
 
-Two packed exchanges (see ``packed``) carry probes and windows; the text is joined by
+Two packed exchanges (see ``packed``) carry probes and windows; the text, compressed, is joined by
 document, and only documents with hits take part in the second half.
 """
 
@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavefold.llm import packed
-from wavefold.llm.common import SpanHasher, rolling, stage, text_chunks, word_spans
+from wavefold.llm.common import SpanHasher, compressed, rolling, stage, text_chunks, uncompressed, word_spans
 
 WINDOW = 20
 BLOCK = 10
@@ -111,9 +112,9 @@ def _later(doc: np.ndarray, pos: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _emit_windows(window: int, block: int):
     def emit(batches, parts):
-        for turn, batch in enumerate(packed.flushes(batches)):
+        for turn, batch in enumerate(packed.flushes(batches, packed.FLUSH_BYTES // 3)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            row, pos, keys = _gathered(batch.column("text"), window)
+            row, pos, keys = _gathered(pa.array(uncompressed(batch.column("packed")), pa.large_string()), window)
             # A window is a candidate if one of its blocks was hit.
             near = []
             for n, hits in enumerate(batch.column("found").to_pylist()):
@@ -180,28 +181,28 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, d
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts, hits = part.column("text").to_pylist(), part.column("found").to_pylist()
-                done = [(None, None, None) if h is not None else finish(t, None) for t, h in zip(texts, hits, strict=True)]
-                open_texts = [None if h is None else t for t, h in zip(texts, hits, strict=True)]
-                yield _rows(part, done, text=pa.array(open_texts, pa.string()), found=part.column("found"))
+                hit = part.column("found").is_valid()
+                texts = uncompressed(pc.if_else(hit, pa.scalar(None, pa.binary()), part.column("packed")))
+                done = [(None, None, None) if h else finish(t, None) for t, h in zip(texts, hit.to_pylist(), strict=True)]
+                yield _rows(part, done, packed=pc.if_else(hit, part.column("packed"), pa.scalar(None, pa.binary())), found=part.column("found"))
 
     def with_windows(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 yield _rows(part, [finish(t, f) for t, f in zip(
-                    part.column("text").to_pylist(), part.column("found").to_pylist(), strict=True)])
+                    uncompressed(part.column("packed")), part.column("found").to_pylist(), strict=True)])
 
     result = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     own, rest = packed.distinct_documents(docs.select("doc_id", "text"))
     parts = packed.exchange_parts(own)
     hits = packed.exchange(own, _emit_probes(block), _judge_probes(block), SMALL, parts)
-    marked = own.join(hits, "doc_id", "left").unionByName(rest.withColumn("found", F.lit(None).cast("binary")))
-    first = stage(marked.select("doc_id", "text", "found").mapInArrow(
-        without_hits, f"{result}, text string, found binary"), "anchor-hits")
-    involved = first.filter("found IS NOT NULL").select("doc_id", "text", "found")
+    marked = compressed(own).join(hits, "doc_id", "left").unionByName(compressed(rest).withColumn("found", F.lit(None).cast("binary")))
+    first = stage(marked.select("doc_id", "packed", "found").mapInArrow(
+        without_hits, f"{result}, packed binary, found binary"), "anchor-hits")
+    involved = first.filter("found IS NOT NULL").select("doc_id", "packed", "found")
     starts = packed.exchange(involved, _emit_windows(window, block), _judge_windows, LARGE, parts)
-    second = involved.select("doc_id", "text").join(starts, "doc_id", "left").mapInArrow(with_windows, result)
+    second = involved.select("doc_id", "packed").join(starts, "doc_id", "left").mapInArrow(with_windows, result)
     return first.filter("found IS NULL").select("doc_id", "n_words", "n_removed", "kept").unionByName(second)
 
 
