@@ -56,6 +56,9 @@ def test_documents(make, reference):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "more", "token_ids", "n_tokens"]
     for r in out.collect():
         assert struct.pack(f"<{r['n_tokens']}I", *r["token_ids"]) == reference(r["text"] or "")
+    one = byte_bpe.encode_documents(docs, decoded=True)
+    assert sorted(map(tuple, one.select("doc_id", "decoded_sha256").collect())) == sorted(
+        map(tuple, byte_bpe.decode_documents(out).select("doc_id", "decoded_sha256").collect())) == sorted((r[0], sha(r[1] or "")) for r in rows)
     digests = {r["doc_id"]: tuple(r)[1:] for r in byte_bpe.token_digests(docs).collect()}
     assert digests == {r[0]: (len(ids := reference(r[1] or "")) // 4, sha(ids), sha(r[1] or "")) for r in rows}
     assert byte_bpe.token_digests(make([])).count() == 0 == byte_bpe.encode_documents(make([])).count()

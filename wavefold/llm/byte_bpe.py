@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE_ENTRIES = 1 << 19
+CACHE_ENTRIES = 1 << 17  # of either memory of a worker
 # Characters for bytes: one block of 256 letters without white space or the model's own marker.
 _FIRST = 0x100
 _TO_CHARS = {b: _FIRST + b for b in range(256)}
@@ -148,14 +148,17 @@ def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return pc.fill_null(batch.column(column), "").to_pylist()
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``docs`` plus ``token_ids array<int>`` and ``n_tokens bigint`` of the whole text.
+def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, decoded: bool = False) -> DataFrame:
+    """``docs`` plus ``token_ids array<int>`` and ``n_tokens bigint`` of the whole text; with ``decoded`` also ``decoded_sha256``
+    of the text that the ids give.
 
-    Null or empty text: no tokens.  Existing columns of those names are replaced; all others stay.
+    Null or empty text: no tokens.  Existing columns of those names are replaced; all others stay, repeated rows too.  A very long text is
+    encoded whole, one at a time.
     """
     own_path, own_pattern = default_vocabulary() if path is None or pattern is None else (path, pattern)
     path, pattern = path or own_path, pattern or own_pattern
-    base = docs.drop("token_ids", "n_tokens")
+    names = ["token_ids", "n_tokens", *["decoded_sha256"] * decoded]
+    base = docs.drop(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -166,12 +169,17 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, tokens, pa.array(counts)],
-                                                 names=[*part.schema.names, "token_ids", "n_tokens"])
+                added = [tokens, pa.array(counts)]
+                if decoded:
+                    added.append(pa.array([_digest(own, x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*part.schema.names, *names])
 
-    schema = T.StructType([*base.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("n_tokens", T.LongType())])
-    return base.mapInArrow(run, schema)
+    kinds = [T.ArrayType(T.IntegerType()), T.LongType(), T.StringType()]
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, *map(T.StructField, names, kinds)]))
+
+
+def _digest(own: Codec, ids: np.ndarray) -> str:
+    return hashlib.sha256(own.decode(ids.astype("<u4").tobytes())).hexdigest()
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -216,7 +224,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str |
         for batch in batches:
             for part in _slices(batch):
                 ids = part.column("token_ids")
-                digests = [hashlib.sha256(own.decode(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())).hexdigest() for x in ids]
+                digests = [_digest(own, x.values.to_numpy(zero_copy_only=False)) for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.string())],
                                                  names=[*part.schema.names, "decoded_sha256"])
 
