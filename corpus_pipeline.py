@@ -55,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text and the digest of the text they decode to; a text that does not come back is an error."""
     ship_package(spark)
-    done = byte_bpe.decode_documents(byte_bpe.encode_documents(docs))
+    done = byte_bpe.encode_documents(docs, decoded=True)
     same = F.col("decoded_sha256") == F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     checked = F.when(same, F.col("decoded_sha256")).otherwise(F.raise_error(F.lit("token ids do not decode to the text")))
     return done.select("doc_id", "source", "lang", "n_tokens", "token_ids", checked.alias("decoded_sha256"))
