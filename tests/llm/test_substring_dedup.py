@@ -55,3 +55,12 @@ def test_repeats_null_ids_and_extra_columns(make):
 
 def test_empty_table(make):
     assert substring_dedup.substring_dedup(make([])).count() == 0
+
+
+def test_more_rows_than_a_slice(make):
+    """Rows far into a batch, with and without hits."""
+    rnd = random.Random(3)
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = [(i, " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(25)) + (" " + shared if i % 3 == 0 else ""), "en", "s", 0) for i in range(2600)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.substring_dedup(make(rows, parts=1)).collect()}
+    assert got == {r[0]: (55, 30 if r[0] else 0) if r[0] % 3 == 0 else (25, 0) for r in rows}

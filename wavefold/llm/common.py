@@ -70,10 +70,10 @@ def compressed(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
 
 
-def uncompressed(column: pa.Array) -> list[str | None]:
+def uncompressed(blobs: list[bytes | None]) -> list[str | None]:
     """The texts of ``compressed`` blobs."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return [None if b is None else unpack(b).decode() for b in column.to_pylist()]
+    return [None if b is None else unpack(b).decode() for b in blobs]
 
 
 def partitions_for(docs: DataFrame, column: str, bytes_each: int = 16 << 20) -> int:

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,7 +113,7 @@ def _emit_windows(window: int, block: int):
     def emit(batches, parts):
         for turn, batch in enumerate(packed.flushes(batches, packed.FLUSH_BYTES // 3)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            row, pos, keys = _gathered(pa.array(uncompressed(batch.column("packed")), pa.large_string()), window)
+            row, pos, keys = _gathered(pa.array(uncompressed(batch.column("packed").to_pylist()), pa.large_string()), window)
             # A window is a candidate if one of its blocks was hit.
             near = []
             for n, hits in enumerate(batch.column("found").to_pylist()):
@@ -181,17 +180,18 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int = BLOCK, d
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                hit = part.column("found").is_valid()
-                texts = uncompressed(pc.if_else(hit, pa.scalar(None, pa.binary()), part.column("packed")))
-                done = [(None, None, None) if h else finish(t, None) for t, h in zip(texts, hit.to_pylist(), strict=True)]
-                yield _rows(part, done, packed=pc.if_else(hit, part.column("packed"), pa.scalar(None, pa.binary())), found=part.column("found"))
+                hits, blobs = part.column("found").to_pylist(), part.column("packed").to_pylist()
+                texts = uncompressed([None if h is not None else b for b, h in zip(blobs, hits, strict=True)])
+                done = [(None, None, None) if h is not None else finish(t, None) for t, h in zip(texts, hits, strict=True)]
+                going = [None if h is None else b for b, h in zip(blobs, hits, strict=True)]
+                yield _rows(part, done, packed=pa.array(going, pa.binary()), found=part.column("found"))
 
     def with_windows(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 yield _rows(part, [finish(t, f) for t, f in zip(
-                    uncompressed(part.column("packed")), part.column("found").to_pylist(), strict=True)])
+                    uncompressed(part.column("packed").to_pylist()), part.column("found").to_pylist(), strict=True)])
 
     result = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     own, rest = packed.distinct_documents(docs.select("doc_id", "text"))
