@@ -9,8 +9,9 @@ it, so the prefixes are the first steps of the tree.  They are a twentieth of th
 would do, so that linked sets share that many elements in them.  A packed exchange finds the prefix
 elements that two sets share; only documents with enough of them go on, which a common line or passage alone does not give.
 
-Pairs are then met in two rounds.  Round one links each set to a hub among the sets with an equal
-smallest hash; most near copies join a component there, in linear work.  Round two walks
+Pairs are then met in rounds.  Round one links each set to a hub among the sets with an equal
+smallest hash.  Hub rounds follow as long as they join components: of the sets with a shared prefix element, one member of each component
+meets one of the largest, drawn anew each time.  Most near copies join a component there, in linear work.  The last round walks
 all shared prefix elements, but only between different components and within
 the length bounds, so a group of thousands of near copies never spreads into all its pairs, and no link
 between components is lost.
@@ -37,6 +38,8 @@ PERCENT = 80
 SKETCH_BITS = 20
 SLICES = 64
 HUB_HASHES = 4
+HUB_ROUNDS, HUB_YIELD = 16, 50
+HUB_BAND = 0.22
 _HASH = np.uint64((1 << 58) - 1)
 SMALL = np.dtype(np.uint32)
 
@@ -250,6 +253,62 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(other, "b").join(root, "a").select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
+def _contracted(met: DataFrame, links: DataFrame) -> DataFrame:
+    """``met(id, component)`` after the components that ``links(a, b)`` join have become one."""
+    of = lambda side, c: met.select(F.col("id").alias(side), F.col("component").alias(c))
+    edges = (links.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left")
+             .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    over = components(met.sparkSession, edges, "ngram-contracted").select(F.col("id").alias("component"), F.col("component").alias("now"))
+    ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
+    fresh = ends.join(met, "id", "left_anti").withColumn("component", F.col("id"))
+    return stage(met.unionByName(fresh).join(over, "component", "left").select("id", F.coalesce("now", "component").alias("component")),
+                 "ngram-near")
+
+
+def _reachable(na, pa_, nb, pb, percent: int):
+    """Whether sets of ``na`` and ``nb`` elements that meet at these positions can still share enough from there on."""
+    return (100 + percent) * F.least(na - pa_, nb - pb) >= percent * (na + nb)
+
+
+def _placed(posts: DataFrame, met: DataFrame) -> DataFrame:
+    """``posts(doc_id, n, key, pos)`` with components, of the keys that occur in several."""
+    placed = stage(posts.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+                   .withColumn("component", F.coalesce("component", "doc_id")), "ngram-posts")
+    crossed = (placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+               .filter("low < high").select("key"))
+    return stage(placed.join(crossed, "key", "left_semi"), "ngram-open")
+
+
+def _hub_rounds(posts: DataFrame, sets: DataFrame, met: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``met`` and the posts left open after hub rounds.
+
+    Of every key, each component sends one member of a band of sizes to one of the largest component there.  The members are drawn by another hash each
+    time and no pair is tried twice.  It ends once less than one pair in ``HUB_YIELD`` is linked; what is still apart is left to the exact round.
+    """
+    tried = None
+    for turn in range(HUB_ROUNDS):
+        posts = _placed(posts, met)
+        draw = F.xxhash64(F.lit(turn), "key", "doc_id")
+        drawn = F.min_by(F.struct("doc_id", "n", "pos"), draw).alias("one")
+        band = F.floor(F.log("n") / HUB_BAND + turn * 0.38).cast("int").alias("band")  # sets that differ more are not linked; borders move
+        members = stage(posts.groupBy("key", band, "component").agg(drawn, F.count(F.lit(1)).alias("size"), F.min(draw).alias("draw")),
+                        "ngram-members")
+        hubs = members.groupBy("key", "band").agg(F.max(F.struct("size", "draw", "component", "one")).alias("hub"))
+        met_at = _reachable(F.col("one.n"), F.col("one.pos"), F.col("hub.one.n"), F.col("hub.one.pos"), percent)
+        pairs = members.join(hubs, ["key", "band"]).filter((F.col("component") != F.col("hub.component")) & met_at).select(
+            F.least("one.doc_id", "hub.one.doc_id").alias("a"), F.greatest("one.doc_id", "hub.one.doc_id").alias("b")).distinct()
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+        links = stage(verify(pairs, sets, percent), "ngram-links")
+        found = links.count()
+        posts = posts.drop("component")
+        if found:
+            met = _contracted(met, links)
+        if found * HUB_YIELD <= pairs.count():
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+    return met, _placed(posts, met)
+
+
 def ngram_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -281,17 +340,12 @@ def ngram_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT)
     first = stage(verify(first, sets, percent), "ngram-links")
     met = components(docs.sparkSession, first, "ngram-first")
 
-    # Round two: shared prefix elements between components.
+    # Hub rounds, then shared prefix elements between the components left.
     posts = sets.select("doc_id", "n", F.explode("shared").alias("e")).select("doc_id", "n", "e.key", "e.pos")
-    posts = posts.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    posts = stage(posts.withColumn("component", F.coalesce("component", "doc_id")), "ngram-posts")
-    crossed = stage(posts.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                    .filter("low < high").select("key"), "ngram-keys")
-    open_posts = stage(posts.join(crossed, "key", "left_semi"), "ngram-open")
+    met, open_posts = _hub_rounds(posts, sets, met, percent)
     x = open_posts.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
     y = open_posts.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    rest_of = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))  # elements from the shared one on
-    reachable = (100 + percent) * rest_of >= percent * (F.col("na") + F.col("nb"))
+    reachable = _reachable(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)
     candidates = (x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reachable)
                   .select("a", "b").distinct())
     second = stage(verify(candidates, sets, percent), "ngram-links")
