@@ -1,109 +1,99 @@
-"""Exact row numbers within groups that stay parallel when one group is huge.
-
-``row_number().over(partitionBy(g).orderBy(k))`` sends every row of a group
-to one task.  That is fine for ordinary groups but not when one key holds a
-large share of the data (for example every record whose dwelling
-identifiers are missing).  ``rank_within`` keeps the plain window for
-ordinary groups and splits hot ones:
-
-1. one aggregate counts rows per group (partial aggregation, scalable) and
-   collects the keys of groups above ``hot_rows`` — at most
-   ``total / hot_rows`` keys, checked against ``max_hot_groups`` before they
-   are broadcast (beyond it the plain window is used: many large groups are
-   spread over many tasks anyway);
-2. no hot group → the plain window, nothing else is added to the plan;
-3. otherwise, for hot groups only: a deterministic hash sample of the order
-   keys yields sorted bucket bounds per group (small, broadcast), each row's
-   bucket is the number of bounds not above its key, a window numbers rows
-   inside ``(group, bucket)``, and a running sum of bucket sizes (a table of
-   ``groups × buckets`` rows) offsets them.  Equal keys always share a
-   bucket, so the result equals the single-window row number exactly.
+"""Numbering and running totals over range partitions.
+
+``row_number().over(partitionBy(g).orderBy(k))`` sends every row of a group to
+one task, and a window without groups sends the whole table to one.  Here rows
+are dealt out by ranges of (group, order), so a large group is many
+partitions like any other stretch of the order:
+
+1. ``repartitionByRange`` and a sort inside each partition; one pass over the
+   sorted rows numbers (or adds up) each group from where it begins in the
+   partition.  The rows are written once, in columns, so that what follows
+   reads the same partitions again, also after a lost executor;
+2. per partition, its first and its last group and what the last one came to:
+   one row each;
+3. prefix sums of these rows by group say what a partition's first group has
+   in earlier partitions; this is added to the rows of that group.
+
+There is no threshold and no count beforehand; groups may be of any number
+and size.  What is broadcast has a row for each partition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship_package, staged
+
+# Columns that the rows carry between the steps.
+_HASH1, _HASH2, _VALUE = "_group1", "_group2", "_value"
+_PART, _ROW, _BEFORE, _FIRST = "_part", "_row", "_before", "_in_first"
+
+
+def _group_hashes(group: Sequence[str]) -> list[Column]:
+    """128 bits that name a group; a null part differs from an empty or a missing one."""
+    parts = [p for name in group for p in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (0, 1)]
+
+
+def _run_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to each row its place in the partition, the total of its group before it there, and if the group is the partition's first."""
+    last, total, rows, first = None, 0, 0, True
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        h1, h2, value = (batch.column(c).to_numpy(zero_copy_only=False) for c in (_HASH1, _HASH2, _VALUE))
+        begins = np.empty(n, bool)
+        begins[0] = last is not None and last != (h1[0], h2[0])
+        begins[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        sums = np.cumsum(value) - value
+        run = np.cumsum(begins)  # 0 while the group goes on that the batch before ended with
+        starts = np.flatnonzero(begins)
+        base = np.concatenate([[-total], sums[starts]])
+        before = sums - base[run]
+        in_first = first & (run == 0)
+        last, total = (h1[-1], h2[-1]), int(before[-1] + value[-1])
+        first = bool(in_first[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(rows, rows + n)), pa.array(before), pa.array(in_first)],
+                                         names=[*batch.schema.names, _ROW, _BEFORE, _FIRST])
+        rows += n
+
+
+def _totals_before(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Add ``name``: the total of ``value`` over the rows of the same group that come earlier in the order (nulls last)."""
+    ship_package(df.sparkSession)
+    h1, h2 = _group_hashes(group)
+    keyed = df.withColumns({_HASH1: h1, _HASH2: h2, _VALUE: value.cast("long")})
+    keys = [F.col(_HASH1), F.col(_HASH2), *[F.col(c).asc_nulls_last() for c in order]]
+    dealt = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_PART, F.spark_partition_id())
+    added = [T.StructField(_ROW, T.LongType()), T.StructField(_BEFORE, T.LongType()), T.StructField(_FIRST, T.BooleanType())]
+    rows = staged(dealt.mapInArrow(_run_sums, T.StructType([*dealt.schema.fields, *added])), "running-totals")
+
+    here = F.struct(_HASH1, _HASH2)
+    ends = rows.groupBy(_PART).agg(F.min_by(here, _ROW).alias("first"), F.max_by(here, _ROW).alias("last"),
+                                   F.max_by(F.col(_BEFORE) + F.col(_VALUE), _ROW).alias("total"))
+    # A partition asks (0) what its first group has in those before it, which tell (1) what their last one came to.
+    asks = ends.select(_PART, F.lit(0).alias("tells"), F.col("first").alias("group"), F.lit(0).cast("long").alias("total"))
+    tells = ends.select(_PART, F.lit(1).alias("tells"), F.col("last").alias("group"), "total")
+    earlier = Window.partitionBy("group").orderBy(_PART, "tells").rowsBetween(Window.unboundedPreceding, -1)
+    carried = asks.unionByName(tells).withColumn("_carried", F.sum("total").over(earlier)).filter("tells = 0").select(_PART, "_carried")
+    carry = F.when(F.col(_FIRST), F.coalesce("_carried", F.lit(0))).otherwise(F.lit(0))
+    return rows.join(F.broadcast(carried), _PART).select(*df.columns, (F.col(_BEFORE) + carry).alias(name))
+
+
+def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str], rank_col: str = "rank") -> DataFrame:
+    """Add ``rank_col``: 1-based position within ``group`` by ``order`` (ascending, nulls last), as ``row_number`` counts."""
+    counted = _totals_before(df, list(group), list(order), F.lit(1), rank_col)
+    return counted.withColumn(rank_col, (F.col(rank_col) + 1).cast("int"))
+
 
-HOT_ROWS = 2_000_000
-MAX_HOT_GROUPS = 100_000
-SAMPLES_PER_BUCKET = 64
-
-
-def _order_struct(order: Sequence[tuple[str, bool]]) -> Column:
-    """A struct whose natural ordering equals ``ORDER BY c ASC NULLS LAST, …``."""
-    fields = []
-    for i, (name, nulls_last) in enumerate(order):
-        flag = F.col(name).isNull() if nulls_last else F.col(name).isNotNull()
-        fields += [flag.alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def rank_within(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    rank_col: str = "rank",
-    hot_rows: int | None = HOT_ROWS,
-    max_hot_groups: int = MAX_HOT_GROUPS,
-) -> DataFrame:
-    """Add ``rank_col``: 1-based position within ``group`` by ``order``
-    (ascending, nulls last), identical to a plain ``row_number`` window."""
-    group, order = list(group), list(order)
-    w = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    plain = df.withColumn(rank_col, F.row_number().over(w))
-    if hot_rows is None:
-        return plain
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = counts.filter(F.col("_n") > hot_rows).limit(max_hot_groups + 1).collect()
-    if not hot_keys:
-        return plain
-    if len(hot_keys) > max_hot_groups:
-        # So many large groups means the data is evenly heavy rather than
-        # skewed: the plain window already spreads the groups over tasks.
-        return plain
-    spark = df.sparkSession
-    key_schema = df.select(*group).schema
-    hot = spark.createDataFrame([tuple(r[g] for g in group) for r in hot_keys], key_schema) \
-        .withColumn("_hot", F.lit(True))
-    sizes = {tuple(r[g] for g in group): r["_n"] for r in hot_keys}
-    joined = df.join(F.broadcast(hot), [df[g].eqNullSafe(hot[g]) for g in group], "left") \
-        .select(df["*"], F.coalesce(hot["_hot"], F.lit(False)).alias("_is_hot"))
-    normal = joined.filter(~F.col("_is_hot")).drop("_is_hot")
-    hot_rows_df = joined.filter(F.col("_is_hot")).drop("_is_hot").withColumn(
-        "_k", _order_struct([(c, True) for c in order]))
-    # Deterministic sample: a fixed fraction chosen by hashing the order key.
-    largest = max(sizes.values())
-    n_buckets = max(2, -(-largest // max(hot_rows, 1)))
-    fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / largest)
-    modulus = max(1, int(round(1 / fraction)))
-    sample = hot_rows_df.filter(F.pmod(F.xxhash64("_k"), F.lit(modulus)) == 0).select(*group, "_k")
-    sw = Window.partitionBy(*group).orderBy("_k")
-    step = max(1, SAMPLES_PER_BUCKET)
-    bounds = (
-        sample.withColumn("_i", F.row_number().over(sw))
-        .filter(F.col("_i") % step == 0)
-        .groupBy(*group).agg(F.array_sort(F.collect_list("_k")).alias("_bounds"))
-    )
-    bucketed = hot_rows_df.join(F.broadcast(bounds), [hot_rows_df[g].eqNullSafe(bounds[g]) for g in group], "left") \
-        .select(hot_rows_df["*"], bounds["_bounds"])
-    bucketed = bucketed.withColumn(
-        "_b", F.size(F.filter(F.coalesce("_bounds", F.array().cast(bounds.schema["_bounds"].dataType)),
-                              lambda b: b <= F.col("_k")))
-    ).drop("_bounds")
-    local = bucketed.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*group, "_b").orderBy("_k")))
-    per_bucket = bucketed.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = per_bucket.withColumn(
-        "_off",
-        F.sum("_c").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-    ).select(*group, "_b", F.coalesce("_off", F.lit(0)).alias("_off"))
-    ranked_hot = local.join(
-        F.broadcast(offsets), [local[g].eqNullSafe(offsets[g]) for g in group] + [local["_b"] == offsets["_b"]], "left"
-    ).select(local["*"], offsets["_off"])
-    ranked_hot = ranked_hot.withColumn(rank_col, (F.col("_local") + F.col("_off")).cast("int")).drop(
-        "_k", "_b", "_local", "_off")
-    ranked_normal = normal.withColumn(rank_col, F.row_number().over(w))
-    return ranked_normal.unionByName(ranked_hot)
+def running_total(df: DataFrame, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Add ``name``: the total of ``value`` over all rows that come earlier by ``order`` (nulls last)."""
+    return _totals_before(df, [], list(order), value, name)

@@ -7,6 +7,11 @@ archive, an undecodable line or a bad field is ``unresolved`` with its reason,
 and its rows go with the staging folder.  A source without lines is published
 as an empty table with the schema.
 
+Tasks and files follow the bytes of the sources, not a setting: a source is cut
+into blocks of ``task_bytes`` of text, and the blocks of all sources in order
+are dealt out to as many tasks as their bytes fill (``plan_blocks``).  Task
+numbers grow with the block, so the part files of an output sort in line order.
+
 The set of sources comes from the caller, not from what was written, so every
 source is accounted for.  Publishing is a Spark job too: each task moves the
 folders of its sources, and the driver handles no per-source state.
@@ -21,13 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.layout import Layout
-from ..session import ship_package, staging_path
+from ..operators.ordered import running_total
+from ..session import ship_package, staged
 from ..sources import archives as A
 from ..sources.fixed_width import ERRORS, parse_lines
 from .sinks import CSV_OPTIONS, remove
 
-# Lines of one source that stay together in a task and in a file.
-LINE_BLOCK = 1_000_000
+# Text of one task, and so of one output file at most.
+TASK_BYTES = 128 << 20
 _CLEAN = "__HIVE_DEFAULT_PARTITION__"
 _MAX_FAULT_CHARS = 80
 # Sorts before any field name: that a source cannot be read explains what else is wrong with it.
@@ -50,12 +56,15 @@ def convert_lines(
     all_string: bool = False,
     force: bool = False,
     sources: DataFrame | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
-    """Convert ``lines`` (``source, value``; optional ``line_no``, ``error``) and publish one directory per source.
+    """Convert ``lines`` (``source, value``; optional ``line_no``, ``offset``, ``error``) and publish one directory per source.
 
     ``sources`` lists what is to be converted: ``source`` and optionally
-    ``output`` (relative to ``target_root``; default: ``default_output``).
-    Without it the sources are those that have lines.  An ``error`` row marks
+    ``output`` (relative to ``target_root``; default: ``default_output``) and
+    ``bytes`` (text of the source; without it, or without the lines' ``offset``, one pass over the
+    lines adds them up).  With ``line_no`` the rows of an output keep the order of the lines, across its files too.
+    Without ``sources`` they are those that have lines.  An ``error`` row marks
     its source as unreadable.  Returns the report ``source, rows, failed,
     first_error, status, output``; ``status`` is ``converted``,
     ``unresolved``, or ``exists`` for an output that was there before
@@ -70,13 +79,19 @@ def convert_lines(
     plan = sources if sources is not None else lines.select("source").distinct()
     if "output" not in plan.columns:
         plan = plan.withColumn("output", default_output(F.col("source"), output_format))
-    plan = plan.select("source", F.concat(F.lit(root + "/"), "output").alias("output"), _folder(F.col("source")).alias("_src"))
-    plan = _staged(plan.mapInPandas(_with_presence, "source string, output string, _src string, present boolean"), "convert-plan")
+    known = "bytes" in plan.columns and "offset" in lines.columns
+    plan = plan.select("source", F.concat(F.lit(root + "/"), "output").alias("output"), _folder(F.col("source")).alias("_src"),
+                       (F.col("bytes") if known else F.lit(None)).cast("long").alias("bytes"))
+    plan = staged(plan.mapInPandas(_with_presence, "source string, output string, _src string, bytes long, present boolean"), "convert-plan")
     if not force:
         done = plan.filter("present")
         lines = lines.join(done.select("source"), "source", "left_anti") if not done.isEmpty() else lines
 
     try:
+        if "line_no" in lines.columns:
+            sizes = plan.filter(F.lit(force) | ~F.col("present")).select("source", "bytes") if known else _measured(lines)
+            blocks = staged(plan_blocks(sizes, task_bytes), "convert-blocks")
+            lines = in_blocks(lines, blocks, task_bytes)
         written = _write(lines, layout, names, output_format, all_string, staging)
         found = _found(spark, written, staging, output_format)
         report = plan.join(found, "_src", "left").select(
@@ -84,7 +99,7 @@ def convert_lines(
             "first_error",
             F.when(F.col("present") & F.lit(not force), "exists").when(F.col("first_error").isNotNull(), "unresolved")
             .otherwise("converted").alias("status"), "output")
-        report = _staged(report, "convert-report")
+        report = staged(report, "convert-report")
         _publish(report.filter("status = 'converted'"), staging, output_format, _empty_output(spark, written, staging, output_format))
     finally:
         remove(spark, staging)
@@ -96,15 +111,43 @@ def _folder(source: Column) -> Column:
     return F.concat(F.lit("s"), F.substring(F.sha2(source, 256), 1, 32))
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
-    path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _measured(lines: DataFrame) -> DataFrame:
+    """``source, bytes, n`` from the lines themselves."""
+    text = F.octet_length(F.coalesce("value", F.lit("").cast(lines.schema["value"].dataType))) + 1
+    return lines.groupBy("source").agg(F.sum(text).alias("bytes"), F.max("line_no").alias("n"), F.min("line_no").alias("low"))
+
+
+def plan_blocks(sizes: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``source, bytes, first_task, blocks``: the tasks that the text of ``sizes(source, bytes)`` fills.
+
+    A source has a block for each ``task_bytes`` it begins, one at least, in tasks that follow one another; a source begins in the task
+    that the bytes of those before it (by name) have reached.  So a task holds less than twice ``task_bytes``, small sources
+    share tasks and a source of any size is as many files as its bytes need.
+    """
+    size = F.greatest(F.coalesce("bytes", F.lit(0)), F.lit(1)).cast("long")
+    placed = running_total(sizes.withColumn("bytes", size), ["source"], F.col("bytes"), "_start")
+    return placed.withColumn("first_task", F.floor(F.col("_start") / task_bytes)).withColumn(
+        "blocks", F.ceil(F.col("bytes") / task_bytes)).drop("_start")
+
+
+def in_blocks(lines: DataFrame, blocks: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``lines`` with ``_task``, dealt out so that each task is one partition; tasks in order of source and line.
+
+    A line's block comes from its ``offset``, else from its share of the source's lines.
+    """
+    tasks = blocks.agg(F.max(F.col("first_task") + F.col("blocks"))).first()[0] or 1
+    if "offset" in lines.columns and "n" not in blocks.columns:
+        at = F.floor(F.coalesce("offset", F.lit(0)) / task_bytes)
+    else:
+        at = F.floor(F.coalesce(F.col("line_no") - F.col("low"), F.lit(0)) * F.col("blocks") / (F.col("n") - F.col("low") + 1))
+    block = F.least(F.greatest(at, F.lit(0)), F.col("blocks") - 1)
+    placed = lines.join(blocks.withColumnRenamed("source", "_of"), F.col("source") == F.col("_of"))
+    return placed.select(*lines.columns, (F.col("first_task") + block).cast("int").alias("_task")).repartitionById(tasks, F.col("_task"))
 
 
 def _with_presence(batches):
     for pdf in batches:
-        yield pdf.assign(present=[A.exists(uri) for uri in pdf["output"]])
+        yield pdf.assign(present=[A.exists(uri) for uri in pdf["output"]])[["source", "output", "_src", "bytes", "present"]]
 
 
 def _write(lines: DataFrame, layout: Layout, names: list[str], output_format: str, all_string: bool, staging: str) -> DataFrame:
@@ -114,12 +157,10 @@ def _write(lines: DataFrame, layout: Layout, names: list[str], output_format: st
     fault = F.when(F.col(ERRORS) != "", F.substring_index(ERRORS, ",", 1))
     if "error" in extra:
         fault = F.coalesce(F.concat(F.lit(_UNREADABLE), F.substring("error", 1, _MAX_FAULT_CHARS)), fault)
-    block = F.floor(F.col("line_no") / LINE_BLOCK) if "line_no" in extra else F.lit(0)
-    marked = parsed.select(_folder(F.col("source")).alias("_src"), fault.alias("_fault"), block.alias("_block"),
+    marked = parsed.select(_folder(F.col("source")).alias("_src"), fault.alias("_fault"),
                            *(["line_no"] if "line_no" in extra else []), *names)
     if "line_no" in extra:
-        # Blocks of a source stay whole, so a source has at most one file for each block.
-        marked = marked.repartition("_src", "_block").sortWithinPartitions("_src", "_fault", "line_no")
+        marked = marked.sortWithinPartitions("_src", "_fault", "line_no")
     out = marked.select("_src", "_fault", *names)
     writer = out.write.partitionBy("_src", "_fault")
     if output_format == "parquet":

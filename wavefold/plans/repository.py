@@ -235,7 +235,7 @@ class Archive:
             layout = Layout.read(self.spark, layout)
         archives = self.spark.createDataFrame([(s, member) for s in sources], "path string, member string")
         return convert_lines(self.spark, self._member_lines(archives, encoding), layout, output_root, output_format,
-                             columns, all_string, force, archives.select(F.col("path").alias("source")))
+                             columns, all_string, force, A.member_bytes(self._spread(archives)).withColumnRenamed("path", "source"))
 
     # --------------------------------------- incremental conversion (M2)
     def layout_variables(self, layouts: DataFrame | None = None) -> DataFrame:
@@ -365,7 +365,8 @@ class Archive:
             listed = self.spark.createDataFrame([(r["uri"], r["member"], r["output"]) for r in group],
                                                 "path string, member string, output string")
             report = convert_lines(self.spark, self._member_lines(listed), layout, output_root, output_format, columns,
-                                   all_string, force=True, sources=listed.select(F.col("path").alias("source"), "output"))
+                                   all_string, force=True, sources=listed.join(A.member_bytes(self._spread(listed)), "path")
+                                   .select(F.col("path").alias("source"), "output", "bytes"))
             for rep in report.collect():
                 record = by_uri[rep["source"]]
                 if rep["status"] != "converted":
@@ -402,9 +403,9 @@ class Archive:
         return write_flat_index(flat_index(sizes, made), f"{root}/{FLAT_INDEX_NAME}")
 
     def _member_lines(self, archives: DataFrame, encoding: str = "utf-8") -> DataFrame:
-        """``source, line_no, value, error`` of each archive's member (one task decompresses an archive)."""
+        """``source, line_no, offset, value, error`` of each archive's member (one task decompresses an archive)."""
         lines = A.archive_lines(self._spread(archives), None, encoding)
-        return lines.select(F.col("archive").alias("source"), "line_no", "value", "error")
+        return lines.select(F.col("archive").alias("source"), "line_no", "offset", "value", "error")
 
     # --------------------------------------------------------------- panel
     def panel(self, wave_paths: Sequence[str], panel_id: str, output: str, wide: bool = False,

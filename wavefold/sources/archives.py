@@ -33,7 +33,7 @@ COPY_BYTES = 1 << 20
 DAMAGED = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError, KeyError)
 
 INVENTORY_SCHEMA = "archive string, size long, mtime timestamp, readable boolean, members array<string>, error string"
-LINES_SCHEMA = "archive string, member string, line_no long, value string, error string"
+LINES_SCHEMA = "archive string, member string, line_no long, value string, error string, offset long"
 CRC_SCHEMA = "archive string, crc_ok boolean, bad_member string"
 UNPACK_SCHEMA = "archive string, member string, output string, bytes long, error string"
 
@@ -222,39 +222,67 @@ def _line_scan(member: str | None, encoding: str, batch_rows: int):
                             candidates = [n for n in archive.namelist() if is_text_member(n)]
                             if len(candidates) != 1:
                                 yield pd.DataFrame(
-                                    [(uri, None, None, None, f"{len(candidates)} text members where one is needed")],
-                                    columns=["archive", "member", "line_no", "value", "error"])
+                                    [(uri, None, None, None, f"{len(candidates)} text members where one is needed", 0)],
+                                    columns=["archive", "member", "line_no", "value", "error", "offset"])
                                 continue
                             chosen = candidates[0]
                         with archive.open(chosen) as stream:
+                            offset = 0
                             for number, (value, error) in enumerate(_split_lines(stream, encoding), start=1):
-                                rows.append((uri, chosen, number, value, error))
+                                rows.append((uri, chosen, number, value, error, offset))
+                                offset += len(value or "") + 1
                                 if len(rows) >= batch_rows:
-                                    yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error"])
+                                    yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error", "offset"])
                                     rows = []
                 except DAMAGED as exc:
-                    rows.append((uri, member, None, None, f"damaged archive: {exc}"))
+                    rows.append((uri, member, None, None, f"damaged archive: {exc}", 0))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error"])
+                    yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "value", "error", "offset"])
 
     return run
 
 
 def archive_lines(archives: DataFrame, member: str | None = None, encoding: str = "utf-8",
                   batch_rows: int = LINE_BATCH) -> DataFrame:
-    """``archive, member, line_no, value, error`` for the text member of each
+    """``archive, member, line_no, value, error, offset`` for the text member of each
     archive: the one named in a ``member`` column or by ``member``, else the
     only ``.txt``/``.dat`` one.
 
     ``\\n``, ``\\r\\n`` and ``\\r`` all end a line, decoding is strict; a
     decode error ends that archive with an ``error`` row.  ``line_no`` is the
-    1-based position in the member — a stable ordinal for ties.
+    1-based position in the member — a stable ordinal for ties — and ``offset``
+    the characters before the line, never more than the bytes before it.
     """
     ship_package(archives.sparkSession)
     given = [c for c in ("path", "member") if c in archives.columns]
     return archives.select(*given).mapInPandas(_line_scan(member, encoding, batch_rows), LINES_SCHEMA)
 
 
+def _member_bytes(member: str | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            members = pdf["member"] if "member" in pdf.columns else [None] * len(pdf)
+            out = []
+            for uri, own in zip(pdf["path"], members):
+                try:
+                    with open_random_access(uri) as handle, zipfile.ZipFile(handle) as archive:
+                        infos = {i.filename: i.file_size for i in archive.infolist()}
+                    chosen = own or member
+                    out.append((uri, infos.get(chosen, 0) if chosen else max([infos[n] for n in infos if is_text_member(n)], default=0)))
+                except DAMAGED:
+                    out.append((uri, 0))
+            yield pd.DataFrame(out, columns=["path", "bytes"])
+
+    return run
+
+
+def member_bytes(archives: DataFrame, member: str | None = None) -> DataFrame:
+    """``path, bytes``: uncompressed size of the text member that ``archive_lines`` reads (central directory only; 0 if it cannot be read)."""
+    ship_package(archives.sparkSession)
+    given = [c for c in ("path", "member") if c in archives.columns]
+    return archives.select(*given).mapInPandas(_member_bytes(member), "path string, bytes long")
+
+
 # -------------------------------------------------------------- digests
 
 
