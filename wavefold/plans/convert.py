@@ -151,16 +151,17 @@ def _with_presence(batches):
 
 
 def _write(lines: DataFrame, layout: Layout, names: list[str], output_format: str, all_string: bool, staging: str) -> DataFrame:
-    extra = [c for c in ("line_no", "error") if c in lines.columns]
+    # A field may have any name, also one of these.
+    own = {c: f"_line_{c}" for c in ("source", "line_no", "error") if c in lines.columns}
     # CSV is raw trimmed text: only decoding is checked, nothing is typed.
-    parsed = parse_lines(lines, layout, names, all_string or output_format == "csv", keep=["source", *extra])
+    parsed = parse_lines(lines.withColumnsRenamed(own), layout, names, all_string or output_format == "csv", keep=list(own.values()))
     fault = F.when(F.col(ERRORS) != "", F.substring_index(ERRORS, ",", 1))
-    if "error" in extra:
-        fault = F.coalesce(F.concat(F.lit(_UNREADABLE), F.substring("error", 1, _MAX_FAULT_CHARS)), fault)
-    marked = parsed.select(_folder(F.col("source")).alias("_src"), fault.alias("_fault"),
-                           *(["line_no"] if "line_no" in extra else []), *names)
-    if "line_no" in extra:
-        marked = marked.sortWithinPartitions("_src", "_fault", "line_no")
+    if "error" in own:
+        fault = F.coalesce(F.concat(F.lit(_UNREADABLE), F.substring(own["error"], 1, _MAX_FAULT_CHARS)), fault)
+    order = [own["line_no"]] if "line_no" in own else []
+    marked = parsed.select(_folder(F.col(own["source"])).alias("_src"), fault.alias("_fault"), *order, *names)
+    if order:
+        marked = marked.sortWithinPartitions("_src", "_fault", *order)
     out = marked.select("_src", "_fault", *names)
     writer = out.write.partitionBy("_src", "_fault")
     if output_format == "parquet":

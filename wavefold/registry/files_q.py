@@ -21,7 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import verify as V
-from ..plans.convert import convert_lines
+from ..operators.layout import Layout, Variable
+from ..operators.ordered import rank_within
+from ..operators.panel import ORDINAL, read_waves
+from ..plans.convert import convert_lines, plan_blocks
 from ..sources import archives as A
 from ..sources import workbook as WB
 from ..sources.fixed_width import ERRORS, parse_lines
@@ -69,7 +72,7 @@ def _pack_mixed(root: str):
         pdf = pdf.sort_values(["line_no", "tie"])
         block = int(pdf["block"].iloc[0])
         name, kind = f"mixed_{block:05d}", block % 6
-        lines = list(pdf["value"]) if kind == 1 else [v[:20] + "0001" + v[24:] for v in pdf["value"]]
+        lines = list(pdf["value"]) if kind == 1 else [v[:26] + "0001" + v[30:] for v in pdf["value"]]
         payload = ("\n".join(lines) + "\n").encode("utf-8")
         middle = len(payload) // 2
         if kind == 2:
@@ -216,14 +219,11 @@ def _converted(spark, sf_dir, fmt: str, columns=None, label="converted"):
     key = _key(spark, sf_dir, f"{label}-{fmt}")
     if key not in _CACHE:
         target = staging_path(spark, f"{label}-{fmt}")
-        report = convert_lines(spark, FQ.fw_lines(spark, sf_dir), FQ.LINE_LAYOUT, target, fmt, columns)
+        report = convert_lines(spark, FQ.fw_lines(spark, sf_dir, faults=False), FQ.LINE_LAYOUT, target, fmt, columns)
         _CACHE[key] = (target, report.collect())
     return _CACHE[key]
 
 
-CLEAN_COLUMNS = ["orderkey", "partkey", "linenumber", "extendedprice", "flag", "suppkey"]
-
-
 def q_conversion_run(spark, sf_dir):
     """Archives of every kind in one conversion: each is published whole or rejected with its reason."""
     key = _key(spark, sf_dir, "mixed-report")
@@ -251,7 +251,7 @@ def q_conversion_rows(spark, sf_dir):
 
 
 def _published(spark, sf_dir, fmt):
-    target, report = _converted(spark, sf_dir, fmt, CLEAN_COLUMNS)
+    target, report = _converted(spark, sf_dir, fmt)
     return [r["output"] for r in report if r["status"] == "converted"]
 
 
@@ -270,6 +270,41 @@ def q_csv_one_column(spark, sf_dir):
     return lines.filter("value <> 'partkey'").select("value")
 
 
+TASK_SIZES = (1 << 15, 1 << 18)
+
+
+def _numbered_layout() -> Layout:
+    """The record behind a line number of 18 digits."""
+    moved = [Variable(v.name, v.start + 18, v.width) for v in FQ.LINE_LAYOUT.variables]
+    return Layout([Variable("line_no", 1, 18), *moved])
+
+
+def q_conversion_order(spark, sf_dir):
+    """Lines of sources that are many part files, read back by file and row: the place of each is that of its line.
+
+    The smaller task size cuts every source into some tens of files.
+    """
+    key = _key(spark, sf_dir, "ordered")
+    if key not in _CACHE:
+        lines = FQ.fw_lines(spark, sf_dir, faults=False)
+        lines = lines.withColumn("value", F.concat(F.lpad(F.col("line_no").cast("string"), 18, "0"), "value")).repartition("tie")
+        target = staging_path(spark, "ordered-out")
+        convert_lines(spark, lines, _numbered_layout(), target, columns=["line_no"], task_bytes=TASK_SIZES[0])
+        _CACHE[key] = target
+    (wave,) = read_waves(spark, [f"{_CACHE[key]}/*.parquet"])
+    read = wave.withColumn("source", F.regexp_extract("_metadata.file_path", r"/([^/]+\.parquet)/[^/]+$", 1))
+    return rank_within(read, ["source"], ORDINAL, "place").select("source", "line_no", F.col("place").cast("long").alias("place"))
+
+
+def q_conversion_tasks(spark, sf_dir):
+    """The plan of a conversion for two task sizes: blocks and first task of each source from the bytes of all of them."""
+    lines = FQ.fw_lines(spark, sf_dir)
+    sizes = lines.groupBy("source").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+    plans = [plan_blocks(sizes, size).select(F.lit(size).cast("long").alias("task_bytes"), "source", "bytes", "blocks", "first_task")
+             for size in TASK_SIZES]
+    return plans[0].unionByName(plans[1])
+
+
 def q_dataset_projection(spark, sf_dir):
     return spark.read.parquet(*_published(spark, sf_dir, "parquet")).select("orderkey", "suppkey")
 
@@ -282,7 +317,7 @@ def q_dataset_filter(spark, sf_dir):
 def q_flat_index(spark, sf_dir):
     from ..plans.sinks import flat_index
 
-    target, report = _converted(spark, sf_dir, "parquet", CLEAN_COLUMNS)
+    target, report = _converted(spark, sf_dir, "parquet")
     files = A.file_listing(spark, target).filter(F.col("path").endswith(".parquet")).select(
         F.regexp_extract("path", r"/([^/]+\.parquet)/[^/]+$", 1).alias("name"), "size")
     sizes = files.filter(F.col("name") != "").groupBy("name").agg(F.sum("size").alias("size"))
@@ -303,6 +338,8 @@ QUERIES = {
     "conversion_run": q_conversion_run,
     "conversion_rows": q_conversion_rows,
     "csv_one_column": q_csv_one_column,
+    "conversion_order": q_conversion_order,
+    "conversion_tasks": q_conversion_tasks,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "dataset_projection": q_dataset_projection,
@@ -331,7 +368,10 @@ _FILES = f"""
   UNION ALL SELECT 'broken/broken_' || CAST(r_regionkey AS VARCHAR) || '.zip' FROM region
   UNION ALL SELECT 'docs/docs_' || CAST(n_nationkey AS VARCHAR) || '.zip' FROM nation"""
 
-_CLEAN = ", ".join(CLEAN_COLUMNS)
+_TYPED = FQ.without_faults(FQ._EXPECTED, "CAST(l_quantity AS INTEGER)")
+_TEXT = FQ.without_faults(FQ._TEXT, "lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 4, '0')")
+# Bytes of a line: 74 characters, one byte more where the flag has a character beyond ASCII, and the line end.
+_LINE_BYTES = "75 + CASE WHEN l_orderkey % 5 = 0 OR l_orderkey % 17 = 0 THEN 1 ELSE 0 END"
 
 ORACLE = {
     "archive_line_scan": _EXP,
@@ -358,12 +398,22 @@ ORACLE = {
         SELECT orderkey, partkey, linenumber, CAST(1 AS SMALLINT) AS quantity, extendedprice, flag, suppkey
         FROM ({FQ._EXPECTED.replace("SELECT", "SELECT (l_orderkey // " + str(BLOCK) + ") % 6 AS kind,", 1)}) WHERE kind IN (0, 5)""",
     "csv_one_column": f"SELECT coalesce(nullif(partkey, ''), '\"\"') AS value FROM ({FQ._TEXT})",
-    "parquet_roundtrip": f"SELECT {_CLEAN} FROM ({FQ._EXPECTED})",
-    "csv_roundtrip": f"SELECT {_CLEAN} FROM ({FQ._TEXT})",
-    "dataset_projection": f"SELECT orderkey, suppkey FROM ({FQ._EXPECTED})",
-    "dataset_filter": f"SELECT orderkey, extendedprice FROM ({FQ._EXPECTED}) WHERE extendedprice >= 50000",
-    "flat_index": """SELECT 'lineitem_' || CAST(l_orderkey % 16 AS VARCHAR) || '.parquet' AS name,
-                            'lineitem_' || CAST(l_orderkey % 16 AS VARCHAR) || '.txt|layout:lineitem' AS files,
+    "parquet_roundtrip": f"SELECT {FQ.COLUMNS} FROM ({_TYPED})",
+    "csv_roundtrip": f"SELECT {FQ.COLUMNS} FROM ({_TEXT})",
+    "conversion_order": f"""
+        SELECT source, line_no, row_number() OVER (PARTITION BY source ORDER BY line_no) AS place
+        FROM (SELECT 'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.parquet' AS source,
+                     l_orderkey * 8 + l_linenumber AS line_no FROM lineitem)""",
+    "conversion_tasks": "\nUNION ALL\n".join(f"""
+        SELECT CAST({size} AS BIGINT) AS task_bytes, source, CAST(sum({_LINE_BYTES}) AS BIGINT) AS bytes,
+               CAST(ceil(sum({_LINE_BYTES}) / {size}.0) AS BIGINT) AS blocks,
+               CAST(floor((sum(sum({_LINE_BYTES})) OVER (ORDER BY source) - sum({_LINE_BYTES})) / {size}.0) AS BIGINT) AS first_task
+        FROM (SELECT *, 'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.txt' AS source FROM lineitem)
+        GROUP BY source""" for size in TASK_SIZES),
+    "dataset_projection": f"SELECT orderkey, suppkey FROM ({_TYPED})",
+    "dataset_filter": f"SELECT orderkey, extendedprice FROM ({_TYPED}) WHERE extendedprice >= 50000",
+    "flat_index": f"""SELECT 'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.parquet' AS name,
+                            'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.txt|layout:lineitem' AS files,
                             true AS has_bytes
                      FROM lineitem GROUP BY 1, 2""",
 }

@@ -1,15 +1,17 @@
 """Registered fixed-width queries over lines rendered from ``lineitem``.
 
-Every ``lineitem`` row becomes one 68-character record.  Scenario variants are
+Every ``lineitem`` row becomes one 74-character record.  Scenario variants are
 derived from the order key (not used to drop rows): dots-only order keys,
 blank part keys, a bad quantity token, decimal commas, a non-ASCII character
 before a later field, and a trailing no-break space.
 
 Record layout (1-based, inclusive):
 
-    orderkey 1-9 (int32)   partkey 10-18 (int32)   linenumber 19-20 (int8)
-    quantity 21-24 (int16) extendedprice 25-39 (float64)
-    flag 40-58 (string)    suppkey 59-68 (int64)
+    orderkey 1-12 (int64)  partkey 13-24 (int64)   linenumber 25-26 (int8)
+    quantity 27-30 (int16) extendedprice 31-45 (float64)
+    flag 46-64 (string)    suppkey 65-74 (int64)
+
+A source holds the lines of 8,192 consecutive order keys, so their number grows with the data.
 """
 
 from __future__ import annotations
@@ -21,28 +23,31 @@ from ..operators.layout import Layout, Variable, storage_type_col
 from ..sources.fixed_width import ERRORS, parse_lines, raw_fields
 from .common import table
 
+KEY_WIDTH = 12
+SOURCE_KEYS = 8192
+
 LINE_LAYOUT = Layout(
     [
-        Variable("orderkey", 1, 9),
-        Variable("partkey", 10, 9),
-        Variable("linenumber", 19, 2),
-        Variable("quantity", 21, 4),
-        Variable("extendedprice", 25, 15),
-        Variable("flag", 40, 19),
-        Variable("suppkey", 59, 10),
+        Variable("orderkey", 1, KEY_WIDTH),
+        Variable("partkey", 13, KEY_WIDTH),
+        Variable("linenumber", 25, 2),
+        Variable("quantity", 27, 4),
+        Variable("extendedprice", 31, 15),
+        Variable("flag", 46, 19),
+        Variable("suppkey", 65, 10),
     ]
 )
 
 
-def fw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``source, line_no, value`` records rendered from every lineitem row."""
+def fw_lines(spark: SparkSession, sf_dir: str, faults: bool = True) -> DataFrame:
+    """``source, line_no, value`` records rendered from every lineitem row; without ``faults`` every quantity is a number."""
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     first_line = F.col("l_linenumber") == 1
-    orderkey = F.when(k % 7 == 0, F.lit("." * 9)).otherwise(F.lpad(k.cast("string"), 9, "0"))
-    partkey = F.when(k % 11 == 0, F.lit(" " * 9)).otherwise(F.lpad(F.col("l_partkey").cast("string"), 9, " "))
+    orderkey = F.when(k % 7 == 0, F.lit("." * KEY_WIDTH)).otherwise(F.lpad(k.cast("string"), KEY_WIDTH, "0"))
+    partkey = F.when(k % 11 == 0, F.lit(" " * KEY_WIDTH)).otherwise(F.lpad(F.col("l_partkey").cast("string"), KEY_WIDTH, " "))
     linenumber = F.lpad(F.col("l_linenumber").cast("string"), 2, "0")
-    quantity = F.when((k % 13 == 0) & first_line, F.lit("  x1")).otherwise(
+    quantity = F.when((k % 13 == 0) & first_line & F.lit(faults), F.lit("  x1")).otherwise(
         F.lpad(F.col("l_quantity").cast("int").cast("string"), 4, "0")
     )
     price = F.format_string("%015.2f", F.col("l_extendedprice"))
@@ -56,7 +61,7 @@ def fw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppkey = F.lpad(F.col("l_suppkey").cast("string"), 10, "0")
     value = F.concat(orderkey, partkey, linenumber, quantity, price, F.rpad(flag, 19, " "), suppkey)
     return li.select(
-        F.concat(F.lit("lineitem_"), (k % 16).cast("string"), F.lit(".txt")).alias("source"),
+        F.concat(F.lit("lineitem_"), F.expr(f"l_orderkey div {SOURCE_KEYS}").cast("string"), F.lit(".txt")).alias("source"),
         (k * 8 + F.col("l_linenumber")).alias("line_no"),
         value.alias("value"),
         # (order key, line number) repeats in the generated data; this
@@ -133,8 +138,8 @@ QUERIES = {
 _EXPECTED = """
 SELECT
   l_orderkey * 8 + l_linenumber AS line_no,
-  CAST(CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey END AS INTEGER) AS orderkey,
-  CAST(CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_partkey END AS INTEGER) AS partkey,
+  CAST(CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey END AS BIGINT) AS orderkey,
+  CAST(CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_partkey END AS BIGINT) AS partkey,
   CAST(l_linenumber AS TINYINT) AS linenumber,
   CAST(CASE WHEN l_orderkey % 13 = 0 AND l_linenumber = 1 THEN NULL
             ELSE CAST(l_quantity AS INTEGER) END AS SMALLINT) AS quantity,
@@ -149,7 +154,7 @@ FROM lineitem
 _TEXT = """
 SELECT
   l_orderkey * 8 + l_linenumber AS line_no,
-  CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE lpad(CAST(l_orderkey AS VARCHAR), 9, '0') END AS orderkey,
+  CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE lpad(CAST(l_orderkey AS VARCHAR), 12, '0') END AS orderkey,
   CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS partkey,
   lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS linenumber,
   CASE WHEN l_orderkey % 13 = 0 AND l_linenumber = 1 THEN 'x1'
@@ -162,6 +167,16 @@ SELECT
 FROM lineitem
 """
 
+COLUMNS = ", ".join(LINE_LAYOUT.names)
+
+
+def without_faults(sql: str, value: str) -> str:
+    """``sql`` with the quantity of every line."""
+    at, end = sql.index("CASE WHEN l_orderkey % 13 = 0 AND l_linenumber = 1 THEN"), sql.index("AS quantity")
+    close = sql.rindex("END", at, end) + 3
+    return sql[:at] + value + sql[close:]
+
+
 ORACLE = {
     "fixed_width_scan": _EXPECTED,
     "typed_parse": f"""
