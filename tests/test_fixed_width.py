@@ -37,7 +37,7 @@ def test_column_selection_case_insensitive_layout_order(spark):
 
 
 def test_unknown_and_empty_selection(spark):
-    with pytest.raises(ValueError, match="Unknown column"):
+    with pytest.raises(ValueError, match="not in the layout"):
         parse_lines(lines(spark, ["110001"]), UF_DOM, ["nope", "zz"])
     with pytest.raises(ValueError):
         parse_lines(lines(spark, ["110001"]), UF_DOM, [])

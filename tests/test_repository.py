@@ -248,3 +248,42 @@ def test_metadata_is_stored_and_read_back(spark, tmpdir_path):
     with open(single, "w", encoding="utf-8") as out:
         json.dump(Layout([Variable("uf", 1, 2)]).to_dict(), out)
     assert Layout.read(spark, single).names == ["uf"]
+
+
+def test_unchanged_dictionaries_are_not_read_again(spark, tmpdir_path):
+    """The second catalog opens no workbook, a changed one is read, and conversion takes the stored variables."""
+    build_tree(tmpdir_path)
+    actions = lambda: sorted((r["doc_id"], r["action"]) for r in Archive(spark, tmpdir_path).layout_store().select("doc_id", "action").collect())
+    first = actions()
+    assert first and {a for _, a in first} == {"parse"}
+    Archive(spark, tmpdir_path).generate_metadata()
+    assert actions() == [(doc, "keep") for doc, _ in first]
+    again = Archive(spark, tmpdir_path)
+    stored = spark.read.json(os.path.join(tmpdir_path, "metadata", "layouts")).orderBy("layout_id").collect()
+    again.generate_metadata()
+    assert spark.read.json(os.path.join(tmpdir_path, "metadata", "layouts")).orderBy("layout_id").collect() == stored
+    made = again.convert_catalog(os.path.join(tmpdir_path, "out")).first()
+    assert (made["converted"], made["unresolved"]) == (1, 0)
+    books = [os.path.join(d, f) for d, _, fs in os.walk(tmpdir_path) for f in fs if f.lower().endswith(".zip") and "dicion" in f.lower()]
+    with zipfile.ZipFile(books[0], "a") as changed:
+        changed.writestr("nota.txt", "changed")
+    assert sorted(a for _, a in actions()) == ["keep"] * (len(first) - 1) + ["parse"]
+
+
+def test_lines_keep_their_order_over_blocks(spark, tmpdir_path):
+    """A source of many part files: rows come back in line order, and the files follow the bytes."""
+    from wavefold.operators.panel import ORDINAL, read_waves
+    from wavefold.plans.convert import convert_lines
+
+    layout = Layout([Variable("line_no", 1, 6), Variable("source", 7, 4)])  # names that the converter uses itself
+    rows = [(f"{s}.txt", i + 1, f"{i + 1:06d}{s:4d}") for s in (1, 2) for i in range(300 * s)]
+    lines = spark.createDataFrame(rows, "source string, line_no long, value string").repartition(7)
+    for task_bytes, files in ((1100, {1: 3, 2: 6}), (11000, {1: 1, 2: 1})):
+        target = os.path.join(tmpdir_path, f"out{task_bytes}")
+        report = convert_lines(spark, lines, layout, target, task_bytes=task_bytes)
+        assert {r["status"] for r in report.collect()} == {"converted"}
+        for s in (1, 2):
+            path = f"{target}/{s}.parquet"
+            assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == files[s]
+            (wave,) = read_waves(spark, [path])
+            assert [r["line_no"] for r in wave.orderBy(*ORDINAL).collect()] == list(range(1, 300 * s + 1))

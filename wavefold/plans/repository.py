@@ -30,6 +30,9 @@ from ..sources import workbook as WB
 from .convert import convert_lines
 from .sinks import _exists, flat_index, publish, write_flat_index, write_layout_documents
 
+# A variable of a dictionary as ``operators.dictionary.parse_grid`` gives it.
+_VARIABLE = ("var_no:bigint, row_no:bigint, name:string, start:int, width:int, end:int, question:string, label:string, "
+             "section:string, period:string, category_note:string, categories:map<string,string>, storage_type:string")
 # Fixed value: the index file name other tools look for beside flat outputs.
 FLAT_INDEX_NAME = "pnadc.microdados.dicionarios.json"
 
@@ -51,7 +54,7 @@ class Archive:
 
     @classmethod
     def including_superseded(cls, spark: SparkSession, root: str, **kw) -> "Archive":
-        return cls(spark, root, exclude=P.including_superseded(kw.pop("exclude", P.DEFAULT_EXCLUDE)), **kw)
+        return cls(spark, root, exclude=P.without_default(kw.pop("exclude", P.DEFAULT_EXCLUDE)), **kw)
 
     # ------------------------------------------------------------- listing
     @property
@@ -238,36 +241,57 @@ class Archive:
                              columns, all_string, force, A.member_bytes(self._spread(archives)).withColumnRenamed("path", "source"))
 
     # --------------------------------------- incremental conversion (M2)
-    def layout_variables(self, layouts: DataFrame | None = None) -> DataFrame:
-        """Variables of every cataloged dictionary, keyed by ``layout_id``
-        (workbooks read in place, ZIP members included)."""
+    def _stored_layouts(self) -> DataFrame:
+        schema = f"doc_id string, source_sha256 string, dictionary_sha256 string, variables array<struct<{_VARIABLE}>>"
+        path = f"{self.root}/metadata/layout_store"
+        if not _exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def layout_store(self, layouts: DataFrame | None = None, force: bool = False) -> DataFrame:
+        """Every cataloged dictionary with its variables: ``doc_id, source_sha256, dictionary_sha256, variables, action``.
+
+        Files are hashed; a dictionary whose file has the hash that was stored with it keeps what was read then (``keep``), new and
+        changed ones are opened and read (``parse``), and those no longer cataloged are left out."""
         layouts = layouts if layouts is not None else self.layout_catalog()
         uris = self.listing().select(F.col("path").alias("source"), "uri")
-        books = layouts.join(uris, "source").select(
-            F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
-        return D.parse_grid(WB.workbook_cells(self._spread(books)).filter(F.col("error").isNull()).drop("error"))
+        books = cut_lineage(layouts.join(uris, "source").select(F.col("layout_id").alias("doc_id"), "uri", "member"))
+        files = A.file_digests(self._spread(books.select(F.col("uri").alias("path")).distinct()))
+        hashed = books.join(files.select(F.col("path").alias("uri"), F.col("digest").alias("dictionary_sha256")), "uri")
+        stored = self._stored_layouts()
+        recorded = stored.select("doc_id", F.col("source_sha256").alias("dictionary_sha256"))
+        plan = cut_lineage(D.layout_plan(hashed, recorded, force))
+        todo = plan.filter("action = 'parse'")
+        cells = cut_lineage(WB.workbook_cells(self._spread(todo.select(F.col("uri").alias("path"), "member", "doc_id")))
+                            .filter(F.col("error").isNull()).drop("error"))
+        fields = [name.split(":")[0] for name in _VARIABLE.split(", ")]
+        variables = D.parse_grid(cells).groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("variables"))
+        parsed = (todo.select("doc_id", F.col("dictionary_sha256").alias("source_sha256"))
+                  .join(D.document_digest(cells), "doc_id", "left").join(variables, "doc_id", "left"))
+        kept = stored.join(plan.filter("action = 'keep'").select("doc_id"), "doc_id", "left_semi")
+        columns = ["doc_id", "source_sha256", "dictionary_sha256",
+                   F.coalesce("variables", F.array().cast(stored.schema["variables"].dataType)).alias("variables")]
+        return kept.select(*columns, F.lit("keep").alias("action")).unionByName(parsed.select(*columns, F.lit("parse").alias("action")))
+
+    def layout_variables(self, store: DataFrame | None = None) -> DataFrame:
+        """Variables of every cataloged dictionary, keyed by ``doc_id`` (its layout id)."""
+        store = store if store is not None else self.layout_store()
+        return store.select("doc_id", F.explode("variables").alias("v")).select("doc_id", "v.*")
 
     def generate_metadata(self) -> DataFrame:
-        """Store the catalog under ``metadata``: layout documents and a table of data files with their dictionary.
+        """Store the catalog under ``metadata``: layouts as read, layout documents and a table of data files with their dictionary.
 
-        Returns the table (``path, name, scope, year, quarter, member, layout_id, score``)."""
-        layouts = self.layout_catalog()
-        digests = self.layout_digests(layouts).withColumnRenamed("layout_id", "doc_id")
-        write_layout_documents(self.layout_variables(layouts), f"{self.root}/metadata/layouts", digests=digests)
+        A later call opens only dictionaries that changed.  Returns the table (``path, name, scope, year, quarter, member, layout_id, score``)."""
+        layouts = cut_lineage(self.layout_catalog())
+        store = cut_lineage(self.layout_store(layouts))  # what is stored is an input and is replaced below
+        publish(self.spark, store.drop("action"), f"{self.root}/metadata/layout_store", "parquet", force=True)
+        write_layout_documents(self.layout_variables(store), f"{self.root}/metadata/layouts", digests=store)
         matched = self.catalog(layouts)
         table = matched.select(*[c for c in ("path", "name", "scope", "anual_kind", "year", "quarter", "member", "layout_id", "score")
                                  if c in matched.columns])
         publish(self.spark, table, f"{self.root}/metadata/catalog", "parquet", force=True)
         return self.spark.read.parquet(f"{self.root}/metadata/catalog")
 
-    def layout_digests(self, layouts: DataFrame | None = None) -> DataFrame:
-        layouts = layouts if layouts is not None else self.layout_catalog()
-        uris = self.listing().select(F.col("path").alias("source"), "uri")
-        books = layouts.join(uris, "source").select(
-            F.col("uri").alias("path"), "member", F.col("layout_id").alias("doc_id"))
-        cells = WB.workbook_cells(self._spread(books)).filter(F.col("error").isNull()).drop("error")
-        return D.document_digest(cells).withColumnRenamed("doc_id", "layout_id")
-
     @staticmethod
     def _provenance_dir(output_root: str) -> str:
         return f"{output_root.rstrip('/')}/_provenance"
@@ -286,14 +310,15 @@ class Archive:
     def plan_conversion(self, output_root: str, output_format: str = "parquet", scope: str | None = None,
                         years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
                         columns: Iterable[str] | None = None, all_string: bool = False,
-                        force: bool = False) -> DataFrame:
+                        force: bool = False, store: DataFrame | None = None) -> DataFrame:
         """Newest revision per output, then the batch filter, then the
         currency check of each expected fingerprint against the recorded one.
 
         status: ``convert`` / ``skipped`` / ``unresolved`` (no dictionary, or
         several text members and none chosen)."""
         self._check_quarters(quarters, self.surveys if scope is None else (scope,))
-        layouts = self.layout_catalog()
+        layouts = cut_lineage(self.layout_catalog())
+        store = store if store is not None else self.layout_store(layouts)
         matched = self.catalog(layouts)
         chosen = R.latest_revision(matched, output_format, flat=self.output_layout == "flat", path_col="path",
                                    tiebreak="uri")
@@ -302,7 +327,7 @@ class Archive:
             target = F.concat(P.flat_name(F.col("name"), F.col("scope")), F.lit("." + output_format))
         else:
             target = F.concat(P.nested_output(F.col("path"), F.col("scope")), F.lit("." + output_format))
-        expected = picked.join(self.layout_digests(layouts), "layout_id", "left").select(
+        expected = picked.join(store.select(F.col("doc_id").alias("layout_id"), "dictionary_sha256"), "layout_id", "left").select(
             "*", target.alias("output"), F.col("name").alias("source_name"), F.col("size").alias("source_size"),
             (F.unix_micros(F.col("mtime")) * 1000).alias("source_mtime_ns"),
             F.col("dictionary_sha256").alias("layout_sha256"), F.size("text_members").alias("n_text"))
@@ -332,7 +357,8 @@ class Archive:
         import datetime as _dt
 
         columns = list(columns) if columns is not None else None
-        plan = self.plan_conversion(output_root, output_format, scope, years, quarters, columns, all_string, force)
+        store = cut_lineage(self.layout_store())
+        plan = self.plan_conversion(output_root, output_format, scope, years, quarters, columns, all_string, force, store)
         rows = plan.select("uri", "member", "output", "layout_id", "layout", "status", "reason", "fingerprint", "path").collect()
         counts = {"converted": 0, "skipped": 0, "unresolved": 0}
         reasons: list[str] = []
@@ -349,7 +375,7 @@ class Archive:
                 counts["skipped"] += 1
             else:
                 unresolved(r["path"], r["reason"])
-        variables = self.layout_variables().filter(F.col("doc_id").isin(list(todo))).select(
+        variables = self.layout_variables(store).filter(F.col("doc_id").isin(list(todo))).select(
             "doc_id", "row_no", "name", "start", "width").collect() if todo else []
         provenance = []
         for layout_id, group in todo.items():

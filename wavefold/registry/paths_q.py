@@ -175,7 +175,7 @@ def q_exclude_paths(spark, sf_dir):
         "path_id",
         P.excluded(p, P.check_exclusions(None)).alias("excluded_default"),
         P.excluded(p, P.check_exclusions(CUSTOM_EXCLUDE)).alias("excluded_custom"),
-        P.excluded(p, P.including_superseded(CUSTOM_EXCLUDE)).alias("excluded_with_superseded"),
+        P.excluded(p, P.without_default(CUSTOM_EXCLUDE)).alias("excluded_with_superseded"),
         P.excluded(p, P.check_exclusions([])).alias("excluded_none"),
     )
 
@@ -441,7 +441,7 @@ ORACLE = {
         SELECT path_id,
           {sql_excluded('p', P.DEFAULT_EXCLUDE)} AS excluded_default,
           {sql_excluded('p', CUSTOM_EXCLUDE)} AS excluded_custom,
-          {sql_excluded('p', P.including_superseded(CUSTOM_EXCLUDE))} AS excluded_with_superseded,
+          {sql_excluded('p', P.without_default(CUSTOM_EXCLUDE))} AS excluded_with_superseded,
           false AS excluded_none
         FROM (SELECT path_id, CASE WHEN path_id % 4 = 0 THEN replace(path, '/', '\\') ELSE path END AS p FROM ({PATHS_SQL}))""",
     "period_filter": f"""
