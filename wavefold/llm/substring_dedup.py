@@ -69,7 +69,7 @@ def _hit(keys: np.ndarray, is_block: np.ndarray) -> np.ndarray:
 
 def _emit_probes(block: int):
     def emit(batches, parts):
-        for turn, batch in enumerate(packed.flushes(batches)):
+        for turn, batch in enumerate(packed.flushes(batches, packed.FLUSH_BYTES // 2)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             row, pos, keys = _gathered(batch.column("text"), block)
             order = np.argsort(ids, kind="stable")  # entries go in document order
