@@ -70,6 +70,19 @@ def compressed(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, packed binary")
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Row slices of ``compressed`` batches whose texts have about ``limit`` bytes when unpacked (one row at least)."""
+    for batch in batches:
+        sizes = [0 if b is None else zstandard.frame_content_size(b) for b in batch.column("packed").to_pylist()]
+        ends = np.cumsum(np.array(sizes, np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = int(ends[first - 1]) if first else 0
+            end = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(first, end - first)
+            first = end
+
+
 def uncompressed(blobs: list[bytes | None]) -> list[str | None]:
     """The texts of ``compressed`` blobs."""
     unpack = zstandard.ZstdDecompressor().decompress

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavefold.llm import packed
-from wavefold.llm.common import SpanHasher, compressed, rolling, stage, text_chunks, uncompressed, word_spans
+from wavefold.llm.common import SpanHasher, compressed, rolling, stage, text_chunks, text_slices, uncompressed, word_spans
 
 WINDOW = 20
 BLOCK = 10
@@ -111,7 +111,7 @@ def _later(doc: np.ndarray, pos: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def _emit_windows(window: int, block: int):
     def emit(batches, parts):
-        for turn, batch in enumerate(packed.flushes(batches, packed.FLUSH_BYTES // 3)):
+        for turn, batch in enumerate(text_slices(batches, packed.FLUSH_BYTES // 4)):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             row, pos, keys = _gathered(pa.array(uncompressed(batch.column("packed").to_pylist()), pa.large_string()), window)
             # A window is a candidate if one of its blocks was hit.
