@@ -62,6 +62,20 @@ def test_rates_shrink_towards_all_hosts(spark):
     assert 0.45 < rates["a"] < 0.55 and rates["b"] < 0.05 and rates["a"] < rates["one"] < 1
 
 
+def test_hosts_near_the_mean_get_different_verdicts(spark):
+    """Rates of 14 to 20 percent: all above any small constant, yet the better hosts are trusted."""
+    rates_in = {f"h{k:02d}": 14 + k // 2 for k in range(13)}
+    rows = [(h, i % 100 < p) for h, p in rates_in.items() for i in range(4000)] + [("small", False)] * 5
+    flags = spark.createDataFrame(rows, "host string, failed boolean")
+    strict = {r["host"]: r["strict"] for r in quality.host_verdicts(flags).collect()}
+    assert not strict["h00"] and strict["h12"] and strict["small"]
+    assert len({strict[h] for h in rates_in}) == 2
+    clean = spark.createDataFrame([("a", False)] * 3 + [("b", False)], "host string, failed boolean")
+    assert not any(r["strict"] for r in quality.host_verdicts(clean).collect())
+    one = spark.createDataFrame([("a", i == 0) for i in range(9)], "host string, failed boolean")
+    assert [r["strict"] for r in quality.host_verdicts(one).collect()] == [True]
+
+
 def test_repeats_extra_columns_and_empty_table(make):
     rows = corpus(groups=3)
     docs = make(rows + rows[:2]).withColumn("_host", F.lit(1)).withColumn("_strict", F.lit(2)).withColumn("kept", F.lit("x")).withColumn("host", F.lit(3))

@@ -3,9 +3,10 @@
 Every text is measured once: words, symbols, repeated lines, repeated word windows.
 A host's rule failures are counted, its failure rate is shrunk towards the rate of
 all hosts by an empirical beta prior, and the host's verdict is joined back to its
-documents: on a *strict* host a document that breaks a rule goes, on a host
-that hardly ever fails the same breach is taken for a false alarm.  A document that breaks no
-rule stays on every host.
+documents.  A host is *trusted* if its posterior leaves no more than about five percent to rates
+above the prior's mean: it fails less often than hosts do, and a breach there is taken for a false
+alarm.  On every other host, small ones included, a document that breaks a rule goes.  A document that breaks
+no rule stays on every host.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOLS_PER_100_WORDS = 10
 MAX_DUP_LINE_PERCENT = 30
-STRICT_RATE = 0.02
+TRUST_Z = 1.645  # normal bound of a five percent tail
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_text_lines"]
 _SYMBOL = np.zeros(256, bool)
@@ -105,7 +106,9 @@ def host_verdicts(flags: DataFrame) -> DataFrame:
 
     The beta prior is fitted to the hosts' raw rates by moments: with mean ``m`` and variance
     ``v`` its weight is ``m (1 - m) / v - 1``, kept between 2 and 1000; without
-    spread it is 1000.  The shrunk rate is ``(failed + m w) / (docs + w)``.
+    spread it is 1000.  The shrunk rate ``r = (failed + m w) / (docs + w)`` is the posterior's mean, its
+    deviation ``s = sqrt(r (1 - r) / (docs + w + 1))``; a host is strict unless ``r + 1.645 s <= m``.
+    Without any failure no host is strict; a single host that has some is.
     """
     hosts = flags.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed"))
     hosts = stage(hosts, "quality-hosts")
@@ -116,7 +119,9 @@ def host_verdicts(flags: DataFrame) -> DataFrame:
     weight = mean * (1 - mean) / variance - 1 if variance > 1e-12 else 1000.0
     weight = min(1000.0, max(2.0, weight))
     rate = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
-    return stage(hosts.withColumn("rate", rate).withColumn("strict", F.col("rate") > STRICT_RATE), "quality-verdicts")
+    deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n_docs") + F.lit(weight + 1)))
+    strict = F.col("rate") + TRUST_Z * deviation > F.lit(mean)
+    return stage(hosts.withColumn("rate", rate).withColumn("strict", strict), "quality-verdicts")
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -184,7 +189,8 @@ moments AS (SELECT avg(f / n) AS m, avg((f / n) * (f / n)) - avg(f / n) * avg(f
 prior AS (
   SELECT m, CASE WHEN v > 1e-12 THEN least(1000.0::DOUBLE, greatest(2.0::DOUBLE, m * (1 - m) / v - 1)) ELSE 1000.0::DOUBLE END AS w
   FROM moments),
-verdicts AS (SELECT host, (f + m * w) / (n + w) > 0.02 AS strict FROM hosts, prior)
+rates AS (SELECT host, (f + m * w) / (n + w) AS r, n + w + 1 AS weight, m FROM hosts, prior),
+verdicts AS (SELECT host, r + 1.645::DOUBLE * sqrt(r * (1 - r) / weight) > m AS strict FROM rates)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (rule_failed AND strict) AS kept
 FROM flagged JOIN verdicts USING (host)
