@@ -39,6 +39,36 @@ def test_a_group_larger_than_a_shard_fills_few_shards(make):
     assert len(copies) <= 7 and sum(n for _, n in copies.most_common(5)) >= 300  # 400 copies, 100 rows a shard
 
 
+def placed(spark, units, room, rounds=sharding.MOVING_ROUNDS):
+    rows = [(h, 0, c, chunks, n, [{"n": n, "shard": first}], shard) for h, c, chunks, n, first, shard in units]
+    kind = ("h1 long, h2 long, chunk long, chunks long, members long, "
+            "votes array<struct<n: bigint, shard: int>>, shard int")
+    out, left = sharding.propagate(spark.createDataFrame(rows, kind), room, rounds)
+    return {(r["h1"], r["chunk"]): r["shard"] for r in out.collect()}, left
+
+
+def test_a_later_round_moves_a_unit_to_its_neighbours(spark):
+    units = [(1, 0, 3, 10, 0, 0), (1, 1, 3, 10, 0, 0), (1, 2, 3, 10, 2, 2)]
+    homes, left = placed(spark, units, [10, 0, 0])
+    assert set(homes.values()) == {0} and left == [0, 0, 10]
+    homes, left = placed(spark, units, [9, 0, 0])  # no room beside its neighbours: it stays
+    assert homes[(1, 2)] == 2 and left == [9, 0, 0]
+
+
+def test_a_unit_without_room_follows_its_neighbours(spark):
+    units = [(1, 0, 2, 10, 0, 1), (1, 1, 2, 10, 0, None), (2, 0, 1, 4, 2, None)]
+    homes, left = placed(spark, units, [3, 10, 30])
+    assert homes == {(1, 0): 1, (1, 1): 1, (2, 0): 2} and left == [3, 0, 26]
+
+
+def test_all_units_that_fit_are_placed(spark):
+    units = [(h, 0, 1, 2, 0, None) for h in range(300)] + [(999, 0, 1, 50, 0, None)]
+    homes, left = placed(spark, units, [200, 200, 200, 49])
+    assert homes[(999, 0)] is not None or max(left) < 50
+    small = [s for (h, _), s in homes.items() if h != 999]
+    assert None not in small or max(left) < 2
+
+
 def test_all_linked_nulls_repeats_and_extra_columns(make):
     rows = corpus(groups=5) + corpus(groups=5)[:3] + [(None, "x", "", "", 0), (None, None, "", "", 0)]
     docs = make(rows).withColumn("shard", F.lit("x")).withColumn("h1", F.lit("x")).withColumn("slot", F.lit("x"))

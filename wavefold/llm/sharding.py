@@ -1,18 +1,22 @@
 """Balanced label propagation: linked documents share shards of even size.
 
-Documents with equal texts are linked.  Every document starts with a shard dealt
-by its id.  In each round the members of a linked unit vote with their present
-shards, the unit asks to move to the shard with the most of its members that has
-room, and each shard grants requests up to its remaining quota; what was not granted asks
-again with the quotas that are left.  Documents without links (and the rare unit
-that found no room) fill the quotas up, so the counts differ by at most one.
-
-A group larger than a quarter of a shard is split by id into units of about that
-size first: its links inside a unit stay whole, no unit outgrows a shard, and the units
-start in neighbouring shards, so the group is cut as little as its size allows.
-Votes and requests are map-side sums; the driver sees ``shards x BINS`` numbers a round.
-
-Only DataFrame functions run here.
+Documents with equal texts are linked.  Every document starts with a shard dealt by its id, and
+the documents that must stay together are a unit: a group of equal texts, or, of a group larger than a
+quarter of a shard, a part of about that size dealt by id (no unit outgrows a shard; parts start side by side).
+
+Every round joins each unit with where its group's other units are *now* and counts the votes anew:
+placed neighbours by their members, and, for a unit without a shard, its own members' first shards.  A
+unit asks for the shard with the most votes that has room (any shard with room if none has), a placed one
+only if that shard holds more of its neighbours than its own does.  Each shard grants requests up to
+its quota; what a unit leaves behind is free in the next round.  Rounds go on while units find a
+shard or move; the moves alone, which only bring neighbours closer, end after ``MOVING_ROUNDS``.
+
+Documents without links fill the quotas up, so the counts differ by one at most.  Only units larger than
+the room left in every shard (or refused ``STALLED`` times in a row by shards that had room for single units)
+are filled in like them, and lose links.
+
+Only DataFrame functions run here.  Votes and requests are map-side sums; the driver sees at most
+``shards x BINS`` numbers a round and those of the moving units, of which there are ``4 x shards`` or so.
 """
 
 from __future__ import annotations
@@ -24,9 +28,11 @@ from pyspark.sql.window import Window
 from wavefold.llm.common import stage
 
 SHARDS = 40
-ROUNDS = 8
+MOVING_ROUNDS = 12
+STALLED = 3
 UNITS_PER_SHARD = 4
-BINS = 256
+BINS = 321
+UNIT = ["h1", "h2", "chunk", "chunks", "members", "votes"]
 
 
 def _rank_bins(n: int) -> int:
@@ -45,35 +51,72 @@ def _numbered(df: DataFrame, within: list[str], bins: int, name: str) -> DataFra
             .withColumn(name, (F.col("_offset") + F.col("_at")).cast("long")).drop("_bin", "_offset", "_at"))
 
 
-def _grant(pending: DataFrame, room: list[int], turn: int) -> tuple[DataFrame, DataFrame, list[int]]:
-    """One round: requests, grants within the room; ``(granted, still pending, room left)``."""
+def requests(units: DataFrame, room: list[int], turn: int) -> DataFrame:
+    """``units`` with the shard each asks for (``want``, null: none) and the bin its request falls in.
+
+    Bins shrink by a sixteenth of an octave each, from 4 percent of the units to one in a million, so
+    whatever room is left there is a bin that fits.
+    """
     free = F.array(*[F.lit(int(x)) for x in room])
-    fits = F.filter("votes", lambda v: F.get(free, v["shard"]) >= F.col("members"))
+    at = (units.filter("chunks > 1 AND shard IS NOT NULL").groupBy("h1", "h2", "shard")
+          .agg(F.sum("members").alias("n")).groupBy("h1", "h2")
+          .agg(F.collect_list(F.struct("n", "shard")).alias("near")))
+    known = units.join(at, ["h1", "h2"], "left").withColumn(
+        "near", F.transform(F.coalesce("near", F.expr("cast(array() AS array<struct<n: bigint, shard: int>>)")),
+                            lambda v: F.struct((v["n"] - F.when(v["shard"] == F.col("shard"), F.col("members")).otherwise(0)).alias("n"),
+                                               v["shard"].alias("shard"))))
+    seen = known.withColumn("here", F.when(F.col("shard").isNotNull(), F.get(F.transform(
+        F.filter("near", lambda v: v["shard"] == F.col("shard")), lambda v: v["n"]), F.lit(0))).otherwise(F.lit(0)))
+    ballots = F.when(F.col("shard").isNull(), F.concat("near", "votes")).otherwise(F.col("near"))
+    open_votes = F.filter(ballots, lambda v: (v["n"] > F.col("here")) & ~v["shard"].eqNullSafe(F.col("shard"))
+                          & (F.get(free, v["shard"]) >= F.col("members")))
+    best = F.get(F.sort_array(open_votes, asc=False), F.lit(0))["shard"]
     open_shards = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)), lambda s: F.get(free, s) >= F.col("members"))
-    voted = F.get(F.sort_array(fits, asc=False), F.lit(0))["shard"]
     dealt = F.get(open_shards, F.pmod(F.xxhash64("h1", "h2", "chunk", F.lit(turn)), F.greatest(F.size(open_shards), F.lit(1))).cast("int"))
-    asked = (pending.withColumn("want", F.coalesce(voted, dealt))
-             .withColumn("bin", F.pmod(F.xxhash64(F.lit(turn), "h1", "h2", "chunk"), F.lit(BINS)).cast("int")))
-    asked = stage(asked, "shard-requests")
-    sums = asked.filter("want IS NOT NULL").groupBy("want", "bin").agg(F.sum("members").alias("n")).collect()
-    demand = [[0] * BINS for _ in room]
-    for row in sums:
-        demand[row["want"]][row["bin"]] = row["n"]
-    left, granted = list(room), []
-    for s, per_bin in enumerate(demand):
-        taken = []
-        for b, n in enumerate(per_bin):
-            if n and n <= left[s]:
-                left[s] -= n
-                taken.append(b)
-        granted.append(taken)
-    grants = F.array(*[F.array(*[F.lit(b) for b in taken]).cast("array<int>") for taken in granted])
-    yes = F.coalesce(F.array_contains(F.get(grants, F.col("want")), F.col("bin")), F.lit(False))
-    placed = asked.filter(yes).select("h1", "h2", "chunk", F.col("want").alias("shard"))
-    return placed, asked.filter(~yes).select("h1", "h2", "chunk", "members", "votes"), left
-
-
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    # Two neighbours would change places for ever: one half of the placed units may ask in a round, the other in the
+    # next, and the halves are drawn anew for every two rounds.
+    may = F.pmod(F.xxhash64(F.lit(-1 - turn // 2), "h1", "h2", "chunk") + turn, F.lit(2)) == 0
+    want = F.when(F.col("shard").isNull(), F.coalesce(best, dealt)).when(may, best)
+    drawn = (F.pmod(F.xxhash64(F.lit(turn), "h1", "h2", "chunk"), F.lit(1 << 20)) + 1) / F.lit(float(1 << 20))
+    return (seen.withColumn("want", want).withColumn("bin", F.floor(-16 * F.log2(drawn)).cast("int"))
+            .select(*UNIT, "shard", "want", "bin"))
+
+
+def propagate(units: DataFrame, room: list[int], moving_rounds: int = MOVING_ROUNDS) -> tuple[DataFrame, list[int]]:
+    """Shards for ``units`` (``UNIT`` and ``shard``) within ``room``, and the room left."""
+    room, turn, moves, stalled = list(room), 0, 0, 0
+    while True:
+        asked = stage(requests(units, room, turn), "shard-requests")
+        sums = asked.filter("want IS NOT NULL").groupBy("want", "bin", "shard").agg(F.sum("members").alias("n")).collect()
+        demand = [{} for _ in room]
+        for row in sums:
+            demand[row["want"]][row["bin"]] = demand[row["want"]].get(row["bin"], 0) + row["n"]
+        taken, left = [set() for _ in room], list(room)
+        for s, per_bin in enumerate(demand):
+            for b, n in sorted(per_bin.items(), key=lambda x: (-x[1], x[0])):
+                if n <= left[s]:
+                    left[s] -= n
+                    taken[s].add(b)
+        given = [row for row in sums if row["bin"] in taken[row["want"]]]
+        for row in given:
+            if row["shard"] is not None:
+                left[row["shard"]] += row["n"]
+        if given:
+            grants = F.array(*[F.array(*[F.lit(b) for b in sorted(bins)]).cast("array<int>") for bins in taken])
+            yes = F.coalesce(F.array_contains(F.get(grants, F.col("want")), F.col("bin")), F.lit(False))
+            units = asked.withColumn("shard", F.when(yes, F.col("want")).otherwise(F.col("shard"))).select(*UNIT, "shard")
+        room, turn = left, turn + 1
+        if any(row["shard"] is None for row in given):
+            stalled = 0
+            continue
+        stalled += not given
+        moves += 1
+        waiting = any(row["shard"] is None for row in sums)
+        if stalled >= STALLED or (stalled == 2 and not waiting) or (moves >= moving_rounds and not waiting):
+            return units, room
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, moving_rounds: int = MOVING_ROUNDS) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs(doc_id, text)``.
 
     Counts of two shards differ by one at most; ``slot`` numbers a shard's rows from 0
@@ -99,25 +142,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # Units of a split group start side by side, as many to a shard as fit.
     linked = linked.withColumn("label", F.when(F.col("chunks") > 1, F.pmod(F.col("start") + F.floor(F.col("chunk") / UNITS_PER_SHARD), F.lit(shards)))
                                .otherwise(F.col("own")).cast("int"))
-    votes = linked.groupBy("h1", "h2", "chunk", "label").agg(F.count(F.lit(1)).alias("n"))
-    pending = (votes.groupBy("h1", "h2", "chunk")
-               .agg(F.sum("n").alias("members"), F.collect_list(F.struct("n", F.col("label").alias("shard"))).alias("votes")))
-    pending = stage(pending, "shard-units")
-
-    placed, room = None, list(target)
-    for turn in range(rounds):
-        if pending.isEmpty():
-            break
-        granted, pending, room = _grant(pending, room, turn)
-        placed = granted if placed is None else placed.union(granted)
-
-    if placed is None:
-        settled = rows.withColumn("shard", F.lit(None).cast("int"))
-    else:
-        homes = stage(placed, "shard-homes")
-        known = rows.join(groups.select("h1", "h2", "chunks"), ["h1", "h2"], "left")
-        known = known.withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("chunks")))
-        settled = known.join(homes, ["h1", "h2", "chunk"], "left").drop("chunk", "chunks")
+    votes = linked.groupBy("h1", "h2", "chunk", "chunks", "label").agg(F.count(F.lit(1)).alias("n"))
+    units = (votes.groupBy("h1", "h2", "chunk", "chunks")
+             .agg(F.sum("n").alias("members"), F.collect_list(F.struct("n", F.col("label").alias("shard"))).alias("votes")))
+    units = stage(units.withColumn("shard", F.lit(None).cast("int")), "shard-units")
+    homes, room = propagate(units, target, moving_rounds)
+    known = rows.join(groups.select("h1", "h2", "chunks"), ["h1", "h2"], "left")
+    known = known.withColumn("chunk", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("chunks")))
+    settled = known.join(homes.select("h1", "h2", "chunk", "shard"), ["h1", "h2", "chunk"], "left")
     settled = stage(settled.select(*rows.columns, "shard"), "shard-settled")
 
     bins = _rank_bins(total)
