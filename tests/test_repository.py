@@ -287,3 +287,70 @@ def test_lines_keep_their_order_over_blocks(spark, tmpdir_path):
             assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == files[s]
             (wave,) = read_waves(spark, [path])
             assert [r["line_no"] for r in wave.orderBy(*ORDINAL).collect()] == list(range(1, 300 * s + 1))
+
+
+ROOT_URL = "https://example.org/Trimestral/"
+
+
+def update_inputs(spark):
+    name = "PNADC_012024_20250101.zip"
+    pages = spark.createDataFrame([(1, ROOT_URL + "2024/", f'<a href="{name}">a</a> <a href="PNADC_022024.zip">b</a>')],
+                                  "page_id long, url string, html string")
+    return pages, {"trimestral": ROOT_URL}, ROOT_URL + "2024/" + name
+
+
+def test_update_goes_on_behind_its_last_step(spark, tmpdir_path, monkeypatch):
+    build_tree(tmpdir_path)
+    pages, roots, url = update_inputs(spark)
+    size = os.path.getsize(os.path.join(tmpdir_path, "originals/trimestral/2024/PNADC_012024_20250101.zip"))
+    metadata = spark.createDataFrame([(url, size, "e", "l")], "url string, size long, etag string, last_modified string")
+    out = f"{tmpdir_path}/out"
+
+    def broken(*args, **kw):
+        raise RuntimeError("lost")
+
+    # Catalog and conversion have tests of their own; here they only count.
+    calls = []
+    monkeypatch.setattr(Archive, "generate_metadata", lambda self: calls.append("catalog") or spark.range(3))
+    monkeypatch.setattr(Archive, "standardize", broken)
+    try:
+        Archive(spark, tmpdir_path).update(pages, roots, out, metadata=metadata)
+        raise AssertionError("the conversion should have failed")
+    except RuntimeError as problem:
+        assert str(problem) == "lost"
+    with monkeypatch.context() as patch:
+        patch.setattr(Archive, "standardize", lambda self, *args: calls.append(args) or (1, 0, 0))
+        patch.setattr(Archive, "remote_files", broken)
+        done = Archive(spark, tmpdir_path).update(pages, roots, out, metadata=metadata)
+    assert done == {"sync": {"adopt": 1, "download": 1}, "cataloged": 3, "conversion": [1, 0, 0], "resumed": ["catalog", "sync"]}
+    assert calls == ["catalog", (out, "parquet", "trimestral", None, None, None)]
+    again = Archive(spark, tmpdir_path).update(pages, roots, out, metadata=metadata, convert=False)
+    assert again == {"sync": {"unchanged": 1, "download": 1}, "cataloged": 3, "resumed": []}  # the adopted file is recorded
+    recorded = Archive(spark, tmpdir_path).manifest().collect()
+    assert [(r["key"], r["size"], r["adopted"]) for r in recorded] == [("trimestral/2024/PNADC_012024_20250101.zip", size, True)]
+
+
+def test_single_conversion_is_recorded(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    archive = Archive(spark, tmpdir_path)
+    layout = Layout([Variable("uf", 1, 2), Variable("v1008", 3, 4)])
+    good = f"{archive.originals}/trimestral/2024/PNADC_012024_20250101.zip"
+    gone = f"{archive.originals}/trimestral/2024/PNADC_999.zip"
+    report = {r["source"]: r["status"] for r in archive.convert([good, gone], layout, f"{tmpdir_path}/one", columns=["UF"]).collect()}
+    assert report[good] == "converted" and report[gone] == "unresolved"
+    (row,) = archive.provenance(f"{tmpdir_path}/one").read().collect()
+    assert (row["source"], row["rows"], row["columns"], row["variables"], row["text_values"]) == (good, 2, 1, ["uf"], False)
+    assert row["output"].endswith(".parquet") and "/" not in row["output"]
+    fingerprint = row["fingerprint"]
+    assert fingerprint["source_size"] == os.path.getsize(good.removeprefix("file:")) and fingerprint["columns"] == "uf"
+    assert len(fingerprint["layout_sha256"]) == 64 and fingerprint["source_name"] == "PNADC_012024_20250101.zip"
+
+
+def test_listing_is_stored_in_path_order(spark, tmpdir_path):
+    build_tree(tmpdir_path)
+    archive = Archive(spark, tmpdir_path)
+    before = sorted(r["path"] for r in archive.listing().collect())
+    archive.write_listing()
+    stored = spark.read.parquet(f"{tmpdir_path}/metadata/listing").select("path", "_metadata.file_name", "_metadata.row_index")
+    assert [r["path"] for r in stored.orderBy("file_name", "row_index").collect()] == before
+    assert sorted(r["path"] for r in archive.listing().collect()) == before

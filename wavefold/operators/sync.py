@@ -92,11 +92,10 @@ def sync_summary(plan: DataFrame) -> DataFrame:
     )
 
 
-def manifest_merge(manifest: DataFrame, plan: DataFrame, fetched: DataFrame) -> DataFrame:
-    """New manifest: kept rows plus adopted and successfully downloaded files.
+def manifest_updates(plan: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Manifest rows of the adopted and the successfully downloaded files of a plan, with their ``origin``.
 
-    ``fetched``: key, sha256, ok — the outcome of the transfers.  Failures
-    keep their previous row (if any), so successes are never lost.
+    ``fetched``: key, sha256, ok — the outcome of the transfers.  A failure gives no row.
     """
     entry = [F.col("key"), F.col("r_survey").alias("survey"), F.col("r_path").alias("path"),
              F.col("r_url").alias("url"), F.col("r_size").alias("size"), F.col("r_etag").alias("etag"),
@@ -110,7 +109,15 @@ def manifest_merge(manifest: DataFrame, plan: DataFrame, fetched: DataFrame) ->
         .join(fetched.filter(F.col("ok")).select("key", "sha256"), "key")
         .select(*entry, F.col("sha256"), F.lit(None).cast("boolean").alias("adopted"), F.lit("downloaded").alias("origin"))
     )
-    updates = adopted.unionByName(downloaded)
+    return adopted.unionByName(downloaded)
+
+
+def manifest_merge(manifest: DataFrame, plan: DataFrame, fetched: DataFrame) -> DataFrame:
+    """New manifest: kept rows plus ``manifest_updates``.
+
+    Failures keep their previous row (if any), so successes are never lost.
+    """
+    updates = manifest_updates(plan, fetched)
     kept = manifest.join(updates.select("key"), "key", "left_anti").select(
         "key", "survey", "path", "url", "size", "etag", "last_modified", "local", "sha256",
         F.col("adopted").cast("boolean").alias("adopted"), F.lit("kept").alias("origin"))

@@ -8,6 +8,11 @@ reports, at most five panel-wave checks).
 
 from __future__ import annotations
 
+import datetime
+import hashlib
+import json
+import re
+import uuid
 from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
@@ -28,11 +33,19 @@ from ..session import cut_lineage
 from ..sources import archives as A
 from ..sources import workbook as WB
 from .convert import convert_lines
-from .sinks import _exists, flat_index, publish, write_flat_index, write_layout_documents
+from .sinks import _exists, flat_index, publish, publish_sorted, write_flat_index, write_layout_documents
+from .snapshots import SnapshotTable
 
 # A variable of a dictionary as ``operators.dictionary.parse_grid`` gives it.
 _VARIABLE = ("var_no:bigint, row_no:bigint, name:string, start:int, width:int, end:int, question:string, label:string, "
              "section:string, period:string, category_note:string, categories:map<string,string>, storage_type:string")
+_FINGERPRINT = ("struct<source_name:string,source_size:bigint,source_mtime_ns:bigint,layout_sha256:string,columns:string,"
+                "all_string:boolean,output_format:string,conversion_format_version:int>")
+_PROVENANCE = ("output string, source string, member string, layout_id string, layout string, rows long, columns int, "
+               f"variables array<string>, text_values boolean, fingerprint {_FINGERPRINT}, written_at timestamp")
+_MANIFEST = ("key string, survey string, path string, url string, size long, etag string, last_modified string, local string, "
+             "sha256 string, adopted boolean")
+_RUNS = "run string, step string, request string, result string, at timestamp"
 # Fixed value: the index file name other tools look for beside flat outputs.
 FLAT_INDEX_NAME = "pnadc.microdados.dicionarios.json"
 
@@ -83,6 +96,12 @@ class Archive:
             self._listing = inv.unionByName(loose).withColumn("path", self._relative("uri"))
         return self._listing
 
+    def write_listing(self) -> DataFrame:
+        """The listing as a table under ``metadata``, in path order over its part files; later calls of this object read it."""
+        target = publish_sorted(self.listing(), ["path"], f"{self.root}/metadata/listing")
+        self._listing = self.spark.read.schema(self.listing().schema).parquet(target)
+        return self._listing
+
     # ------------------------------------------------------------- catalog
     def dictionaries(self) -> DataFrame:
         return C.discover_dictionaries(self.listing().filter(F.col("readable")), self.exclude)
@@ -172,6 +191,25 @@ class Archive:
     def sync_plan(self, remote: DataFrame, manifest: DataFrame, local: DataFrame) -> DataFrame:
         return S.sync_plan(remote, manifest, local, self.surveys)
 
+    def manifest_table(self) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/metadata/manifest", _MANIFEST, ["key"])
+
+    def manifest(self) -> DataFrame:
+        """What is recorded of every mirrored file."""
+        return self.manifest_table().read()
+
+    def record_transfers(self, plan: DataFrame, fetched: DataFrame | None = None) -> int:
+        """Record the adopted files of a sync plan and those fetched (``key, sha256, ok``); returns the version.
+
+        Only their rows are written; failures and all other files keep what is recorded."""
+        if fetched is None:
+            fetched = self.spark.createDataFrame([], "key string, sha256 string, ok boolean")
+        return self.manifest_table().commit(S.manifest_updates(plan, fetched).drop("origin"))
+
+    def local_files(self) -> DataFrame:
+        """``key, size, readable`` of the files below ``originals``."""
+        return self.listing().select(F.expr("substring(path, length('originals/') + 1)").alias("key"), "size", "readable")
+
     def verify(self, manifest: DataFrame, deep: bool = False) -> DataFrame:
         """Presence and size first; only files that pass and have a recorded hash are read,
         and with ``deep`` the archives among those that have none."""
@@ -233,12 +271,33 @@ class Archive:
         one task; the lines are then dealt out by blocks for the (heavier)
         parse, so one huge archive does not leave the parse in a single task.
         Every listed archive is in the report, readable or not.  ``layout``
-        may be the path of a layout document."""
-        if isinstance(layout, str):
-            layout = Layout.read(self.spark, layout)
+        may be the path of a layout document.  What was converted is recorded in
+        the provenance of ``output_root``, with a hash of the layout's fields."""
+        document = layout if isinstance(layout, str) else None
+        if document is not None:
+            layout = Layout.read(self.spark, document)
+        columns = list(columns) if columns is not None else None
         archives = self.spark.createDataFrame([(s, member) for s in sources], "path string, member string")
-        return convert_lines(self.spark, self._member_lines(archives, encoding), layout, output_root, output_format,
+        report = convert_lines(self.spark, self._member_lines(archives, encoding), layout, output_root, output_format,
                              columns, all_string, force, A.member_bytes(self._spread(archives)).withColumnRenamed("path", "source"))
+        names = [v.name for v in layout.select(columns)]
+        fields = "\n".join(f"{v.name} {v.start} {v.width}" for v in layout.variables)
+        made_from = [r["source"] for r in report.filter("status = 'converted'").select("source").collect()]  # some of ``sources``
+        if not made_from:
+            return report
+        sizes = A.file_listing(self.spark, made_from).withColumnRenamed("path", "uri")
+        files = archives.distinct().join(sizes, F.col("path") == F.col("uri"))
+        roots = "|".join(re.escape(root.rstrip("/")) for root in (A.qualified(self.spark, output_root), output_root))
+        done = report.filter("status = 'converted'").join(files, F.col("source") == F.col("path")).select(
+            F.regexp_replace("output", f"^(?:{roots})/", "").alias("output"), "source", "member", "rows",
+            P.file_name(F.col("path")).alias("source_name"), F.col("size").alias("source_size"),
+            (F.unix_micros("mtime") * 1000).alias("source_mtime_ns"), F.sha2(F.lit(fields), 256).alias("layout_sha256"))
+        made = CV.expected_fingerprint(done, columns, all_string, output_format).select(
+            "output", "source", "member", F.lit(None).cast("string").alias("layout_id"), F.lit(document).cast("string").alias("layout"), "rows",
+            F.lit(len(names)).alias("columns"), F.lit(names if columns is not None else None).cast("array<string>").alias("variables"),
+            F.lit(all_string or output_format == "csv").alias("text_values"), "fingerprint", F.current_timestamp().alias("written_at"))
+        self.provenance(output_root).commit(made)
+        return report
 
     # --------------------------------------- incremental conversion (M2)
     def _stored_layouts(self) -> DataFrame:
@@ -289,23 +348,16 @@ class Archive:
         matched = self.catalog(layouts)
         table = matched.select(*[c for c in ("path", "name", "scope", "anual_kind", "year", "quarter", "member", "layout_id", "score")
                                  if c in matched.columns])
-        publish(self.spark, table, f"{self.root}/metadata/catalog", "parquet", force=True)
+        publish_sorted(table, ["path"], f"{self.root}/metadata/catalog")
         return self.spark.read.parquet(f"{self.root}/metadata/catalog")
 
-    @staticmethod
-    def _provenance_dir(output_root: str) -> str:
-        return f"{output_root.rstrip('/')}/_provenance"
+    def provenance(self, output_root: str) -> SnapshotTable:
+        """What each output was made from, by output."""
+        return SnapshotTable(self.spark, f"{output_root.rstrip('/')}/_provenance", _PROVENANCE, ["output"])
 
     def recorded_provenance(self, output_root: str) -> DataFrame:
-        """Latest provenance record per output (append-only table)."""
-        path = self._provenance_dir(output_root)
-        if not _exists(self.spark, path):
-            return self.spark.createDataFrame([], "output string, fingerprint struct<source_name:string,"
-                                              "source_size:bigint,source_mtime_ns:bigint,layout_sha256:string,"
-                                              "columns:string,all_string:boolean,output_format:string,"
-                                              "conversion_format_version:int>")
-        records = self.spark.read.parquet(path)
-        return records.groupBy("output").agg(F.max_by("fingerprint", "written_at").alias("fingerprint"))
+        """The fingerprint that each output was made with."""
+        return self.provenance(output_root).read().select("output", "fingerprint")
 
     def plan_conversion(self, output_root: str, output_format: str = "parquet", scope: str | None = None,
                         years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
@@ -348,14 +400,12 @@ class Archive:
                         years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
                         columns: Iterable[str] | None = None, all_string: bool = False,
                         force: bool = False) -> DataFrame:
-        """Run the plan: one conversion job per dictionary, provenance appended.
+        """Run the plan: one conversion job per dictionary, its provenance recorded as soon as it is done.
 
         Returns one row ``converted, skipped, unresolved, reasons``; ``reasons``
         names each unresolved source with its cause.  The plan and the
         per-layout variables collected here are bounded by the number of
         files and dictionaries, not by the data."""
-        import datetime as _dt
-
         columns = list(columns) if columns is not None else None
         store = cut_lineage(self.layout_store())
         plan = self.plan_conversion(output_root, output_format, scope, years, quarters, columns, all_string, force, store)
@@ -377,7 +427,7 @@ class Archive:
                 unresolved(r["path"], r["reason"])
         variables = self.layout_variables(store).filter(F.col("doc_id").isin(list(todo))).select(
             "doc_id", "row_no", "name", "start", "width").collect() if todo else []
-        provenance = []
+        recorded = self.provenance(output_root)
         for layout_id, group in todo.items():
             own = sorted((v for v in variables if v["doc_id"] == layout_id), key=lambda v: v["row_no"])
             try:
@@ -388,6 +438,7 @@ class Archive:
                     unresolved(r["path"], f"dictionary {layout_id}: {exc}")
                 continue
             by_uri = {r["uri"]: r for r in group}
+            provenance = []
             listed = self.spark.createDataFrame([(r["uri"], r["member"], r["output"]) for r in group],
                                                 "path string, member string, output string")
             report = convert_lines(self.spark, self._member_lines(listed), layout, output_root, output_format, columns,
@@ -402,14 +453,9 @@ class Archive:
                 names = [v.name for v in selected]
                 provenance.append((record["output"], record["path"], record["member"], layout_id, record["layout"], rep["rows"],
                                    len(names), names if columns is not None else None, all_string or output_format == "csv",
-                                   record["fingerprint"], _dt.datetime.now(_dt.timezone.utc)))
-        if provenance:
-            schema = self.recorded_provenance(output_root).schema["fingerprint"].dataType.simpleString()
-            self.spark.createDataFrame(
-                provenance, f"output string, source string, member string, layout_id string, layout string, rows long, "
-                            f"columns int, variables array<string>, text_values boolean, fingerprint {schema}, "
-                            f"written_at timestamp"
-            ).write.mode("append").parquet(self._provenance_dir(output_root))
+                                   record["fingerprint"], datetime.datetime.now(datetime.timezone.utc)))
+            if provenance:  # with each dictionary, so that a broken run keeps what it has done
+                recorded.commit(self.spark.createDataFrame(provenance, _PROVENANCE))
         if self.output_layout == "flat" and output_format == "parquet":
             produced = [(r["output"], [r["path"], r["layout_id"] or ""]) for r in rows
                         if r["status"] in ("convert", "skipped")]
@@ -418,6 +464,60 @@ class Archive:
             [(counts["converted"], counts["skipped"], counts["unresolved"], sorted(reasons))],
             "converted long, skipped long, unresolved long, reasons array<string>")
 
+    def standardize(self, output_root: str, output_format: str = "parquet", survey: str | None = None,
+                    years: Iterable[int] | None = None, quarters: Iterable[int] | None = None,
+                    columns: Iterable[str] | None = None, all_string: bool = False, force: bool = False) -> tuple[int, int, int]:
+        """Convert what the catalog knows; counts of converted, skipped and unresolved sources."""
+        done = self.convert_catalog(output_root, output_format, survey, years, quarters, columns, all_string, force).first()
+        return done["converted"], done["skipped"], done["unresolved"]
+
+    def runs(self) -> SnapshotTable:
+        """Steps that runs of ``update`` have finished."""
+        return SnapshotTable(self.spark, f"{self.root}/metadata/runs", _RUNS, ["run", "step"])
+
+    def update(self, pages: DataFrame, roots: dict[str, str], output_root: str, years: Iterable[int] | None = None,
+               quarters: Iterable[int] | None = None, convert: bool = True, output_format: str = "parquet",
+               columns: Iterable[str] | None = None, metadata: DataFrame | None = None,
+               fetched: DataFrame | None = None) -> dict[str, object]:
+        """Sync plan, catalog and conversion in one call: ``sync`` (files per status), ``cataloged``, ``conversion``.
+
+        Transfers are not made here: files on disk are adopted, ``fetched`` records what others made.  Each finished step is
+        recorded with its result, so a call after a broken one with the same request goes on behind its last step (conversion
+        itself goes on behind the last dictionary, by provenance); once all are done the next call is a new run.
+        ``resumed`` names the steps taken from the record."""
+        years, quarters, columns = ([*x] if x is not None else None for x in (years, quarters, columns))
+        self._check_quarters(quarters, roots)
+        asked = json.dumps([sorted(roots.items()), years, quarters, convert, output_root, output_format, columns])
+        request = hashlib.sha256(asked.encode()).hexdigest()
+        table = self.runs()
+        past = table.read().filter(F.col("request") == request).groupBy("run").agg(
+            F.max("at").alias("at"), F.map_from_entries(F.collect_list(F.struct("step", "result"))).alias("steps"))
+        last = past.orderBy(F.desc("at"), "run").first()
+        known = dict(last["steps"]) if last is not None and "end" not in last["steps"] else {}
+        run = last["run"] if known else uuid.uuid4().hex
+        resumed = sorted(known)
+
+        def step(name, work):
+            if name not in known:
+                known[name] = json.dumps(work())
+                now = datetime.datetime.now(datetime.timezone.utc)
+                table.commit(self.spark.createDataFrame([(run, name, request, known[name], now)], _RUNS))
+            return json.loads(known[name])
+
+        def sync():
+            remote = self.remote_files(pages, roots, years, quarters, metadata)
+            plan = cut_lineage(S.sync_plan(remote, self.manifest(), self.local_files(), tuple(roots)))
+            self.record_transfers(plan, fetched)
+            return {r["status"]: r["files"] for r in S.sync_summary(plan).collect()}
+
+        scope = next(iter(roots)) if len(roots) == 1 else None
+        result = {"sync": step("sync", sync), "cataloged": step("catalog", lambda: self.generate_metadata().count())}
+        if convert:
+            result["conversion"] = step("convert", lambda: list(self.standardize(
+                output_root, output_format, scope, years, quarters, columns)))
+        step("end", lambda: True)
+        return result | {"resumed": resumed}
+
     def write_index(self, output_root: str, produced: list | None = None) -> str:
         """Flat-layout index: one JSON line per ``*.parquet`` output (name,
         total size of its part files, origin), sorted by name."""

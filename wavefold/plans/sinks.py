@@ -81,6 +81,11 @@ def publish(spark: SparkSession, df: DataFrame, target: str, fmt: str = "parquet
     return target
 
 
+def publish_sorted(df: DataFrame, keys: list[str], target: str) -> str:
+    """``publish`` as Parquet in the order of ``keys``: part files follow one another by range, rows inside them by key."""
+    return publish(df.sparkSession, df.orderBy(*keys), target, "parquet", force=True)
+
+
 # The fields of a variable in a layout document.
 DOCUMENT_FIELDS = ("name", "start", "width", "end", "label", "section", "question", "period", "categories",
                    "category_note", "storage_type")

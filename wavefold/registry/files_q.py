@@ -25,12 +25,17 @@ from ..operators.layout import Layout, Variable
 from ..operators.ordered import rank_within
 from ..operators.panel import ORDINAL, read_waves
 from ..plans.convert import convert_lines, plan_blocks
+from ..plans.sinks import publish_sorted
+from ..plans.snapshots import SnapshotTable
 from ..sources import archives as A
 from ..sources import workbook as WB
 from ..sources.fixed_width import ERRORS, parse_lines
 from ..session import ship_package, staging_path
 from . import dictionary_q as DQ
 from . import fixed_width_q as FQ
+from . import paths_q as PQ
+from .common import table
+from .paths_q import archive_paths
 
 _CACHE: dict = {}
 BLOCK = 1000
@@ -305,6 +310,26 @@ def q_conversion_tasks(spark, sf_dir):
     return plans[0].unionByName(plans[1])
 
 
+def q_sorted_listing(spark, sf_dir):
+    """The archive listing published in path order, read back by file and row: every path's place on disk."""
+    target = staging_path(spark, "sorted-listing")
+    publish_sorted(archive_paths(spark, sf_dir).select("path", "path_id", "size"), ["path", "path_id"], target)
+    (read,) = read_waves(spark, [target])
+    return rank_within(read.withColumn("_all", F.lit(0)), ["_all"], ORDINAL, "place").select(
+        "path", "path_id", "size", F.col("place").cast("long").alias("place"))
+
+
+def q_snapshot_state(spark, sf_dir):
+    """Orders of a customer by year, committed year after year to a table keyed by customer that is compacted every third commit."""
+    table_ = SnapshotTable(spark, staging_path(spark, "snapshots"), "custkey long, year int, orders long, last_key long", ["custkey"], 3)
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    span = orders.agg(F.min("year").alias("low"), F.max("year").alias("high")).first()
+    for year in range(span["low"], span["high"] + 1) if span["low"] is not None else ():
+        table_.commit(orders.filter(F.col("year") == year).groupBy(F.col("o_custkey").alias("custkey"), "year").agg(
+            F.count(F.lit(1)).alias("orders"), F.max("o_orderkey").alias("last_key")))
+    return table_.read()
+
+
 def q_dataset_projection(spark, sf_dir):
     return spark.read.parquet(*_published(spark, sf_dir, "parquet")).select("orderkey", "suppkey")
 
@@ -340,6 +365,8 @@ QUERIES = {
     "csv_one_column": q_csv_one_column,
     "conversion_order": q_conversion_order,
     "conversion_tasks": q_conversion_tasks,
+    "sorted_listing": q_sorted_listing,
+    "snapshot_state": q_snapshot_state,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "dataset_projection": q_dataset_projection,
@@ -410,6 +437,11 @@ ORACLE = {
                CAST(floor((sum(sum({_LINE_BYTES})) OVER (ORDER BY source) - sum({_LINE_BYTES})) / {size}.0) AS BIGINT) AS first_task
         FROM (SELECT *, 'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.txt' AS source FROM lineitem)
         GROUP BY source""" for size in TASK_SIZES),
+    "sorted_listing": f"""SELECT path, path_id, size, row_number() OVER (ORDER BY path, path_id) AS place FROM ({PQ.PATHS_SQL})""",
+    "snapshot_state": """
+        WITH y AS (SELECT o_custkey AS custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, max(o_orderkey) AS last_key
+                   FROM orders GROUP BY ALL)
+        SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY custkey ORDER BY year DESC) = 1""",
     "dataset_projection": f"SELECT orderkey, suppkey FROM ({_TYPED})",
     "dataset_filter": f"SELECT orderkey, extendedprice FROM ({_TYPED}) WHERE extendedprice >= 50000",
     "flat_index": f"""SELECT 'lineitem_' || CAST(l_orderkey // {FQ.SOURCE_KEYS} AS VARCHAR) || '.parquet' AS name,
