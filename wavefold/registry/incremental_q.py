@@ -24,7 +24,7 @@ from ..operators import sync as S
 from ..operators import unpack as U
 from ..operators import verify as V
 from .common import table
-from .fixed_width_q import LINE_LAYOUT, fw_lines
+from .fixed_width_q import LINE_LAYOUT, SOURCE_KEYS, fw_lines
 from .paths_q import fmt
 
 SURVEYS = ("trimestral", "anual")
@@ -470,8 +470,8 @@ ORACLE = {
     "fingerprint": f"SELECT output, {_FP_DIGEST} AS fingerprint FROM ({_EXPECTED_FP})",
     "conversion_plan": _CPLAN,
     "conversion_summary": f"SELECT status, count(*) AS files FROM ({_CPLAN}) GROUP BY status",
-    "provenance_rows": """
-        SELECT 'lineitem_' || CAST(l_orderkey % 16 AS VARCHAR) || '.txt' AS source, count(*) AS rows,
+    "provenance_rows": f"""
+        SELECT 'lineitem_' || CAST(l_orderkey // {SOURCE_KEYS} AS VARCHAR) || '.txt' AS source, count(*) AS rows,
                7 AS columns, CAST(NULL AS VARCHAR) AS variables
         FROM lineitem GROUP BY 1""",
     "verify_digest": _VERIFY,
