@@ -32,18 +32,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
     A document is an id and a text: rows that share an id are judged by their own text, of rows equal in both one stays.
+    Its node is a 64-bit hash of both; a second hash tells rows that only share the node apart, and these all stay.
+    A null, empty or wordless text is a copy of nothing; very long texts are judged whole; an empty table stays empty.
     """
     ship_package(spark)
-    named = docs.select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("node"))
+    identity = ["doc_id", F.col("text").isNull(), "text"]
+    named = docs.select(*COLUMNS, F.xxhash64(*identity).alias("node"), F.xxhash64(F.lit(1), *identity).alias("proof"))
     groups = ngram_join.ngram_components(named.select(F.col("node").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("node"), "component_id").distinct()
     placed = stage(named.select("node", "doc_id").distinct().join(groups, "node"), "pipeline-groups")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "node")  # rows without an id come last
     first = placed.groupBy("component_id").agg(F.min(order).alias("first"))
-    gone = placed.select("node").join(first.select(F.col("first.node").alias("node")), "node", "left_anti")
+    again = stage(named.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), (F.min("proof") < F.max("proof")).alias("mixed"))
+                  .filter("rows > 1"), "pipeline-repeats")
+    gone = (placed.select("node").join(first.select(F.col("first.node").alias("node")), "node", "left_anti")
+            .join(again.filter("mixed"), "node", "left_anti"))  # different rows under one node: each stays
     left = named.join(gone, "node", "left_anti")
-    again = stage(named.groupBy("node").count().filter("count > 1").select("node"), "pipeline-repeats")
-    one = left.join(again, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    one = (left.join(again, "node", "left_semi").groupBy("node", "proof").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+           .select("row.*"))
     return left.join(again, "node", "left_anti").select(*COLUMNS).unionByName(one)
 
 
