@@ -2,6 +2,7 @@ import struct
 
 import corpus_pipeline
 from helpers import corpus, crowd, sha
+from pyspark.sql import functions
 from test_byte_bpe import byte_bpe
 from test_line_dedup import brute as line_brute
 from test_ngram_join import brute as join_brute
@@ -64,3 +65,21 @@ def test_ids_are_decoded(spark, make):
     rows = [(1, "a text, é", "en", "s", 9), (2, None, "en", "s", 0), (1, "", "en", "s", 0)]
     got = corpus_pipeline.encode(spark, make(rows), "").collect()
     assert sorted((r["doc_id"], r["decoded_sha256"]) for r in got) == sorted((r[0], sha(r[1] or "")) for r in rows)
+
+
+def test_rows_that_share_only_the_node_stay(spark, make, monkeypatch):
+    class Colliding:
+        """The node is the language's hash, so different rows share one; the second hash is as it was."""
+
+        def __getattr__(self, name):
+            return getattr(functions, name)
+
+        def xxhash64(self, *cols):
+            return functions.xxhash64("lang") if isinstance(cols[0], str) else functions.xxhash64(*cols)
+
+    monkeypatch.setattr(corpus_pipeline, "F", Colliding())
+    copy, other = " ".join(f"w{i}" for i in range(80)), " ".join(f"x{i}" for i in range(80))
+    rows = [(0, copy, "c"), (1, copy, "a"), (2, other, "a"), (2, other, "a"), (3, other, "d")]
+    got = corpus_pipeline.near_dedup(spark, make([(d, t, lang, "s", len(t)) for d, t, lang in rows]), "").collect()
+    found = sorted((r[0], r[1]) for r in got)
+    assert len(found) == len(set(found)) and {(0, copy), (1, copy), (2, other)} <= set(found)
