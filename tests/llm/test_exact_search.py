@@ -52,6 +52,16 @@ def test_ranges_of_scores(make, scale):
     assert result(exact_top_k(make(rows, SCHEMA), asks(), k=20)) == brute(rows, 20)
 
 
+@pytest.mark.parametrize("dim", [12, 16])
+def test_near_copies_in_the_last_bin(make, dim):
+    """The k-th score lies in a full bin with other scores close above it: these count once."""
+    rnd = np.random.default_rng(dim)
+    base = rnd.normal(size=(900, dim)).astype(np.float32)
+    base[100:500] = base[7] + rnd.normal(size=(400, dim)).astype(np.float32) * np.float32(0.01)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(base)]
+    assert result(exact_top_k(make(rows, SCHEMA), asks())) == brute(rows, 20)
+
+
 def test_many_blocks_agree(make, monkeypatch):
     rows = sample(500)
     monkeypatch.setattr(exact_search, "ROWS_LEAST", 16)

@@ -2,7 +2,7 @@
 
 Every query is scored against every other row, block against block.  A scoring pass returns no scores but
 a histogram of each query's scores; the sum over all blocks tells in which bin the k-th
-value lies, and the next pass counts that bin alone with bins 1,024 times finer, until the bin holds one value or few scores
+value lies, and the next pass counts that bin alone with bins up to 1,024 times finer, until the bin holds one value or few scores
 lie at or above it.  A last pass keeps the scores that reach the bin; ties go to the smaller id.
 
 A block sends only the bins from the top down to the one that holds its own k-th score, as a part's k-th score never
@@ -77,10 +77,10 @@ def _histograms(sent: DataFrame, k: int, scale: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = 1 << BIN_BITS
         for asks, _, scores in _scored(batches, scale):
-            low, shift, above = (asks.column(c).to_numpy()[:, None] for c in ("low", "shift", "above"))
-            # Scores above the bins are counted already, those below are out.
+            low, shift, above, within = (asks.column(c).to_numpy()[:, None] for c in ("low", "shift", "above", "within"))
+            # Scores above the bin that is divided are counted already, those below are out.
             place = np.where(scores >= low, scores - low, -1) >> shift
-            inside = (place >= 0) & (place < bins)
+            inside = (place >= 0) & (place < within)
             place += np.arange(len(place))[:, None] * bins
             counts = np.bincount(place[inside], minlength=len(place) * bins).reshape(-1, bins)
             higher = np.cumsum(counts[:, ::-1], 1)[:, ::-1] - counts
@@ -113,11 +113,11 @@ def _cells(rows: DataFrame, asks: DataFrame, sizes: DataFrame) -> DataFrame:
     """Each block of candidates with each block of queries, the candidates first."""
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     one_of = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "row"), F.col(n)).cast("int")
-    nothing = [F.lit(0).cast("long").alias(c) for c in ("low", "shift", "above")]
+    nothing = [F.lit(0).cast("long").alias(c) for c in ("low", "shift", "above", "within")]
     members = rows.join(sizes, "dim").select("dim", one_of(11, "cblocks").alias("cblock"), every("qblocks").alias("qblock"),
                                              F.lit(0).alias("side"), "row", "vec_id", "embedding", "bound", *nothing)
     seekers = asks.join(sizes, "dim").select("dim", every("cblocks").alias("cblock"), one_of(13, "qblocks").alias("qblock"),
-                                             F.lit(1).alias("side"), "row", "vec_id", "embedding", "bound", "low", "shift", "above")
+                                             F.lit(1).alias("side"), "row", "vec_id", "embedding", "bound", "low", "shift", "above", "within")
     return members.unionByName(seekers).repartition(*KEYS).sortWithinPartitions(*KEYS, "side")
 
 
@@ -153,8 +153,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = S
     span = F.ceil(F.log2(F.col("bound") * 2 + 2)).cast("long")
     state = stage(queries.join(sizes.select("dim", "bound"), "dim").select(
         "dim", "row", "vec_id", "embedding", (-F.col("bound")).cast("long").alias("low"),
-        F.greatest(F.lit(0), span - BIN_BITS).cast("long").alias("shift"), F.lit(0).cast("long").alias("above"), F.lit(False).alias("settled")),
-        "search-state")
+        F.greatest(F.lit(0), span - BIN_BITS).cast("long").alias("shift"), F.lit(0).cast("long").alias("above"),
+        F.lit(1 << BIN_BITS).cast("long").alias("within"), F.lit(False).alias("settled")), "search-state")
     while not (unsettled := state.filter("NOT settled")).isEmpty():
         found = _histograms(_cells(rows, unsettled, sizes), k, scale)
         down = Window.partitionBy("row").orderBy(F.desc("bin"))
@@ -165,9 +165,11 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = S
         none = F.col("at").isNull()
         low = F.when(none, F.col("low")).otherwise(F.expr("low + at.bin * CAST(pow(2, shift) AS BIGINT)"))
         settled = none | (F.col("shift") == 0) | (F.col("above") + F.col("at.run") <= FEW * k)
+        finer = F.least("shift", F.lit(BIN_BITS))  # a bin of 2^shift scores has no more than that many bins
         after = unsettled.join(reached, "row", "left").select(
-            "dim", "row", "vec_id", "embedding", low.alias("low"), F.greatest(F.lit(0), F.col("shift") - BIN_BITS).cast("long").alias("shift"),
-            F.coalesce(F.col("above") + F.col("at.run") - F.col("at.n"), "above").alias("above"), settled.alias("settled"))
+            "dim", "row", "vec_id", "embedding", low.alias("low"), (F.col("shift") - finer).cast("long").alias("shift"),
+            F.coalesce(F.col("above") + F.col("at.run") - F.col("at.n"), "above").alias("above"),
+            F.pow(F.lit(2), finer).cast("long").alias("within"), settled.alias("settled"))
         state = stage(state.filter("settled").unionByName(after), "search-state")
     best = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return (_winners(_cells(rows, state, sizes), k, scale).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
