@@ -86,6 +86,18 @@ def test_conversion_currency(spark):
     assert csv["all_string"] is None
 
 
+def test_member_lists_are_not_broadcast(spark, tmpdir_path):
+    names = ["a/x.txt", "a/y.txt"]
+    spark.createDataFrame([("a.zip", 1, 1)], "archive string, size long, mtime_ns long").write.parquet(f"{tmpdir_path}/archives")
+    spark.createDataFrame([("a.zip", 2, 1, names), ("b.zip", 1, 1, ["b/z.txt"])],
+                          "archive string, size long, mtime_ns long, outputs array<string>").write.parquet(f"{tmpdir_path}/state")
+    spark.createDataFrame([("a.zip", "a/x.txt")], "archive string, output string").write.parquet(f"{tmpdir_path}/current")
+    archives, state, current = (spark.read.parquet(f"{tmpdir_path}/{t}") for t in ("archives", "state", "current"))
+    found = U.obsolete_members(U.unpack_plan(archives, state), current, state)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == [("a.zip", "a/y.txt", "dropped member"), ("b.zip", "b/z.txt", "archive removed")]
+
+
 def test_unpack_plan_and_obsolete(spark):
     archives = spark.createDataFrame([("a.zip", 1, 1), ("b.zip", 2, 2), ("Projecoes_Anteriores/c.zip", 1, 1)],
                                      "archive string, size long, mtime_ns long")

@@ -25,7 +25,7 @@ def unpack_plan(archives: DataFrame, state: DataFrame, exclude: Iterable[str] =
     """
     st = state.select("archive", F.col("size").alias("s_size"), F.col("mtime_ns").alias("s_mtime_ns"),
                       F.col("outputs").alias("previous_outputs"))
-    joined = archives.join(st, "archive", "left")
+    joined = archives.join(st.hint("merge"), "archive", "left")
     same = F.col("s_size").eqNullSafe(F.col("size")) & F.col("s_mtime_ns").eqNullSafe(F.col("mtime_ns")) \
         & F.col("s_size").isNotNull()
     action = (
@@ -46,14 +46,17 @@ def obsolete_members(plan: DataFrame, current: DataFrame, state: DataFrame) -> D
     """Files to remove: outputs of processed archives not produced now, and all
     outputs of archives no longer listed.
 
+    The sides of both joins are merged in order: member lists unpack to far more than the files they come from, too much to send whole
+    to every task.
+
     ``current``: archive, output (one row per member extracted now).
     """
     processed = plan.filter(F.col("action") == "process").select(
         "archive", F.explode_outer("previous_outputs").alias("output")).filter(F.col("output").isNotNull())
-    dropped = processed.join(current.select("archive", "output"), ["archive", "output"], "left_anti") \
+    dropped = processed.join(current.select("archive", "output").hint("merge"), ["archive", "output"], "left_anti") \
         .withColumn("reason", F.lit("dropped member"))
     listed = plan.select("archive")
-    vanished = state.join(listed, "archive", "left_anti").select(
+    vanished = state.join(listed.hint("merge"), "archive", "left_anti").select(
         "archive", F.explode("outputs").alias("output")).withColumn("reason", F.lit("archive removed"))
     return dropped.unionByName(vanished)
 
