@@ -167,19 +167,21 @@ def _moments(fit: DataFrame, dims: list[int], scale: int) -> dict[int, Moments]:
             y = batch.column("x").flatten().to_numpy().reshape(-1, dim) - centres[dim]
             most = float(np.abs(y).max(initial=0)) ** 2 * len(y)
             room[dim] = room.get(dim, 0.0) + most
-            if room[dim] >= EXACT:
-                raise ValueError("products of components exceed 64 bits in a task")
-            # Below 2^53 every partial sum of the floating-point product is whole and exact.
-            product = (y.T.astype(float) @ y.astype(float)).astype(np.int64) if most < 2.0 ** 53 else y.T @ y
+            if room[dim] >= EXACT:  # beyond 64 bits: Python's whole numbers
+                product = y.astype(object).T @ y.astype(object)
+            else:
+                # Below 2^53 every partial sum of the floating-point product is whole and exact.
+                product = (y.T.astype(float) @ y.astype(float)).astype(np.int64) if most < 2.0 ** 53 else y.T @ y
             totals[dim] = totals.get(dim, 0) + product
         for dim, product in totals.items():
             i, j = np.triu_indices(dim)
             for at in range(0, len(i), 1 << 16):
                 a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+                total = pa.array(product[a, b].tolist(), pa.decimal128(38, 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(a), dim), pa.int32()), pa.array(a), pa.array(b), pa.array(product[a, b])], names=["dim", "i", "j", "total"])
+                    [pa.array(np.full(len(a), dim), pa.int32()), pa.array(a), pa.array(b), total], names=["dim", "i", "j", "total"])
 
-    found = (fit.mapInArrow(multiply, "dim int, i bigint, j bigint, total bigint").groupBy("dim", "i", "j").agg(wide).toArrow())
+    found = (fit.mapInArrow(multiply, "dim int, i bigint, j bigint, total decimal(38,0)").groupBy("dim", "i", "j").agg(wide).toArrow())
     products = {dim: {} for dim in dims}
     for dim, i, j, total in zip(*(found.column(c).to_pylist() for c in ("dim", "i", "j", "total")), strict=True):
         products[dim][i, j] = int(total)
