@@ -115,3 +115,24 @@ def test_one_column_csv_keeps_empty_values(spark, tmpdir_path):
     lines = [x for p in os.listdir(report["output"]) if p.startswith("part-")
              for x in open(os.path.join(report["output"], p), newline="").read().split("\r\n")]
     assert sorted(x for x in lines if x not in ("", "uf")) == ['""', '"a"""', "11", "13"]
+
+
+def test_rendered_prices_and_keys_are_those_of_the_formatter(spark, tmpdir_path):
+    """Lines are rendered without the formatter where its text is certain, and by it elsewhere."""
+    from pyspark.sql import functions as F
+    from wavefold.registry import fixed_width_q as FQ
+
+    prices = [None, 0.0, -0.0, 0.004, 0.005, 0.01, 0.29, 1.005, 2.675, 1234.5, 104949.5, 999999999.99, 1e9, 1e15 + 0.5, -3.25, 0.1 + 0.2,
+              float("nan"), float("inf"), float("-inf")]
+    keys = [None, 0, 7, 999_999_999, 10 ** 9, 10 ** 10, 10 ** 12, -4]
+    n = len(prices) * len(keys)
+    rows = [(i * 3 % 100 if i % 11 else None, keys[i % len(keys)], keys[(i + 3) % len(keys)], i % 7 + 1, 5.0, prices[i % len(prices)], "R", "F")
+            for i in range(n)]
+    li = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                     "l_extendedprice double, l_returnflag string, l_linestatus string")
+    li.write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    read = FQ.table(spark, tmpdir_path, "lineitem")
+    tie = F.format_string("%09d%010d%015.2f", "l_partkey", "l_suppkey", "l_extendedprice")
+    assert sorted(r["tie"] for r in FQ.fw_lines(spark, tmpdir_path).collect()) == sorted(r["tie"] for r in read.select(tie.alias("tie")).collect())
+    price = F.format_string("%015.2f", F.col("l_extendedprice"))
+    assert FQ._with_price(read).filter(~F.col("_price").eqNullSafe(price)).count() == 0

@@ -309,6 +309,54 @@ def test_small_blocks_share_tasks(spark, tmpdir_path, monkeypatch):
     assert len(tasks) <= 2 * spark.sparkContext.defaultParallelism + 1
 
 
+def test_small_files_are_counted_as_they_are_written(spark, tmpdir_path, monkeypatch):
+    """Many small files: lines are read twice (sizes, rows), what was written is not read again; types, nulls and faults stay."""
+    from wavefold.operators.panel import ORDINAL, read_waves
+    from wavefold.plans import convert as C
+
+    def again(*args):
+        raise AssertionError("the written files are opened again")
+
+    monkeypatch.setattr(C, "CORE_BLOCKS", 1)
+    monkeypatch.setattr(C, "_found", again)
+    layout = Layout([Variable("line_no", 1, 6), Variable("small", 7, 2), Variable("price", 9, 15), Variable("text", 24, 20)])
+    rows = [(f"{s}.txt", i + 1, f"{i + 1:06d}" + ("  " if i % 5 == 0 else "x1" if s == 3 and i % 7 == 3 else f"{i % 90:02d}")
+             + f"{i / 4:015.2f}" + f"é{i}".ljust(20)) for s in (1, 2, 3) for i in range(200 * s)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        seen.add(1)
+        return row
+
+    lines = spark.createDataFrame(spark.sparkContext.parallelize(rows, 5).map(counted), "source string, line_no long, value string")
+    target = f"{tmpdir_path}/out"
+    report = {r["source"]: r for r in C.convert_lines(spark, lines, layout, target, task_bytes=600).collect()}
+    assert seen.value == 2 * len(rows)
+    assert {s: (r["status"], r["rows"], r["first_error"]) for s, r in report.items()} == {
+        "1.txt": ("converted", 200, None), "2.txt": ("converted", 400, None), "3.txt": ("unresolved", 600, "small")}
+    assert sorted(os.listdir(target)) == ["1.parquet", "2.parquet"]
+    for s in (1, 2):
+        files = os.listdir(f"{target}/{s}.parquet")
+        assert 12 * s <= len(files) <= 25 * s and all(f.startswith("part-") and f.endswith(".zstd.parquet") for f in files)
+        (wave,) = read_waves(spark, [f"{target}/{s}.parquet"])
+        assert [f.dataType.simpleString() for f in wave.schema.fields][:4] == ["int", "tinyint", "double", "string"]
+        assert [tuple(r)[:4] for r in wave.orderBy(*ORDINAL).collect()] == [
+            (i + 1, None if i % 5 == 0 else i % 90, float(f"{i / 4:.2f}"), f"é{i}") for i in range(200 * s)]
+    # What is there is not converted again, and does not count when blocks are dealt out.
+    os.rename(f"{target}/2.parquet", f"{tmpdir_path}/kept")
+    report = {r["source"]: r["status"] for r in C.convert_lines(spark, lines, layout, target, task_bytes=600).collect()}
+    assert report == {"1.txt": "exists", "2.txt": "converted", "3.txt": "unresolved"}
+
+
+def test_write_whole_replaces(tmpdir_path):
+    from wavefold.sources import archives as A
+
+    for data in (b"first, and longer", b"second"):
+        A.write_whole(f"{tmpdir_path}/a/b.parquet", data)
+        assert os.listdir(f"{tmpdir_path}/a") == ["b.parquet"]
+        assert open(f"{tmpdir_path}/a/b.parquet", "rb").read() == data
+
+
 def test_blocks_go_to_the_lines(spark):
     """Lines are dealt out once, not sorted by source to meet their blocks."""
     from wavefold.plans.convert import in_blocks, plan_blocks
