@@ -348,6 +348,17 @@ def test_small_files_are_counted_as_they_are_written(spark, tmpdir_path, monkeyp
     assert report == {"1.txt": "exists", "2.txt": "converted", "3.txt": "unresolved"}
 
 
+def test_lines_of_one_number_keep_their_place(spark, tmpdir_path):
+    from wavefold.operators.panel import ORDINAL, read_waves
+    from wavefold.plans.convert import convert_lines
+
+    rows = [("1.txt", i // 3, i, f"{i:06d}") for i in range(300)]
+    lines = spark.createDataFrame(rows[::-1], "source string, line_no long, place long, value string").repartition(7, "place")
+    convert_lines(spark, lines, Layout([Variable("place", 1, 6)]), f"{tmpdir_path}/out", task_bytes=700)
+    (wave,) = read_waves(spark, [f"{tmpdir_path}/out/1.parquet"])
+    assert [r["place"] for r in wave.orderBy(*ORDINAL).collect()] == list(range(300))
+
+
 def test_write_whole_replaces(tmpdir_path):
     from wavefold.sources import archives as A
 
